@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slatemill.llm import textnorm
+from slatemill.llm import pairs, textnorm
 from slatemill.plans.cut import cut
 from slatemill.sources.tables import read
 
@@ -43,3 +43,27 @@ def p6_canonical(spark: SparkSession, d: str) -> DataFrame:
     """Every text in its canonical form, once for each id."""
     texts = _lookalike_texts(spark, d)
     return textnorm.canonical(texts, "text", textnorm.count_bigrams(texts, "text")).select("src", "id", "canonical").distinct()
+
+
+# ---------------------------------------------------------------- problem 4: broken pairs
+
+
+def _pairs(spark: SparkSession, d: str) -> DataFrame:
+    rows = read(spark, d, "task", "task_id", "stem", "answer", "explanation")
+    found = None
+    for field in ("answer", "explanation"):
+        part = rows.select("task_id", F.lit(field).alias("field_name"), "stem", F.col(field).alias("response"))
+        part = pairs.defective_pairs(part, "stem", "response", null_is_defect=field == "answer")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+@query
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return _pairs(spark, d).select("task_id", "field_name", F.col("defects")[0].alias("defect")).distinct()
+
+
+@query
+def p4_all_defects(spark: SparkSession, d: str) -> DataFrame:
+    """Every defect that was triggered, with its rank among those of its pair."""
+    return _pairs(spark, d).select("task_id", "field_name", F.posexplode("defects").alias("rank", "defect")).distinct()
