@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slatemill.llm import pairs, textnorm
+from slatemill.llm import neardup, pairs, textnorm
 from slatemill.plans.cut import cut
 from slatemill.sources.tables import read
 
@@ -67,3 +67,23 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 def p4_all_defects(spark: SparkSession, d: str) -> DataFrame:
     """Every defect that was triggered, with its rank among those of its pair."""
     return _pairs(spark, d).select("task_id", "field_name", F.posexplode("defects").alias("rank", "defect")).distinct()
+
+
+# ---------------------------------------------------------------- problem 1: near duplicates
+
+
+def _questions(spark: SparkSession, d: str) -> DataFrame:
+    return _tagged(spark, d, ("coverage_set_review", "test_question_id", "question_text_ocr"), ("task_projection", "task_projection_id", "stem"))
+
+
+@query
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.pairs_within(neardup.near_duplicates(_questions(spark, d))[0])
+
+
+@query
+def p1_classes(spark: SparkSession, d: str) -> DataFrame:
+    """One row for each record with its class and the number of records in it."""
+    members = neardup.near_duplicates(_questions(spark, d))[0].select("src", "id", "class_id").distinct()
+    sizes = members.groupBy("src", "class_id").agg(F.count("*").alias("n_records"))
+    return members.join(sizes, ["src", "class_id"])
