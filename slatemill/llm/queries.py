@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slatemill.llm import neardup, pairs, textnorm
+from slatemill.llm import leak, neardup, pairs, textnorm
 from slatemill.plans.cut import cut
 from slatemill.sources.tables import read
 
@@ -87,3 +87,22 @@ def p1_classes(spark: SparkSession, d: str) -> DataFrame:
     members = neardup.near_duplicates(_questions(spark, d))[0].select("src", "id", "class_id").distinct()
     sizes = members.groupBy("src", "class_id").agg(F.count("*").alias("n_records"))
     return members.join(sizes, ["src", "class_id"])
+
+
+# ---------------------------------------------------------------- problem 7: leaking evaluation texts
+
+
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    items = read(spark, d, "heldout_blind", "heldout_question_id", "text").withColumnRenamed("heldout_question_id", "item_id")
+    return leak.leaked_items(read(spark, d, "documents", "doc_id", "text"), items)
+
+
+@query
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).select("doc_id", F.col("item_id").alias("heldout_question_id"))
+
+
+@query
+def p7_passages(spark: SparkSession, d: str) -> DataFrame:
+    """Each leak with the share of the item that the document holds, to three places."""
+    return _leaks(spark, d).select("doc_id", F.col("item_id").alias("heldout_question_id"), F.round("share", 3).alias("share"), F.round("agreement", 3).alias("agreement"))
