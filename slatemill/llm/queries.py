@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slatemill.llm import leak, neardup, pairs, textnorm
+from slatemill.llm import leak, mixing, neardup, pairs, splitting, textnorm
 from slatemill.plans.cut import cut
 from slatemill.sources.tables import read
 
@@ -106,3 +106,29 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 def p7_passages(spark: SparkSession, d: str) -> DataFrame:
     """Each leak with the share of the item that the document holds, to three places."""
     return _leaks(spark, d).select("doc_id", F.col("item_id").alias("heldout_question_id"), F.round("share", 3).alias("share"), F.round("agreement", 3).alias("agreement"))
+
+
+# ---------------------------------------------------------------- problem 8: mixing sources
+
+
+def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return mixing.mix(read(spark, d, "documents", "doc_id", "source", "text"), read(spark, d, "mix_target", "source", "target_share", "max_repeat"))
+
+
+@query
+def p8_records(spark: SparkSession, d: str) -> DataFrame:
+    return _mix(spark, d)[0]
+
+
+@query
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    """Target and actual share of each listed source."""
+    return _mix(spark, d)[1].withColumn("actual_share", F.round("actual_share", 6))
+
+
+# ---------------------------------------------------------------- problem 9: splitting
+
+
+@query
+def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return splitting.split_documents(read(spark, d, "documents", "doc_id", "text"), read(spark, d, "split_setting", "setting_id", "max_tokens", "overlap_tokens"))
