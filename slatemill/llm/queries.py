@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slatemill.llm import leak, mixing, neardup, pairs, splitting, textnorm
+from slatemill.llm import leak, mixing, neardup, noise, pairs, splitting, textnorm
 from slatemill.plans.cut import cut
 from slatemill.sources.tables import read
 
@@ -132,3 +132,26 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
     return splitting.split_documents(read(spark, d, "documents", "doc_id", "text"), read(spark, d, "split_setting", "setting_id", "max_tokens", "overlap_tokens"))
+
+
+# ---------------------------------------------------------------- problem 2: noise of scanned pages
+
+
+def _scanned(spark: SparkSession, d: str) -> DataFrame:
+    return _tagged(spark, d, ("ocr_lines", "line_id", "text"), ("coverage_set_review", "test_question_id", "question_text_ocr"), ("split_questions", "question_id", "text_preview"))
+
+
+@query
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    texts = _scanned(spark, d)
+    return noise.find_noise(texts, noise.learn(texts)).select("src", F.col("id").alias("row_id"), "kind")
+
+
+@query
+def p2_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """Every question text and preview as continuous paragraphs, and the lines of each scanned page likewise as one text."""
+    lines = read(spark, d, "ocr_lines", "doc_id", "page", "pos", "text").distinct()
+    page = lines.groupBy("doc_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), "\n").alias("text"))
+    pages = page.select(F.lit("ocr_lines").alias("src"), F.concat_ws(":", "doc_id", "page").alias("id"), "text")
+    texts = pages.unionByName(_tagged(spark, d, ("coverage_set_review", "test_question_id", "question_text_ocr"), ("split_questions", "question_id", "text_preview")).distinct())
+    return noise.repair(texts, noise.learn(texts))
