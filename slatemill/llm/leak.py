@@ -126,6 +126,16 @@ def segments(batch, text_column: int):
         yield int(a), codes, start, hashes, row, inside
 
 
+def on_offsets(item: np.ndarray, codes: np.ndarray, offsets: np.ndarray, low: int, high: int) -> int:
+    """Characters of the item that agree with the document (codes[low:high]) on one of the offsets or one beside it."""
+    agree = np.zeros(len(item), bool)
+    for offset in {int(o) + k for o in offsets for k in (-1, 0, 1)}:
+        a, b = max(0, low - offset), min(len(item), high - offset)
+        if a < b:
+            agree[a:b] |= item[a:b] == codes[offset + a : offset + b]
+    return int(agree.sum())
+
+
 def passage(item: np.ndarray, text: np.ndarray, gap: int = 12, insertion: int = 60) -> tuple[int, int, int]:
     """(begin, end, characters agreeing) of the longest passage of the item in the text, by a local chain of runs that agree.
 
@@ -211,6 +221,9 @@ def _matches(docs: DataFrame, items: Items, share: float, agreement: float) -> D
                     if e - s < 2 or len(np.unique(term[s:e])) < 2:
                         continue
                     doc, item = divmod(int(key[s]), len(items.ids))
+                    # what agrees on the offsets found, or one beside them, must make up most of the least passage
+                    if on_offsets(items.text(item), codes, offset[s:e], int(start[doc]), int(start[doc + 1])) < 0.7 * share * items.length(item):
+                        continue
                     low, high = max(start[doc], offset[s] - 100), min(start[doc + 1], offset[e - 1] + items.length(item) + 100)
                     b, t, agree = passage(items.text(item), codes[low:high])
                     if t - b >= share * items.length(item) and agree >= agreement * (t - b) and (old := out.get((base + doc, item), (0, 0, 0))) and t - b > old[1] - old[0]:
