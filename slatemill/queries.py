@@ -5,16 +5,9 @@ from pyspark.sql import functions as F
 
 from slatemill.operators.nested import parse_triples, pivot_group
 from slatemill.operators.orphans import orphan_references, orphan_report
+from slatemill.registry import QUERIES, SQL, query
 from slatemill.sources.tables import read
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
-
-
-def query(f):
-    QUERIES[f.__name__] = f
-    return f
-
 
 # ---------------------------------------------------------------- problem 3: orphan references
 
@@ -38,12 +31,12 @@ def _references(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return children, parents
 
 
-@query
+@query()
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return orphan_references(*_references(spark, d))
 
 
-@query
+@query()
 def p3_report(spark: SparkSession, d: str) -> DataFrame:
     return orphan_report(orphan_references(*_references(spark, d)))
 
@@ -98,7 +91,7 @@ def _split_tables(spark: SparkSession, d: str, extra: dict[str, str] | None = No
     return {"node": node, "task": task, "page": listed.unionByName(single)}
 
 
-@query
+@query()
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     members = pivot_group(_candidate_triples(spark, d, []), {})
     place = F.regexp_extract("instance", r"^/final_top3:(\d+)", 1)
@@ -118,7 +111,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return out.distinct()
 
 
-@query
+@query()
 def p5_candidates(spark: SparkSession, d: str) -> DataFrame:
     """The candidate table with its scalar columns, each linked to its prediction."""
     leaves = {k: k for k in ("knowledge_id", "grade", "lesson_title", "module", "min_knowledge_point", "confidence")}
@@ -132,9 +125,14 @@ FROM (SELECT prediction_id, i::INT AS i, final_top3[i] AS c FROM (SELECT *, unne
 """
 
 
-@query
+@query()
 def p5_nodes(spark: SparkSession, d: str) -> DataFrame:
     """The node table of lesson_split with its scalar columns, each linked to its parent node or record."""
     extra = {k: k for k in ("order_index", "node_type", "phase", "title", "visibility")}
     nodes = _split_tables(spark, d, extra)["node"]
     return nodes.groupBy("record_id", F.col("own_id").alias("node_id"), "parent_id").agg(*[F.max(c).alias(c) for c in extra])
+
+
+from slatemill import catalog_queries, line_queries, store_queries  # noqa: E402, F401
+
+__all__ = ["QUERIES", "SQL"]
