@@ -27,7 +27,7 @@ def snapshot(tables: dict[str, DataFrame], root: str, expected: str | None = Non
     for table, df in tables.items():
         df.write.mode("overwrite").parquet(f"{root}/{name}/{table}.parquet")
     jvm = spark.sparkContext._jvm
-    target, fresh = jvm.org.apache.hadoop.fs.Path(f"{root}/_CURRENT"), jvm.org.apache.hadoop.fs.Path(f"{root}/_CURRENT-{uuid.uuid4().hex}")
+    target, fresh = jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT"), jvm.org.apache.hadoop.fs.Path(f"{root}/CURRENT-{uuid.uuid4().hex}")
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     out = fs.create(fresh, True)
     out.write(bytearray(name.encode()))
@@ -41,7 +41,7 @@ def snapshot(tables: dict[str, DataFrame], root: str, expected: str | None = Non
 
 def current(spark: SparkSession, root: str) -> str | None:
     """Name of the current version, None if there is none yet."""
-    return _text(spark, f"{root}/_CURRENT")
+    return _text(spark, f"{root}/CURRENT")
 
 
 def read_snapshot(spark: SparkSession, root: str, table: str) -> DataFrame:
