@@ -243,8 +243,9 @@ def leaked_items(docs: DataFrame, items: DataFrame, share: float = 0.46, agreeme
     damaged ones, as long as the given part of the passage agrees. share is measured in bare characters; its default is
     half less what damage at the ends may hide.
     Null or empty texts match nothing, nor do items of fewer than 16 bare characters. Repeated documents and items give
-    their match once. Items are searched in blocks of BLOCK_CHARS characters, all documents against each.
+    their match once; null ids and further columns are left out. Items are searched in blocks of BLOCK_CHARS characters, all documents against each.
     """
+    docs = docs.select("doc_id", "text").filter("doc_id is not null")
     rows = items.select("item_id", "text").filter("item_id is not null and length(text) >= 16").distinct().orderBy("item_id").toLocalIterator()
     found, ids, texts, size = None, [], [], 0
 

@@ -41,7 +41,7 @@ def water_fill(weights: list[float], caps: list[float], total: float) -> list[fl
 def token_sizes(docs: DataFrame, path: str | None = None) -> DataFrame:
     """docs with ``text`` replaced by ``n_tokens``, its length in tokens of a public tokenizer (null and empty texts: 0)."""
     path = path or tokenizer.default_path()
-    rest = [c for c in docs.columns if c != "text"]
+    rest = [c for c in docs.columns if c not in ("text", "n_tokens")]
 
     def measure(batches):
         model = tokenizer.pieces(path)

@@ -146,9 +146,10 @@ def defective_pairs(df: DataFrame, question: str, answer: str, null_is_defect: b
     """df's other columns with ``defects`` (array, in order of precedence) of each defective pair, in Arrow batches.
 
     A null answer is ``empty``, or no case if not null_is_defect. A null or blank question allows the rules on the answer
-    alone. Very long texts are read whole. Repeated rows repeat their result; an empty table gives none.
+    alone. Very long texts are read whole. Repeated rows repeat their result; an empty table gives none. A column of df
+    that is itself called ``defects`` is replaced.
     """
-    rest = [c for c in df.columns if c not in (question, answer)]
+    rest = [c for c in df.columns if c not in (question, answer, "defects")]
 
     def judge(batches):
         for batch in batches:

@@ -141,11 +141,13 @@ def canonical(df: DataFrame, column: str, counts: dict[str, int], to: str = "can
     """df with the canonical form of a text column (null stays null, empty stays empty), in Arrow batches.
 
     drop_text: give the 128-bit digests ``{to}_key`` and ``raw_key`` instead of the form and the text, for joining.
+    Columns of df that have the name of a new one are replaced. Repeated rows stay repeated.
     """
     import xxhash
 
     shared = df.sparkSession.sparkContext.broadcast(counts)
-    rest = [c for c in df.columns if c != column] if drop_text else df.columns
+    new = {column, f"{to}_key", "raw_key"} if drop_text else {to}
+    rest = [c for c in df.columns if c not in new]
 
     def form(batches):
         lattice = Lattice(shared.value)
