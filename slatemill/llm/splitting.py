@@ -25,7 +25,7 @@ _ITEM = _of("0123456789ABCDEFGH０１２３４５６７８９")
 def strengths(codes: np.ndarray) -> np.ndarray:
     """Strength of a cut before each character, for one or more texts in a row; larger is more natural."""
     c = np.minimum(codes, 0xFFFF)
-    before, earlier = np.r_[0, c[:-1]], np.r_[0, 0, c[:-2]]
+    before, earlier = np.r_[0, c][: len(c)], np.r_[0, 0, c][: len(c)]
     out = np.full(len(c), BARE, np.int8)
     blank = _BLANKS[c]
     out[(blank & ~_BLANKS[before]) | (~blank & _BLANKS[before] & (c != 10))] = WORD

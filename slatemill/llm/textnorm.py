@@ -55,8 +55,11 @@ def table() -> dict[int, str | None]:
             out[code] = " "
             continue
         parts = unicodedata.decomposition(ch)
+        if ch in first:  # before normalization, which takes some of these for other letters
+            out[code] = first[ch]
+            continue
         new = ch if parts.startswith(VISIBLE) else unicodedata.normalize("NFKC", ch)
-        new = unicodedata.normalize("NFC", "".join(first.get(c, c) for c in unicodedata.normalize("NFD", new))) if parts or new in first else new
+        new = unicodedata.normalize("NFC", "".join(first.get(c, c) for c in unicodedata.normalize("NFD", new))) if parts else new
         if new != ch:
             out[code] = new
     return out | {9: " ", 11: " ", 12: " ", 13: None, 0x85: "\n", 0x2028: "\n", 0x2029: "\n"}
