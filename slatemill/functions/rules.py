@@ -129,13 +129,29 @@ def version_tags(kind, nth, length) -> Column:
     )))
 
 
-def crop_issues(width, height, nonwhite, red, blue, canvas, preview, fragments) -> Column:
-    """Sorted issues of a picture of a question, by its statistics: each rule stands for itself."""
-    w, h, nw, r, b, cv, p, f = map(T._c, (width, height, nonwhite, red, blue, canvas, preview, fragments))
-    rules = {"too_small": (w < 120) | (h < 40), "blank_crop": nw < 0.005, "little_content": (nw >= 0.005) & (nw < 0.025), "too_much_whitespace": cv < 0.18, "red_marks": r > 80, "blue_banner": b > 80, "no_preview": F.coalesce(F.length(F.trim(p)), F.lit(0)) == 0, "no_fragment": F.coalesce(f, F.lit(0)) == 0}
+def crop_issues(number, fragments, pages, height, nonwhite, canvas, red, checkpoint, label, preview) -> Column:
+    """Sorted issues of a cut-out question. Each rule stands for itself; a statistic that is null triggers none.
+
+    number: local number; fragments: array of structs with ``page``; pages: array; the rest are statistics of the picture and texts.
+    """
+    no, fr, pg, h, nw, cv, rd, cp, lb, pv = map(T._c, (number, fragments, pages, height, nonwhite, canvas, red, checkpoint, label, preview))
+    order = F.transform(fr, lambda f: f["page"])
+    count = lambda a: F.coalesce(F.size(a), F.lit(0))
+    same = (F.coalesce(cp, F.lit("")) != "") & (cp == lb)
+    rules = {
+        "no_clear_question_number": F.coalesce(no, F.lit(0)) <= 0, "no_visual_fragment": F.greatest(count(fr), F.lit(0)) == 0, "crop_too_short": h < 120, "mostly_blank_crop": nw < 0.025, "too_much_whitespace": cv < 0.18,
+        "answer_or_analysis_red_mark_not_obvious": rd < 80, "spans_more_than_two_pages": count(pg) > 2, "fragment_pages_out_of_order": (count(fr) > 1) & (order != F.array_sort(order)),
+        "checkpoint_component_same_name_check_needed": same, "possible_non_question_block": F.substring(F.coalesce(pv, F.lit("")), 1, 30).rlike("知识|要点"),
+    }
     return F.array_sort(F.array_compact(F.array(*[F.when(c, name) for name, c in rules.items()])))
 
 
 def crop_status(issues) -> Column:
+    """Verdict on a cut-out question; null issues stand for a missing picture."""
     i = T._c(issues)
-    return F.when(i.isNull(), "FAIL").when(F.size(i) == 0, "PASS").when(i == F.array(F.lit("too_much_whitespace")), "PASS_WITH_LAYOUT_CLEANUP").otherwise("NEEDS_MODEL_OR_HUMAN_REVIEW")
+    return F.when(i.isNull(), "FAIL").when(F.size(i) == 0, "PASS_BY_VISUAL_GATE").when(i == F.array(F.lit("too_much_whitespace")), "PASS_WITH_LAYOUT_CLEANUP").otherwise("NEEDS_MODEL_OR_HUMAN_REVIEW")
+
+
+def review_risk(status, kind) -> Column:
+    """高, 中 or 低; a missing audit counts as passed."""
+    return F.when(F.coalesce(T._c(status), F.lit("")) == "NEEDS_MODEL_OR_HUMAN_REVIEW", "高").when(T._c(kind) == "advanced", "中").otherwise("低")

@@ -106,28 +106,26 @@ def normalize_answer(answer, stem) -> Column:
     return F.when(choice & (letter != ""), letter).otherwise(F.trim(_c(answer)))
 
 
-def signals(x) -> dict[str, Column]:
-    """Counts of ideographs, Latin letters, digits, private-use glyphs, mathematical signs and option marks."""
-    patterns = {"cjk": r"[\x{4e00}-\x{9fff}]", "latin": "[A-Za-z]", "digit": "[0-9]", "pua": r"[\x{e000}-\x{f8ff}]", "math": r"[=＝<>≤≥√∠△＋+×÷²³±]", "option": r"[A-D][．.]"}
-    return {name: F.regexp_count(F.coalesce(_c(x), F.lit("")), F.lit(p)).cast("long") for name, p in patterns.items()}
-
-
-def preview_score(x, source) -> Column:
-    """Readability of a preview: length and ideographs count for it, private-use glyphs and many signs against it."""
-    s, text = signals(x), F.coalesce(_c(x), F.lit(""))
-    lead = F.when(text.rlike(r"^(例|变式|\d+\s*[．.、])"), 24).otherwise(0)
-    cue = F.when(text.rlike("已知|求|如图|下列|若|证明|计算"), 20).otherwise(0)
-    origin = F.when(_c(source) == "pdf", 6).when(_c(source) == "ocr", 4).otherwise(0)
-    return (F.least(F.length(text), F.lit(140)) + 3 * s["cjk"] - 120 * s["pua"] - 2 * F.greatest(s["math"] - 18, F.lit(0)) + lead + cue + origin).cast("long")
-
-
 #: Private-use glyphs of symbol fonts and the signs they show. Fixed values.
-GLYPHS = {"": "+", "": "-", "": "=", "": "°", "": "±", "": "·", "": "×", "": "÷", "": "≤", "": "≥", "": "≠", "": "∈", "": "Δ", "": "α", "": "β", "": "π", "": "θ", "": "∠", "": "√", "": "⊥"}
+GLYPHS = {
+    "\uf028": "(", "\uf029": ")", "\uf02b": "+", "\uf02d": "-", "\uf03c": "<", "\uf03d": "=", "\uf03e": ">", "\uf051": "∵", "\uf05c": "∴", "\uf084": "≤",
+    "\uf085": "≥", "\uf0a3": "≤", "\uf0a5": "∞", "\uf0b1": "±", "\uf0b3": "≥", "\uf0b9": "≠", "\uf0ce": "∈", "\uf0d7": "·", "\uf0e6": "[", "\uf0e7": "(",
+    "\uf0e8": "(", "\uf0e9": "(", "\uf0ea": "[", "\uf0eb": "{", "\uf0f6": "]", "\uf0f7": ")", "\uf0f8": ")", "\uf0f9": ")", "\uf0fa": "]", "\uf0fb": "}",
+}
 
 
 def symbols(x) -> Column:
-    """Private-use glyphs as the signs they show, other private-use glyphs dropped."""
-    return F.regexp_replace(F.translate(_c(x), "".join(GLYPHS), "".join(GLYPHS.values())), r"[\x{e000}-\x{f8ff}]", "")
+    """Private-use glyphs as the signs they show, other private-use glyphs dropped, runs of blanks and empty lines shortened."""
+    out = F.regexp_replace(F.translate(_c(x), "".join(GLYPHS), "".join(GLYPHS.values())), r"[\x{f000}-\x{f8ff}]", "")
+    return F.trim(F.regexp_replace(F.regexp_replace(out, r"[ \t]+", " "), r"\n{3,}", "\n\n"))
+
+
+def file_title(name) -> Column:
+    """struct(number, title) of a lesson by its file's name: ``第 n 讲 title``, a leading outline number (0), or none."""
+    bare = F.regexp_replace(_c(name), r"(（教师版）|\(教师版\)| - 教师版|教师版)?\.pdf$", "")
+    spoken = F.regexp_extract(bare, r"第\s*(\d+)\s*讲\s*(.+)", 1)
+    number = F.when(spoken != "", spoken.cast("int")).when(bare.rlike(r"^[0-9]+(\.[0-9]+)*\s*.+"), 0)
+    return F.struct(number.alias("number"), norm(F.when(spoken != "", F.regexp_extract(bare, r"第\s*(\d+)\s*讲\s*(.+)", 2)).otherwise(bare)).alias("title"))
 
 
 def percent(x) -> Column:

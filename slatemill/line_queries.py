@@ -3,8 +3,10 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slatemill.functions import previews as V
 from slatemill.functions import rules as R
 from slatemill.functions import text as T
+from slatemill.operators import extract as X
 from slatemill.operators import ordered as O
 from slatemill.registry import query
 from slatemill.sources.files import text_lines
@@ -138,14 +140,63 @@ def task_tiers(spark: SparkSession, d: str) -> DataFrame:
     return O.nth(rows.withColumn("difficulty", R.tier("s", "q", "stem")["difficulty"]), ["lesson_id"], ["s", "q", "task_id"], "place").select("task_id", "lesson_id", "difficulty", "place")
 
 
-_COUNTS = {"cjk": r"[\x{4e00}-\x{9fff}]", "latin": "[A-Za-z]", "digit": "[0-9]", "pua": r"[\x{e000}-\x{f8ff}]", "math": r"[=＝<>≤≥√∠△＋+×÷²³±]", "option": r"[A-D][．.]"}
+_SQL_NORM = r"trim(regexp_replace(coalesce({0}, ''), '[\s\x{{3000}}\x{{a0}}]+', ' ', 'g'))"
+_SQL_STATS = ", ".join(f"len(regexp_extract_all(x, '{p}'))::BIGINT AS {k}" for k, p in V.PATTERNS.items())
 
 
-@query("WITH q AS (SELECT DISTINCT question_id, coalesce(text_preview, '') AS x, text_preview_source AS s FROM split_questions), c AS (SELECT *, " + ", ".join(f"len(regexp_extract_all(x, '{p}'))::BIGINT AS n_{k}" for k, p in _COUNTS.items()) + r""" FROM q)
-SELECT question_id, n_cjk, n_latin, n_digit, n_pua, n_math, n_option, (least(len(x), 140) + 3 * n_cjk - 120 * n_pua - 2 * greatest(n_math - 18, 0) + regexp_matches(x, '^(例|变式|\d+\s*[．.、])')::INT * 24 + regexp_matches(x, '已知|求|如图|下列|若|证明|计算')::INT * 20 + CASE s WHEN 'pdf' THEN 6 WHEN 'ocr' THEN 4 ELSE 0 END)::BIGINT AS preview_score FROM c""")
+@query(rf"""WITH q AS (SELECT DISTINCT question_id, {_SQL_NORM.format("text_preview")} AS x, text_preview_source AS s FROM split_questions), c AS (SELECT *, len(x) AS length, {_SQL_STATS} FROM q)
+SELECT question_id, cjk AS n_cjk, latin AS n_latin, digit AS n_digit, pua AS n_pua, math AS n_math, option AS n_option,
+(least(length, 140) + 3 * cjk - 80 * noise - 120 * pua - 2 * greatest(math - 18, 0) + regexp_matches(x, '{V.LEAD}')::INT * 24 + regexp_matches(x, '{V.CUES}')::INT * 20 + CASE s WHEN 'pdf_text_layer' THEN 6 WHEN 'ocr_fallback' THEN 4 ELSE 0 END)::BIGINT AS preview_score,
+length < 10 OR noise >= 1 OR pua >= 1 OR (cjk <= 8 AND length >= 24) OR (length >= 32 AND length - cjk - latin - digit > 0.24 * length AND cjk < 20) OR (length >= 48 AND math >= 7 AND cjk < 48) OR (option >= 3 AND math >= 6 AND cjk < 48) OR (option >= 2 AND math >= 4 AND cjk < 56) AS noisy,
+noise = 0 AND pua = 0 AND ((length >= 20 AND cjk >= 8) OR (coalesce(s, '') = 'ocr_fallback' AND length >= 18 AND cjk >= 6)) AND (regexp_matches(x, '{V.LEAD}') OR regexp_matches(x, '{V.CUES}') OR regexp_matches(x, 'A[．.]|（\s*.*\s*）')) AS readable FROM c""")
 def preview_signals(spark: SparkSession, d: str) -> DataFrame:
     rows = read(spark, d, "split_questions", "question_id", "text_preview", "text_preview_source").distinct()
-    return rows.select("question_id", *[c.alias(f"n_{k}") for k, c in T.signals("text_preview").items()], T.preview_score("text_preview", "text_preview_source").alias("preview_score"))
+    counts = [c.alias(f"n_{k}") for k, c in V.stats("text_preview").items() if k not in ("length", "noise")]
+    source = F.coalesce("text_preview_source", F.lit(""))
+    return rows.select("question_id", *counts, V.score("text_preview", "text_preview_source").alias("preview_score"), V.noisy("text_preview").alias("noisy"), V.readable("text_preview", source).alias("readable"))
+
+
+@query()
+def preview_choice(spark: SparkSession, d: str) -> DataFrame:
+    """The best readable excerpt of each question's preview, else a note on where the picture is."""
+    rows = read(spark, d, "split_questions", "question_id", "checkpoint", "component_label", "local_number", "text_preview", "text_preview_source", "visual_pages").distinct()
+    pick = V.best([("raw_text", F.col("text_preview")), ("pdf_text_layer", F.when(F.col("text_preview_source") == "pdf_text_layer", F.col("text_preview"))), ("ocr_fallback", F.when(F.col("text_preview_source") == "ocr_fallback", F.col("text_preview")))])
+    rows = rows.withColumn("b", pick)
+    page = F.try_element_at("visual_pages", F.lit(1))
+    note = F.concat(F.coalesce("checkpoint", F.lit("")), F.lit("｜"), F.coalesce("component_label", F.lit("")), F.when(F.coalesce("local_number", F.lit(0)) > 0, F.concat(F.lit(" "), F.col("local_number").cast("string"))).otherwise(""), F.lit("｜"), F.when(page.isNotNull(), F.format_string("P%02d", page)).otherwise("页码待复核"))
+    mode = F.when(F.col("b").isNotNull(), "trusted_excerpt").otherwise("ocr_reference_only")
+    return rows.select("question_id", F.coalesce("b.clean", note).alias("preview"), F.coalesce("b.score", F.lit(0).cast("long")).alias("score"), mode.alias("storage_mode"))
+
+
+@query("""WITH q AS (SELECT DISTINCT question_id, local_number AS n, fragments AS f, visual_pages AS p, checkpoint AS c, component_label AS l, component_kind AS k, coalesce(text_preview, '') AS t FROM split_questions),
+h AS (SELECT *, list_max(list_transform(list_filter(f, lambda x: x IS NOT NULL), lambda x: x.bbox_image[4] - x.bbox_image[2])) AS height, list_transform(f, lambda x: x.page) AS o FROM q),
+i AS (SELECT question_id, k, list_sort(list_filter([CASE WHEN coalesce(n, 0) <= 0 THEN 'no_clear_question_number' END, CASE WHEN coalesce(len(f), 0) = 0 THEN 'no_visual_fragment' END, CASE WHEN height < 120 THEN 'crop_too_short' END, CASE WHEN coalesce(len(p), 0) > 2 THEN 'spans_more_than_two_pages' END,
+  CASE WHEN coalesce(len(f), 0) > 1 AND o <> list_sort(o) THEN 'fragment_pages_out_of_order' END, CASE WHEN coalesce(c, '') <> '' AND c = l THEN 'checkpoint_component_same_name_check_needed' END, CASE WHEN regexp_matches(substr(t, 1, 30), '知识|要点') THEN 'possible_non_question_block' END], lambda x: x IS NOT NULL)) AS s FROM h),
+a AS (SELECT *, CASE WHEN len(s) = 0 THEN 'PASS_BY_VISUAL_GATE' WHEN s = ['too_much_whitespace'] THEN 'PASS_WITH_LAYOUT_CLEANUP' ELSE 'NEEDS_MODEL_OR_HUMAN_REVIEW' END AS audit_status FROM i)
+SELECT question_id, array_to_string(s, ',') AS issues, audit_status, CASE WHEN audit_status = 'NEEDS_MODEL_OR_HUMAN_REVIEW' THEN '高' WHEN k = 'advanced' THEN '中' ELSE '低' END AS risk FROM a""")
+def question_audit(spark: SparkSession, d: str) -> DataFrame:
+    """The audit of cut-out questions by what the table holds; pixel statistics, which it lacks, trigger nothing."""
+    rows = read(spark, d, "split_questions", "question_id", "local_number", "fragments", "visual_pages", "checkpoint", "component_label", "component_kind", "text_preview").distinct()
+    height = F.array_max(F.transform(F.filter("fragments", lambda f: f.isNotNull()), lambda f: F.try_element_at(f["bbox_image"], F.lit(4)) - F.try_element_at(f["bbox_image"], F.lit(2))))
+    none = F.lit(None).cast("double")
+    issues = R.crop_issues("local_number", "fragments", "visual_pages", height, none, none, none, "checkpoint", "component_label", "text_preview")
+    rows = rows.select("question_id", "component_kind", issues.alias("i")).withColumn("audit_status", R.crop_status("i"))
+    return rows.select("question_id", F.array_join("i", ",").alias("issues"), "audit_status", R.review_risk("audit_status", "component_kind").alias("risk"))
+
+
+@query()
+def page_question_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """The first question of every scanned page, from its lines in order."""
+    lines = read(spark, d, "ocr_lines", "doc_id", "page", "pos", "text").distinct()
+    pages = lines.groupBy("doc_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), "\n").alias("body"))
+    return X.page_blocks(pages.withColumn("terms", F.array().cast("array<string>")), ["doc_id", "page"], "body", "terms")
+
+
+@query()
+def answer_part_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Numbered questions of each document with the lengths of their parts."""
+    rows = read(spark, d, "documents", "doc_id", "text").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "text"))
+    return X.answer_parts(rows).select("doc_id", "number", "first_pos", *[F.length(c).alias(f"{c}_chars") for c in ("question", "analysis", "solution", "comment")])
 
 
 @query("""WITH q AS (SELECT DISTINCT question_id, checkpoint, component_kind AS k, coalesce(len(text_preview), 0) AS n FROM split_questions), r AS (SELECT *, row_number() OVER (PARTITION BY checkpoint ORDER BY question_id) AS nth FROM q),

@@ -1,8 +1,10 @@
 from pyspark.sql import functions as F
 
+from slatemill.functions import previews as V
 from slatemill.functions import rules as R
 from slatemill.functions import text as T
 from slatemill.functions.jsontext import balanced, extract_objects
+from slatemill.operators import extract as X
 from slatemill.operators import gold as G
 
 
@@ -33,7 +35,10 @@ def test_rules(spark):
     assert one(spark, R.learning_objectives("a"), a="1．掌握方程；2．理解函数；") is True and one(spark, R.question_marker("a"), a="已知x＝1，求y") is True
     assert one(spark, R.navigation("a"), a="知识导航 一") is True and one(spark, R.navigation("a"), a="1．掌握方程的解法") is True and one(spark, R.navigation("a"), a="已知x") is False
     assert tuple(one(spark, R.tier("s", "q", "x"), s=1, q=4, x="计算")) == ("basic", "strong", "prototype") and one(spark, R.tier("s", "q", "x"), s=1, q=1, x="求证")["difficulty"] == "advanced"
-    assert one(spark, R.crop_status(R.crop_issues(*(F.lit(v) for v in (200, 100, 0.1, 0, 0, 0.1)), F.lit("x"), F.lit(1))), a="") == "PASS_WITH_LAYOUT_CLEANUP"
+    crop = lambda canvas, red, number: R.crop_issues(F.lit(number), F.array(F.struct(F.lit(1).alias("page"))), F.array(F.lit(1)), F.lit(200), F.lit(0.1), F.lit(canvas), F.lit(red), F.lit("a"), F.lit("b"), F.lit("x"))
+    assert [one(spark, R.crop_status(crop(*v)), a="") for v in ((0.18, 80, 1), (0.17, 80, 1), (0.17, 79, 1))] == ["PASS_BY_VISUAL_GATE", "PASS_WITH_LAYOUT_CLEANUP", "NEEDS_MODEL_OR_HUMAN_REVIEW"]
+    assert one(spark, crop(0.1, 79, 0), a="") == ["answer_or_analysis_red_mark_not_obvious", "no_clear_question_number", "too_much_whitespace"]
+    assert one(spark, R.review_risk("a", "k"), a=None, k="advanced") == "中"
     assert one(spark, R.version_tags("k", "n", "z"), k="example", n=2, z=121) == ["常用版", "基础版", "进阶版"]
     assert one(spark, G.heading_score(F.col("a"), F.col("t"), F.col("m")), a="考点 1 方程(组)【答案】例 2", t="方程(组)", m="x") == 295
 
@@ -46,6 +51,31 @@ def test_curation_rules(spark):
     assert got == {"1": "no_text", "2": "no_text", "3": "navigation", "4": "shared_snippet", "5": "no_question_marker", "6": "fallback_page", "7": "point_miss", "8": "lesson_miss", "9": "nearby_match", "10": "gold", "11": "no_text"}
 
 
+def test_previews(spark):
+    assert one(spark, V.excerpt("a"), a="题干，说明：【答案】B") == "题干，说明" and one(spark, V.excerpt("a"), a="【答案】B") == "【答案】B"
+    assert one(spark, V.cleaned("a"), a="页眉 3．已知 x ，求 （ 1） 的值 A ．1 12") == "3．已知 x，求 （1） 的值 A．1" and one(spark, V.cleaned("a"), a="页眉 3．已知x。 ") == "3．已知x"
+    assert one(spark, V.noisy("a"), a="x") is True and one(spark, V.noisy("a"), a="已知函数的图象经过点，求取值范围和最小值") is False
+    got = one(spark, V.best([("raw_text", F.col("a")), ("ocr_fallback", F.col("b"))]), a="短", b="已知函数的图象经过一个点，求它的取值范围和最小值")
+    assert got["source"] == "ocr_fallback" and one(spark, V.best([("raw_text", F.col("a"))]), a="短") is None
+    assert tuple(one(spark, T.file_title("a"), a="第 3 讲 一元二次方程（教师版）.pdf")) == (3, "一元二次方程") and tuple(one(spark, T.file_title("a"), a="2.1 集合.pdf")) == (0, "2.1 集合") and tuple(one(spark, T.file_title("a"), a="附录.pdf")) == (None, "附录")
+
+
+def test_extraction(spark):
+    assert X.navigation_rows(["知识导航", "模块", "数与式", "有理", "数", "★★", "整式", "★", "1．目标"]) == [("数与式", "有理数", "★★"), ("数与式", "整式", "★")]
+    assert X.goals(["1、能够解方程", "并检验", "2、理解函数", "3、其他", "4、会"]) == ["1、能够解方程并检验", "2、理解函数"]
+    assert X.objectives(["课程目标", "1．掌握方程", "2．理解函数"]) == ["1．掌握方程", "2．理解函数"]
+    page = "考点 1：方程\n说明\n1．已知x，求y\n（A）一\n2．下一题\n余下"
+    assert X.question_block(page, ["方程"]) == ("1．已知x，求y （A）一", "question_marker_near_heading") and X.question_block(None, None) == ("", "empty_page_text") and X.question_block("说明", ["无"]) == ("说明", "heading_context_fallback")
+    assert X.question_slice("x" * 100 + "方程" + "y" * 300 + "\n 考点 2", "方程", None) == "x" * 80 + "方程" + "y" * 300
+    assert X.first_question([(1, "说明"), (2, "【例1】"), (2, "已知函数的图象经过点，求值"), (2, "【答案】B")]) == (2, "已知函数的图象经过点，求值") and X.first_question([(1, "无")]) is None
+    rows = [("d", i, t) for i, t in enumerate(["一、选择题", "1．题干", "续行", "【分析】甲", "乙", "【解答】丙", "二、解答题", "2．别题"])]
+    got = {r["number"]: r for r in X.answer_parts(spark.createDataFrame(rows, "doc_id string, pos int, text string"), page=3).collect()}
+    assert (got[1]["section"], got[1]["question"], got[1]["analysis"], got[1]["solution"], got[2]["section"]) == ("一、选择题", "1．题干\n续行", "【分析】甲\n乙", "【解答】丙", "二、解答题")
+    answers = spark.createDataFrame([("d", 1, "s", "q", "old", "", "", 0), ("d", 1, "s", "q", "new", "", "", 9)], "doc_id string, number int, section string, question string, analysis string, solution string, comment string, first_pos int")
+    bound = {r["number"]: r for r in X.bind(spark.createDataFrame([("d", 1, "s", "q"), ("d", 2, "s", "q")], "doc_id string, number int, section string, question string"), answers).collect()}
+    assert bound[1]["analysis"] == "new" and bound[2]["bind_status"] == "MISSING_ANSWER"
+
+
 def test_json_in_text(spark):
     assert balanced('说明 {"a": "}\\"{", "b": {"c": 1}} 完') == ('{"a": "}\\"{", "b": {"c": 1}}', "ok")
     assert [balanced(x)[1] for x in (None, " ", "abc", '{"a": 1')] == ["empty", "empty", "not_found", "not_closed"]
