@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from slatemill.operators.nested import parse_triples, pivot_group
 from slatemill.operators.orphans import orphan_references, orphan_report
+from slatemill.plans.cut import cut
 from slatemill.registry import QUERIES, SQL, query
 from slatemill.sources.tables import read
 
@@ -80,7 +81,7 @@ def _split_tables(spark: SparkSession, d: str, extra: dict[str, str] | None = No
     node_id = F.coalesce("node_id", F.when(~in_tasks & F.col("task_id").isNull(), F.col("entry_key")))
     flat = flat.withColumns({"kind": F.when(task_id.isNotNull(), "task").when(node_id.isNotNull(), "node").when(F.col("member").isNotNull(), "page"), "own_id": F.coalesce(task_id, node_id)}).filter("kind is not null")
     owner = flat.filter("kind <> 'page'").select("record_id", F.col("instance").alias("parent"), F.col("own_id").alias("parent_own"), F.col("kind").alias("parent_kind"))
-    linked = flat.join(owner, ["record_id", "parent"], "left")
+    linked = cut(flat.join(owner, ["record_id", "parent"], "left"))  # three tables are taken from it, and parsing is the costly part
     blank = lambda c: F.when(F.trim(c) != "", F.col(c))
     above = F.when(F.col("parent_kind") == "node", F.col("parent_own"))
     node = linked.filter("kind = 'node'").withColumn("parent_id", F.coalesce(blank("parent_ref"), above, "record_id"))
