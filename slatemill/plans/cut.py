@@ -26,10 +26,15 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/slatemill-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_remove, spark, path)
+    remove_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Results are lazy, so what they read stays until the driver ends."""
+    atexit.register(_remove, spark, path)
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm
