@@ -22,8 +22,8 @@ scored AS (SELECT c.test_question_id, c.stage, c.grade, c.knowledge_id, c.lesson
   coalesce(bool_or(trim(n.k) = trim(c.knowledge_id)), false) AS knowledge_hit, coalesce(bool_or(coalesce(trim(n.lesson_id), '') = coalesce(trim(c.lesson_id), '') AND n.q IS NOT NULL), false) AS lesson_hit,
   coalesce(bool_or(coalesce(trim(n.module), '') = coalesce(trim(c.module), '') AND n.q IS NOT NULL), false) AS module_hit, coalesce(bool_or(coalesce(trim(n.point), '') = coalesce(trim(c.min_knowledge_point), '') AND n.q IS NOT NULL), false) AS point_hit
   FROM c LEFT JOIN last l ON l.q = c.test_question_id LEFT JOIN named n ON n.q = c.test_question_id GROUP BY ALL)"""
-_RATE = lambda f: f"round(coalesce(count_if({f})::DOUBLE / nullif(count(*), 0), 0), 4)"
-_RATES = "count(*) AS n_questions, count_if(predicted) AS n_predicted, " + ", ".join(f"{_RATE(f)} AS {f.replace('hit', 'rate')}" for f in E.LEVELS)
+_RATE = lambda f: f"round(coalesce(count(*) FILTER (WHERE {f})::DOUBLE / nullif(count(*), 0), 0), 4)"
+_RATES = "count(*) AS n_questions, count(*) FILTER (WHERE predicted) AS n_predicted, " + ", ".join(f"{_RATE(f)} AS {f.replace('hit', 'rate')}" for f in E.LEVELS)
 
 
 def _coverage(spark: SparkSession, d: str) -> DataFrame:
@@ -96,7 +96,7 @@ def curation_gate(spark: SparkSession, d: str) -> DataFrame:
     return _curated(spark, d).select("test_question_id", "duplicate_count", "curation_status", "priority", "reason_code")
 
 
-@query(f"""WITH {_COVERAGE}, {_PREDICTED}, {_RULES} SELECT s AS curation_status, count(curation_status) AS total, coalesce(count_if(stage = '初中'), 0) AS junior, coalesce(count_if(stage = '高中'), 0) AS senior
+@query(f"""WITH {_COVERAGE}, {_PREDICTED}, {_RULES} SELECT s AS curation_status, count(curation_status) AS total, coalesce(count(*) FILTER (WHERE stage = '初中'), 0) AS junior, coalesce(count(*) FILTER (WHERE stage = '高中'), 0) AS senior
 FROM (VALUES ('USABLE_GOLD'), ('USABLE_WITH_REVIEW'), ('REVIEW_REQUIRED'), ('RE_CROP_REQUIRED')) AS d(s) LEFT JOIN curated ON curation_status = s GROUP BY s""")
 def curation_summary(spark: SparkSession, d: str) -> DataFrame:
     counts = {"total": F.lit(True), "junior": F.col("stage") == "初中", "senior": F.col("stage") == "高中"}
@@ -115,8 +115,8 @@ def duplicate_snippets(spark: SparkSession, d: str) -> DataFrame:
     return G.duplicate_counts(_coverage(spark, d), "question_text_ocr").filter("duplicate_count > 1").groupBy("snippet").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {_COVERAGE}, s AS (SELECT scope, count(*) AS total, count_if(status = 'ok') AS ok, count(*) - count_if(status = 'ok') AS needs_crop, count_if(selection_quality = 'strong_heading_match') AS strong, count_if(selection_quality = 'nearby_question_match') AS nearby,
-count_if(selection_quality IN ('fallback_page_context', 'error') OR selection_quality IS NULL) AS fallback FROM c GROUP BY scope) SELECT * FROM s""")
+@query(f"""WITH {_COVERAGE}, s AS (SELECT scope, count(*) AS total, count(*) FILTER (WHERE status = 'ok') AS ok, count(*) - count(*) FILTER (WHERE status = 'ok') AS needs_crop, count(*) FILTER (WHERE selection_quality = 'strong_heading_match') AS strong, count(*) FILTER (WHERE selection_quality = 'nearby_question_match') AS nearby,
+count(*) FILTER (WHERE selection_quality IN ('fallback_page_context', 'error') OR selection_quality IS NULL) AS fallback FROM c GROUP BY scope) SELECT * FROM s""")
 def coverage_summary(spark: SparkSession, d: str) -> DataFrame:
     q = F.col("selection_quality")
     return _coverage(spark, d).groupBy("scope").agg(
@@ -136,7 +136,7 @@ def blind_id_map(spark: SparkSession, d: str) -> DataFrame:
 _LEAK = ("test_question_id", "knowledge_id", "min_knowledge_point", "lesson_title", "答案", "解析", "教师版", "知识点")
 
 
-@query("WITH b AS (SELECT coalesce(text, '') || ' ' || coalesce(subject, '') AS x FROM heldout_blind) " + " UNION ALL ".join(f"SELECT '{t}' AS term, count_if(x LIKE '%{t.replace('_', '!_')}%' ESCAPE '!') AS n_rows FROM b" for t in _LEAK))
+@query("WITH b AS (SELECT coalesce(text, '') || ' ' || coalesce(subject, '') AS x FROM heldout_blind) " + " UNION ALL ".join(f"SELECT '{t}' AS term, count(*) FILTER (WHERE x LIKE '%{t.replace('_', '!_')}%' ESCAPE '!') AS n_rows FROM b" for t in _LEAK))
 def leak_check(spark: SparkSession, d: str) -> DataFrame:
     """How many blind rows hold each term that would tell the answer; all terms are counted in one scan."""
     x = F.concat_ws(" ", F.coalesce("text", F.lit("")), F.coalesce("subject", F.lit("")))

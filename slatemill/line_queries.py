@@ -83,7 +83,7 @@ def lines_below(spark: SparkSession, d: str) -> DataFrame:
     return pairs.filter("line_id <> upper and y0 > from_y and y0 < to_y and x0 <= ux1 and x1 >= ux0").select(F.col("upper").alias("line_id"), F.col("line_id").alias("below_id"))
 
 
-@query("SELECT doc_id, count(*) AS n_lines, count_if(score >= 0.45) AS n_sure, count_if(score IS NULL) AS n_unscored, max(page) AS n_pages FROM (SELECT DISTINCT * FROM ocr_lines) GROUP BY 1")
+@query("SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE score >= 0.45) AS n_sure, count(*) FILTER (WHERE score IS NULL) AS n_unscored, max(page) AS n_pages FROM (SELECT DISTINCT * FROM ocr_lines) GROUP BY 1")
 def scan_quality(spark: SparkSession, d: str) -> DataFrame:
     rows = read(spark, d, "ocr_lines", "line_id", "doc_id", "page", "score").distinct()
     return rows.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if(F.col("score") >= 0.45).alias("n_sure"), F.count_if(F.col("score").isNull()).alias("n_unscored"), F.max("page").alias("n_pages"))

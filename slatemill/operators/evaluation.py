@@ -49,4 +49,4 @@ def issues(scored: DataFrame) -> DataFrame:
 
 def top_distribution(predictions: DataFrame, first: Column, unmatched: str = "unmatched") -> DataFrame:
     """Counts of first candidates, the most frequent first; no candidate counts as unmatched."""
-    return predictions.groupBy(F.coalesce(first, F.lit(unmatched)).alias("candidate")).agg(F.count("*").alias("n")).withColumn("rank", F.dense_rank().over(Window.orderBy(F.desc("n"))))
+    return predictions.groupBy(F.coalesce(first, F.lit(unmatched)).alias("candidate")).agg(F.count("*").alias("n")).withColumn("rank", F.dense_rank().over(Window.orderBy(F.desc("n"))).cast("long"))

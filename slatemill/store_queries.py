@@ -30,7 +30,7 @@ def store_summary(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
-@query(f"""WITH {_REV}, l AS (SELECT DISTINCT * FROM lesson), p AS (SELECT lesson_id, count(DISTINCT task_projection_id) AS n FROM task_projection GROUP BY 1), w AS (SELECT lesson_id, count_if(status <> 'published' OR status IS NULL) AS n FROM r GROUP BY 1),
+@query(f"""WITH {_REV}, l AS (SELECT DISTINCT * FROM lesson), p AS (SELECT lesson_id, count(DISTINCT task_projection_id) AS n FROM task_projection GROUP BY 1), w AS (SELECT lesson_id, count(*) FILTER (WHERE status <> 'published' OR status IS NULL) AS n FROM r GROUP BY 1),
 s AS (SELECT lesson_revision_id, arg_max(status, created_at) AS status FROM r GROUP BY 1)
 SELECT l.lesson_id, coalesce(p.n, 0) AS n_tasks, coalesce(w.n, 0) AS n_open, a.status AS active_status, b.status AS published_status FROM l LEFT JOIN p USING (lesson_id) LEFT JOIN w USING (lesson_id) LEFT JOIN s a ON a.lesson_revision_id = l.active_revision_id LEFT JOIN s b ON b.lesson_revision_id = nullif(trim(l.published_revision_id), '')""")
 def lesson_list(spark: SparkSession, d: str) -> DataFrame:
@@ -117,8 +117,8 @@ def consistency_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {_REV}, t AS (SELECT DISTINCT * EXCLUDE (ingested_at) FROM task_projection), l AS (SELECT DISTINCT * FROM lesson), u AS (SELECT lesson_id, revision_no FROM (SELECT DISTINCT lesson_id, revision_no, lesson_revision_id FROM r) GROUP BY ALL HAVING count(*) > 1), v AS (SELECT lesson_revision_id, local_task_id FROM t GROUP BY ALL HAVING count(*) > 1)
-SELECT 'unique_revision_no' AS constraint_name, count(*) AS n_violations FROM u UNION ALL SELECT 'unique_local_task', count(*) FROM v UNION ALL SELECT 'confidence_in_unit_range', count_if(NOT (difficulty_confidence BETWEEN 0 AND 1)) FROM t
-UNION ALL SELECT 'positive_revision_no', count_if(NOT revision_no > 0) FROM r UNION ALL SELECT 'revision_status_known', count_if(NOT status IN ('published', 'reviewing', 'deleted')) FROM r UNION ALL SELECT 'revision_has_lesson', count(*) FROM r WHERE lesson_id IS NOT NULL AND lesson_id NOT IN (SELECT lesson_id FROM lesson)
+SELECT 'unique_revision_no' AS constraint_name, count(*) AS n_violations FROM u UNION ALL SELECT 'unique_local_task', count(*) FROM v UNION ALL SELECT 'confidence_in_unit_range', count(*) FILTER (WHERE NOT (difficulty_confidence BETWEEN 0 AND 1)) FROM t
+UNION ALL SELECT 'positive_revision_no', count(*) FILTER (WHERE NOT revision_no > 0) FROM r UNION ALL SELECT 'revision_status_known', count(*) FILTER (WHERE NOT status IN ('published', 'reviewing', 'deleted')) FROM r UNION ALL SELECT 'revision_has_lesson', count(*) FROM r WHERE lesson_id IS NOT NULL AND lesson_id NOT IN (SELECT lesson_id FROM lesson)
 UNION ALL SELECT 'task_has_revision', count(*) FROM t WHERE lesson_revision_id IS NOT NULL AND lesson_revision_id NOT IN (SELECT lesson_revision_id FROM lesson_revision) UNION ALL SELECT 'task_has_lesson', count(*) FROM t WHERE lesson_id IS NOT NULL AND lesson_id NOT IN (SELECT lesson_id FROM lesson)
 UNION ALL SELECT 'active_revision_exists', count(*) FROM l WHERE active_revision_id IS NOT NULL AND active_revision_id NOT IN (SELECT lesson_revision_id FROM lesson_revision)""")
 def constraint_violations(spark: SparkSession, d: str) -> DataFrame:
