@@ -73,7 +73,7 @@ def tier(section, question, x) -> Column:
 
 
 def answer_status(answer, explanation) -> Column:
-    filled = lambda c: F.coalesce(F.trim(T._c(c)), F.lit("")) != ""
+    filled = lambda c: T.norm(c) != ""
     return F.when(filled(answer), "explicit_answer").when(filled(explanation), "solution_only").otherwise("missing_or_unrecognized")
 
 

@@ -12,6 +12,7 @@ from slatemill.registry import query
 from slatemill.sources.files import text_lines
 from slatemill.sources.tables import read
 
+_SQL_NORM = r"trim(regexp_replace(coalesce({0}, ''), '[\s\x{{3000}}\x{{a0}}]+', ' ', 'g'))"
 _WS = r"[\s\x{3000}\x{a0}]"
 _SECTION = rf"regexp_matches(line, '{R.SECTION}') OR regexp_matches(line, '{R.NUMBERED_SECTION}')"
 _LINES = rf"l AS (SELECT DISTINCT doc_id, page, pos, line_id, regexp_replace(regexp_replace(regexp_replace(text, '\x{{200b}}', '', 'g'), '^{_WS}+|{_WS}+$', '', 'g'), '[ \t]+', ' ', 'g') AS line FROM ocr_lines)"
@@ -121,7 +122,7 @@ _BODY = "concat_ws(chr(10), stem, answer, explanation)"
 @query(rf"""WITH t AS (SELECT DISTINCT task_id, stem, answer, explanation FROM task), x AS (SELECT task_id, {_BODY} AS b, answer, explanation FROM t)
 SELECT task_id, array_to_string(list_sort(list_filter([CASE WHEN regexp_matches(b, '[\x{{e000}}-\x{{f8ff}}]') THEN 'formula_text_layer' END, CASE WHEN regexp_matches(b, '如图|图中|下图|表格|曲线|坐标系|遗传图解') THEN 'visual_or_table_asset' END, CASE WHEN regexp_matches(b, '证明|求证|实验设计|推理|探究') THEN 'reasoning_or_proof' END, CASE WHEN regexp_matches(b, '{"|".join(T.ANSWER_MARKERS)}') THEN 'teacher_answer_layer' END], lambda y: y IS NOT NULL)), ',') AS flags,
 array_to_string(list_sort(list_filter([CASE WHEN regexp_matches(b, '[\x{{e000}}-\x{{f8ff}}]|√|≤|≥|[a-zA-Z]\s*[²³]') THEN 'formula_normalization' END, CASE WHEN regexp_matches(b, '如图|图中|作图|几何|三角形|圆') THEN 'visual_asset_required' END, CASE WHEN regexp_matches(b, '求证|证明') THEN 'proof_item' END, CASE WHEN regexp_matches(b, '【答案】|【解析】|【详解】') THEN 'answer_layer' END], lambda y: y IS NOT NULL)), ',') AS pair_flags,
-CASE WHEN coalesce(trim(answer), '') <> '' THEN 'explicit_answer' WHEN coalesce(trim(explanation), '') <> '' THEN 'solution_only' ELSE 'missing_or_unrecognized' END AS answer_status FROM x""")
+CASE WHEN {_SQL_NORM.format("answer")} <> '' THEN 'explicit_answer' WHEN {_SQL_NORM.format("explanation")} <> '' THEN 'solution_only' ELSE 'missing_or_unrecognized' END AS answer_status FROM x""")
 def task_flags(spark: SparkSession, d: str) -> DataFrame:
     rows = read(spark, d, "task", "task_id", "stem", "answer", "explanation").distinct().withColumn("b", F.concat_ws("\n", "stem", "answer", "explanation"))
     return rows.select("task_id", F.array_join(R.risk_flags("b"), ",").alias("flags"), F.array_join(R.pair_risk_flags("b"), ",").alias("pair_flags"), R.answer_status("answer", "explanation").alias("answer_status"))
@@ -140,7 +141,6 @@ def task_tiers(spark: SparkSession, d: str) -> DataFrame:
     return O.nth(rows.withColumn("difficulty", R.tier("s", "q", "stem")["difficulty"]), ["lesson_id"], ["s", "q", "task_id"], "place").select("task_id", "lesson_id", "difficulty", "place")
 
 
-_SQL_NORM = r"trim(regexp_replace(coalesce({0}, ''), '[\s\x{{3000}}\x{{a0}}]+', ' ', 'g'))"
 _SQL_STATS = ", ".join(f"len(regexp_extract_all(x, '{p}'))::BIGINT AS {k}" for k, p in V.PATTERNS.items())
 
 

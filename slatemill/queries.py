@@ -134,6 +134,6 @@ def p5_nodes(spark: SparkSession, d: str) -> DataFrame:
     return nodes.groupBy("record_id", F.col("own_id").alias("node_id"), "parent_id").agg(*[F.max(c).alias(c) for c in extra])
 
 
-from slatemill import catalog_queries, line_queries, store_queries  # noqa: E402, F401
+from slatemill import catalog_queries, line_queries, quality_queries, store_queries  # noqa: E402, F401
 
 __all__ = ["QUERIES", "SQL"]
