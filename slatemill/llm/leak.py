@@ -1,14 +1,15 @@
 """Held-out items leaking into training documents: a document-partitioned positional inverted index.
 
-Terms are runs of GRAM characters of the bare text (letters and digits in one case and width). A first pass counts in how
-many documents each term of the items occurs. In the second every task posts its documents' terms with their positions, segment
-by segment, and for each item intersects the offset-adjusted lists of its rarest terms; where two terms or more agree on an
-offset, the passage is aligned character by character. Postings are kept for terms of the items only, so
-nothing of the corpus is shuffled, and each document is searched whole where it lies.
+Terms are runs of ANCHOR characters of the bare text (letters and digits in one case and width), the shortest runs that count
+as agreeing. Every task posts the items' terms that its documents hold, segment by segment, at the items' places. A pair of
+document and item goes on while the places covered could still make up the least passage wanted, in number and in density;
+these bounds hold for every passage that the alignment accepts, so none is lost. What is left is aligned character by
+character. Postings are kept for terms of the items only, so nothing of the corpus is shuffled, and each document is searched
+whole where it lies.
 """
 
 import unicodedata
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-GRAM, ANCHOR, TABLE = 8, 4, 1 << 22
+ANCHOR, TABLE = 4, 1 << 22
+#: Item places posted at a time by a task.
+POSTS = 1_000_000
+#: Items of fewer bare characters match nothing.
+LEAST = 16
 _P = np.uint64(0x9E3779B97F4A7C15)
 #: Characters of items searched in one pass over the documents; larger sets are searched in blocks of this size, which bounds what is broadcast.
 BLOCK_CHARS = 2_000_000
@@ -65,38 +70,36 @@ class Items:
         self.ids = ids
         codes, self.start = bare(pa.array(texts, pa.string()))
         self.codes = codes
-        hashes = rolled(codes, GRAM)
+        hashes = rolled(codes, ANCHOR)
         owner = np.searchsorted(self.start, np.arange(len(hashes)), "right") - 1
-        whole = np.arange(len(hashes)) + GRAM <= self.start[owner + 1] if len(hashes) else np.empty(0, bool)
+        whole = np.arange(len(hashes)) + ANCHOR <= self.start[owner + 1] if len(hashes) else np.empty(0, bool)
         self.hash, self.owner, self.at = hashes[whole], owner[whole], (np.arange(len(hashes)) - self.start[owner])[whole] if len(hashes) else np.empty(0, np.int64)
-        self.terms = np.unique(self.hash)
+        self.terms, many = np.unique(self.hash, return_counts=True)
+        # owner and place of each term's occurrences, term by term from first on
+        order = np.argsort(self.hash, kind="stable")
+        self.first, self.owner_of, self.at_of = np.r_[0, np.cumsum(many)], self.owner[order], self.at[order]
 
     def length(self, item: int) -> int:
         return int(self.start[item + 1] - self.start[item])
 
-    def text(self, item: int) -> np.ndarray:
-        return self.codes[self.start[item] : self.start[item + 1]]
-
-    def rarest(self, df: np.ndarray, share: float, terms: int = 7) -> np.ndarray:
-        """Positions (in hash, owner, at) of the terms to look for: in each passage of the share wanted, the rarest that do not overlap."""
-        chosen = []
-        rarity = df[np.searchsorted(self.terms, self.hash)]
-        edges = np.searchsorted(self.owner, np.arange(len(self.ids) + 1))
-        for item in range(len(self.ids)):
-            own = np.arange(edges[item], edges[item + 1])
-            window = max(GRAM, int(share * self.length(item))) - GRAM + 1
-            picked: set[int] = set()
-            for s in range(0, max(1, len(own) - window + 1), 3):
-                near = own[s : s + window]
-                order, taken = near[np.argsort(rarity[near], kind="stable")], []
-                for x in order:
-                    if all(abs(int(x) - y) >= GRAM for y in taken):
-                        taken.append(int(x))
-                        if len(taken) == terms:
-                            break
-                picked.update(taken)
-            chosen.extend(sorted(picked))
-        return np.array(chosen, np.int64)
+    @cached_property
+    def _own(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each term by item, and where the items begin there."""
+        return np.searchsorted(self.terms, self.hash), np.searchsorted(self.owner, np.arange(len(self.ids) + 1))
+
+    def met(self, item: int, at: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in the text, place in the item) of the item's terms among a text's (places at, in order; term: place in terms)."""
+        own, edges = self._own
+        own = own[edges[item] : edges[item + 1]]
+        order = np.argsort(own, kind="stable")
+        own = own[order]
+        mine = np.zeros(len(self.terms), bool)
+        mine[own] = True
+        kept = mine[term]
+        at, term = at[kept], term[kept]
+        low = np.searchsorted(own, term)
+        many = np.searchsorted(own, term, "right") - low
+        return np.repeat(at, many), order[np.arange(many.sum()) + np.repeat(low - np.cumsum(many) + many, many)]
 
 
 def found_in(wanted: np.ndarray, table: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,114 +123,147 @@ def segments(batch, text_column: int):
     edges = np.r_[np.flatnonzero(np.r_[True, part[1:] != part[:-1]]), len(lengths)] if len(lengths) else [0]
     for a, b in zip(edges[:-1], edges[1:]):
         codes, start = bare(batch.column(text_column).slice(a, b - a))
-        hashes = rolled(codes, GRAM)
+        hashes = rolled(codes, ANCHOR)
         row = np.repeat(np.arange(b - a), np.diff(start))[: len(hashes)]
-        inside = np.arange(len(hashes)) + GRAM <= start[row + 1]
+        inside = np.arange(len(hashes)) + ANCHOR <= start[row + 1]
         yield int(a), codes, start, hashes, row, inside
 
 
-def on_offsets(item: np.ndarray, codes: np.ndarray, offsets: np.ndarray, low: int, high: int) -> int:
-    """Characters of the item that agree with the document (codes[low:high]) on one of the offsets or one beside it."""
-    agree = np.zeros(len(item), bool)
-    for offset in {int(o) + k for o in offsets for k in (-1, 0, 1)}:
-        a, b = max(0, low - offset), min(len(item), high - offset)
-        if a < b:
-            agree[a:b] |= item[a:b] == codes[offset + a : offset + b]
-    return int(agree.sum())
+def could_hold(row: np.ndarray, term: np.ndarray, items: Items, share: float, agreement: float) -> np.ndarray:
+    """Pairs row * number of items + item whose text may hold a passage; row and term (place in items.terms), sorted and each pair once: the terms in the texts.
 
-
-def passage(item: np.ndarray, text: np.ndarray, gap: int = 12, insertion: int = 60) -> tuple[int, int, int]:
+    A passage has this share of the item and agrees as wanted, so in some stretch of the item of that share or more the text's
+    terms must cover that part of the places.
+    """
+    count, lengths = len(items.ids), np.diff(items.start)
+    first = items.first[term]
+    many = items.first[term + 1] - first
+    post = np.arange(many.sum()) + np.repeat(first - np.cumsum(many) + many, many)
+    key = np.repeat(row * np.int64(count), many) + items.owner_of[post]
+    low = key.min(initial=0) // count * count
+    if (cells := int(key.max(initial=0) - low) // count + 1) * count <= 4 * len(key) + 1024:
+        enough = (np.bincount(key - low, minlength=cells * count).reshape(cells, count) * ANCHOR >= agreement * share * lengths - 1e-6).ravel()[key - low]
+    else:
+        _, place, n = np.unique(key, return_inverse=True, return_counts=True)
+        enough = n[place] * ANCHOR >= agreement * share * lengths[items.owner_of[post]] - 1e-6
+    at = np.sort(key[enough] << 32 | items.at_of[post[enough]])
+    if not len(at):
+        return at
+    key = at >> 32
+    begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    covered = np.minimum(ANCHOR, np.diff(at, prepend=at[0] - ANCHOR))
+    size = np.diff(np.r_[begin, len(at)])
+    least = share * lengths[key[begin] % count]
+    enough = np.add.reduceat(covered, begin) >= agreement * least - 1e-6
+    kept = np.repeat(enough, size)
+    at, key, covered, size, least = at[kept], key[kept], covered[kept], size[enough], np.repeat(least[enough], size[enough])
+    if not len(at):
+        return at
+    # places covered less the part wanted of all places, before each place as a beginning and after each as an end
+    place, total = at & 0xFFFFFFFF, np.cumsum(covered)
+    total -= np.repeat(total[np.cumsum(size) - size], size) - ANCHOR
+    before = total - ANCHOR - agreement * place
+    lower = np.repeat(np.arange(len(size)) * 4.0 * (lengths.max() + ANCHOR), size)
+    lowest = np.minimum.accumulate(before - lower) + lower
+    from_ = np.searchsorted(at, at + ANCHOR - np.ceil(least - 1e-6).astype(np.int64), "right") - 1
+    inside = from_ >= np.repeat(np.cumsum(size) - size, size)
+    return np.unique(key[inside & (total - agreement * (place + ANCHOR) - lowest[from_] >= -1e-3)])
+
+
+def _stretch(there: np.ndarray, least: float, agreement: float) -> bool:
+    """Whether in some stretch of at least so many places this part of them is marked."""
+    size = max(1, int(np.ceil(least - 1e-6)))
+    left = np.r_[0, np.cumsum(there - agreement)]
+    return size < len(left) and bool((left[size:] - np.minimum.accumulate(left[: len(left) - size]) >= -1e-6).any())
+
+
+def passage(p: np.ndarray, q: np.ndarray, length: int, gap: int = 12, insertion: int = 60, least: float = 1, agreement: float = 0) -> tuple[int, int, int]:
     """(begin, end, characters agreeing) of the longest passage of the item in the text, by a local chain of runs that agree.
 
-    Agreement scores 1, each item character left out between two runs -3, so a passage agrees to more than three quarters
-    everywhere; up to ``insertion`` foreign characters of the text may stand between two runs.
+    p, q: the places in text and item (of this length) of every equal term, by p. Agreement scores 1, each item character left
+    out between two runs -3, so a passage agrees to more than three quarters everywhere; up to ``insertion`` foreign characters
+    of the text may stand between two runs. least: characters that the passage has at least; agreement: the part of them that agrees.
     """
-    a, b = rolled(item, ANCHOR), rolled(text, ANCHOR)
-    if not len(a) or not len(b):
-        return 0, 0, 0
-    order = np.argsort(a, kind="stable")
-    left, right = np.searchsorted(a[order], b, "left"), np.searchsorted(a[order], b, "right")
-    many = right - left
-    p = np.repeat(np.arange(len(b)), many)
-    q = order[np.repeat(left, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)] if many.sum() else np.empty(0, np.int64)
-    if not len(p):
-        return 0, 0, 0
+    best = 0, 0, 0
+    # no chain reaches over more foreign characters than one insertion
+    edges = np.flatnonzero(np.r_[True, np.diff(p) > insertion + ANCHOR, True]) if len(p) else []
+    for s, e in zip(edges[:-1], edges[1:]):
+        there = np.zeros(length, bool)
+        for k in range(ANCHOR):
+            there[q[s:e] + k] = True
+        if _stretch(there, least, agreement):
+            found = _chain(p[s:e], q[s:e], length, gap, insertion, least, agreement)
+            if found[1] - found[0] > best[1] - best[0]:
+                best = found
+    return best
+
+
+def _chain(p: np.ndarray, q: np.ndarray, length: int, gap: int, insertion: int, least: float, agreement: float) -> tuple[int, int, int]:
+    """The passage of ``passage`` among places without such an insertion."""
     by = np.lexsort((q, p - q))
     p, q = p[by], q[by]
     new = np.flatnonzero(np.r_[True, (np.diff(q) != 1) | (np.diff(p - q) != 0)])
     ends = np.r_[new[1:], len(p)]
-    runs = sorted(zip(q[new].tolist(), (q[ends - 1] + ANCHOR).tolist(), p[new].tolist()))
-    q0 = np.array([r[0] for r in runs])
-    q1 = np.array([r[1] for r in runs])
-    p0 = np.array([r[2] for r in runs])
+    order = np.lexsort((p[new], q[ends - 1], q[new]))
+    q0, q1, p0 = q[new][order], q[ends - 1][order] + ANCHOR, p[new][order]
     p1 = p0 + (q1 - q0)
-    score, begin, agree = (q1 - q0).astype(float), q0.copy(), q1 - q0
-    best = 0
-    for j in range(len(runs)):
-        i = np.flatnonzero((q1[:j] <= q0[j] + ANCHOR - 1) & (q0[j] - q1[:j] <= gap) & (p1[:j] <= p0[j] + ANCHOR - 1) & (p0[j] - p1[:j] <= insertion) & (q0[:j] < q0[j]))
-        if len(i):
-            over = np.maximum(0, np.maximum(q1[i] - q0[j], p1[i] - p0[j]))
-            gained = score[i] + (q1[j] - q0[j]) - over - 3.0 * np.maximum(0, q0[j] - q1[i]) - np.where(p0[j] - p1[i] > gap, 4.0, 0.0)
-            k = int(np.argmax(gained))
-            if gained[k] > score[j]:
-                score[j], begin[j], agree[j] = gained[k], begin[i[k]], agree[i[k]] + (q1[j] - q0[j]) - over[k]
-        if q1[j] - begin[j] > q1[best] - begin[best]:
-            best = j
-    return int(begin[best]), int(q1[best]), int(agree[best])
+    # which run may follow which
+    by = np.argsort(p1, kind="stable")
+    low, high = np.searchsorted(p1[by], p0 - insertion), np.searchsorted(p1[by], p0 + ANCHOR - 1, "right")
+    many = np.maximum(high - low, 0)
+    j = np.repeat(np.arange(len(q0)), many)
+    i = by[np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)]
+    fits = (q1[i] <= q0[j] + ANCHOR - 1) & (q0[j] - q1[i] <= gap) & (q0[i] < q0[j])
+    i, j = i[fits], j[fits]
+    # runs that none follows and that follow none are passages of their own
+    linked = q1 - q0 >= least - 1e-6
+    linked[i] = linked[j] = True
+    there = np.bincount(q0[linked], minlength=length + 1) - np.bincount(q1[linked], minlength=length + 1)
+    if not _stretch(np.cumsum(there)[:length] > 0, least, agreement):
+        return 0, 0, 0
+    over = np.maximum(0, np.maximum(q1[i] - q0[j], p1[i] - p0[j]))
+    gained = (q1[j] - q0[j]) - over - 3.0 * np.maximum(0, q0[j] - q1[i]) - np.where(p0[j] - p1[i] > gap, 4.0, 0.0)
+    order = np.lexsort((i, j))
+    i, gained, over = i[order].tolist(), gained[order].tolist(), over[order].tolist()
+    edge = np.r_[0, np.cumsum(np.bincount(j, minlength=len(q0)))].tolist()
+    starts, stops = q0.tolist(), q1.tolist()
+    score, begin, agree = [float(b - a) for a, b in zip(starts, stops)], starts[:], [b - a for a, b in zip(starts, stops)]
+    best = 0, 0, 0
+    for k in np.flatnonzero(linked).tolist():
+        own = agree[k]
+        for x in range(edge[k], edge[k + 1]):
+            if score[i[x]] + gained[x] > score[k]:
+                score[k], begin[k], agree[k] = score[i[x]] + gained[x], begin[i[x]], agree[i[x]] + own - over[x]
+        size = stops[k] - begin[k]
+        if size > best[1] - best[0] and size >= least - 1e-6 and agree[k] >= agreement * size:
+            best = begin[k], stops[k], agree[k]
+    return best
 
 
 def _matches(docs: DataFrame, items: Items, share: float, agreement: float) -> DataFrame:
-    sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast(items)
-
-    def frequency(batches):
-        terms = shared.value.terms
-        table, total = bits(terms), np.zeros(len(terms), np.int64)
-        for batch in batches:
-            for _, _, _, hashes, row, inside in segments(batch, 0):
-                at, place = found_in(terms, table, hashes)
-                at, place = at[inside[at]], place[inside[at]]
-                total += np.bincount(np.unique(row[at] * np.int64(len(terms)) + place) % len(terms), minlength=len(terms))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some])], names=["term", "n"])
-
-    rows = docs.select("text").mapInArrow(frequency, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-    df = np.zeros(len(items.terms), np.int64)
-    df[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
-    chosen = sc.broadcast(items.rarest(df, share))
+    shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def search(batches):
-        items, chosen_at = shared.value, chosen.value
-        wanted, group = np.unique(items.hash[chosen_at], return_inverse=True)
-        by_term = chosen_at[np.argsort(group, kind="stable")]
-        first = np.r_[0, np.cumsum(np.bincount(group, minlength=len(wanted)))]
-        table = bits(wanted)
+        items = shared.value
+        table = bits(items.terms)
         for batch in batches:
             out: dict[tuple[int, int], tuple] = {}
             for base, codes, start, hashes, row, inside in segments(batch, 1):
-                at, place = found_in(wanted, table, hashes)
+                at, place = found_in(items.terms, table, hashes)
                 at, place = at[inside[at]], place[inside[at]]
-                if not len(at):
-                    continue
-                many = first[place + 1] - first[place]
-                post = np.repeat(at, many)
-                term = by_term[np.repeat(first[place], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)]
-                key = row[post] * np.int64(len(items.ids)) + items.owner[term]
-                offset = post - items.at[term]
-                order = np.lexsort((offset, key))
-                key, offset, term = key[order], offset[order], term[order]
-                new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (np.diff(offset) > 80)])
-                for s, e in zip(new, np.r_[new[1:], len(key)]):
-                    if e - s < 2 or len(np.unique(term[s:e])) < 2:
-                        continue
-                    doc, item = divmod(int(key[s]), len(items.ids))
-                    # what agrees on the offsets found, or one beside them, must make up most of the least passage
-                    if on_offsets(items.text(item), codes, offset[s:e], int(start[doc]), int(start[doc + 1])) < 0.7 * share * items.length(item):
-                        continue
-                    low, high = max(start[doc], offset[s] - 100), min(start[doc + 1], offset[e - 1] + items.length(item) + 100)
-                    b, t, agree = passage(items.text(item), codes[low:high])
-                    if t - b >= share * items.length(item) and agree >= agreement * (t - b) and (old := out.get((base + doc, item), (0, 0, 0))) and t - b > old[1] - old[0]:
-                        out[base + doc, item] = (b, t, agree)
+                term_of, term = np.divmod(np.unique(row[at] * np.int64(len(items.terms)) + place), len(items.terms))
+                # whole texts together, as many as have about POSTS places
+                ends = np.flatnonzero(np.r_[term_of[1:] != term_of[:-1], True]) + 1 if len(term) else np.empty(0, np.int64)
+                part = np.cumsum(items.first[term + 1] - items.first[term])[ends - 1] // POSTS
+                edges = np.r_[0, ends[np.flatnonzero(np.r_[part[1:] != part[:-1], True])]] if len(ends) else [0]
+                for s, e in zip(edges[:-1], edges[1:]):
+                    for pair in could_hold(term_of[s:e], term[s:e], items, share, agreement).tolist():
+                        doc, item = divmod(pair, len(items.ids))
+                        length = items.length(item)
+                        own = slice(*np.searchsorted(at, start[doc : doc + 2]))
+                        b, t, agree = passage(*items.met(item, at[own], place[own]), length, least=share * length, agreement=agreement)
+                        if length >= LEAST and t > b:
+                            out[base + doc, item] = (b, t, agree)
             if out:
                 ids = batch.column(0).take(pa.array([k[0] for k in out]))
                 share_of = [(v[1] - v[0]) / items.length(k[1]) for k, v in out.items()]
@@ -246,7 +282,7 @@ def leaked_items(docs: DataFrame, items: DataFrame, share: float = 0.46, agreeme
     their match once; null ids and further columns are left out. Items are searched in blocks of BLOCK_CHARS characters, all documents against each.
     """
     docs = docs.select("doc_id", "text").filter("doc_id is not null")
-    rows = items.select("item_id", "text").filter("item_id is not null and length(text) >= 16").distinct().orderBy("item_id").toLocalIterator()
+    rows = items.select("item_id", "text").filter(F.col("item_id").isNotNull() & (F.length("text") >= LEAST)).distinct().orderBy("item_id").toLocalIterator()
     found, ids, texts, size = None, [], [], 0
 
     def flush(found):

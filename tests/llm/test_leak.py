@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from slatemill.llm import leak as L
 
 ITEMS = [("h1", "圆的半径为35.6，弦的长度为51.8，忽略彩绘键盘自身的质量与摩擦，点K在线段OK上移动，速度为每秒49.05 cm，请设计实验验证碘液的作用．"), ("h2", "The foggy barrel near the rapid festival was described by Halle because the telescope needed more water. Neither the quiet ladder nor the wild mirror could explain it."), ("h3", "短题"), ("h4", None), (None, "没有编号的题目没有编号的题目没有编号的题目")]
@@ -45,3 +48,35 @@ def test_blocks_of_items(spark, monkeypatch):
     df = spark.createDataFrame([(i, t) for i, t, _ in planted()], "doc_id long, text string")
     got = {(r["doc_id"], r["item_id"]) for r in L.leaked_items(df, spark.createDataFrame(ITEMS, "item_id string, text string")).collect()}
     assert got == {(i, h) for i, _, hs in planted() for h in hs}
+
+
+def torn():
+    """Half of each item with an insertion of six characters at every third place and one character in forty damaged."""
+    random.seed(5)
+    noise = lambda n: "".join(chr(random.randint(0x5000, 0x8000)) for _ in range(n))
+    out = []
+    for item in (ITEMS[0][1], ITEMS[1][1]):
+        for begin in (0, len(item) // 2):
+            for at in range(4, len(item) // 2 - 4, 3):
+                part = list(item[begin : begin + len(item) // 2 + 1])
+                for k in range(random.randrange(40), len(part), 40):
+                    part[k] = "口"
+                out.append(noise(60) + "".join(part[:at]) + noise(6) + "".join(part[at:]) + noise(60))
+    return out
+
+
+def test_torn_as_by_brute_force(spark, monkeypatch):
+    """Nothing that the alignment of every document with every item accepts is lost before it."""
+    texts = torn() + [t for _, t, _ in planted()[:10]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in L.leaked_items(df, spark.createDataFrame(ITEMS[:2], "item_id string, text string")).collect()}
+    monkeypatch.setattr(L, "_stretch", lambda *_: True)
+    want = set()
+    for name, item in ITEMS[:2]:
+        item = L.bare(pa.array([item]))[0]
+        for n, text in enumerate(texts):
+            text = L.bare(pa.array([text]))[0]
+            p, q = np.nonzero(L.rolled(text, L.ANCHOR)[:, None] == L.rolled(item, L.ANCHOR)[None, :])
+            if len(p) and (x := L.passage(p, q, len(item), least=0.46 * len(item), agreement=0.9)) and x[1] > x[0]:
+                want.add((n, name))
+    assert got == want and len({n for n, _ in want if n < len(torn())}) > 0.9 * len(torn())
