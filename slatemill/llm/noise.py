@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slatemill.functions.text import GLYPHS
 from slatemill.llm import textnorm
 from slatemill.plans.cut import cut
 
@@ -341,8 +342,35 @@ def find_noise(texts: DataFrame, repairs: list[Repairs]) -> DataFrame:
     return found.distinct()
 
 
+def _in_place(text: str, repairs: Repairs) -> str:
+    """The text with misread ideographs, digits, symbols and words replaced, until none is left to repair; a mended neighbour may confirm the next."""
+    seen = set()
+    while text not in seen:
+        seen.add(text)
+        for at, meant in repairs.in_contexts([text]).get(0, ()):
+            text = text[:at] + chr(meant) + text[at + 1 :]
+        text = _PRIVATE.sub(lambda m: GLYPHS.get(m[0], ""), text)
+        text = _NUMBER.sub(lambda m: "".join(DIGITS.get(c, c) for c in m[0]) if any(c in DIGITS for c in m[0]) and re.fullmatch(r"[\d.lIOoZSBG]+", m[0]) else m[0], text)
+        if _latin(text):
+            text = "\n".join(_in_words(line, repairs) for line in text.split("\n"))
+    return text
+
+
+def _in_words(line: str, repairs: Repairs) -> str:
+    """The line with its misread words replaced, last to first; a word cut by a hyphen stays."""
+    found = [*_TOKEN.finditer(line)]
+    words = [m[0] for m in found]
+    for k in range(len(found) - 1, -1, -1):
+        m = found[k]
+        cut_off = re.match(r"-\s*$|-[ \t]*(?=\n)|- (?=[a-z])", line[m.end() :]) or re.search(r"[a-z]- $", line[: m.start()])
+        if not cut_off and (meant := repairs.word(words, k, k == 0)):
+            words[k] = meant.upper() if m[0].isupper() and len(m[0]) > 1 else meant.capitalize() if m[0][0].isupper() else meant
+            line = line[: m.start()] + words[k] + line[m.end() :]
+    return line
+
+
 def repaired(text: str | None, repairs: Repairs) -> str | None:
-    """The text as continuous paragraphs: furniture dropped, cut words joined, lines joined, misread characters repaired.
+    """The text as continuous paragraphs: furniture dropped, cut words joined, lines joined, misread characters and words repaired wherever ``examine`` finds them; private-use symbols become the signs they show or are dropped.
 
     A line that ends a sentence before a shorter or blank line ends a paragraph; null stays null.
     """
@@ -354,14 +382,7 @@ def repaired(text: str | None, repairs: Repairs) -> str | None:
         whole = (a == 0 or text[a - 1] == "\n") and text[b : b + 1] == "\n"
         text = text[:a] + text[b + whole :]
     text = re.sub(r"(?<=[^\W\d_])-[ \t]*\n(?=[a-z])|(?<=[a-z])- (?=[a-z])", lambda m: "-" if text[: m.start()].rpartition(" ")[2].rpartition("\n")[2].lower() in repairs.heads else "", text)
-
-    def number(m):
-        bad = any(c in DIGITS for c in m[0]) and re.fullmatch(r"[\d.lIOoZSBG]+", m[0]) and not (text[max(0, m.start() - 1) : m.start()].isascii() and text[max(0, m.start() - 1) : m.start()].isalpha())
-        return "".join(DIGITS.get(c, c) for c in m[0]) if bad else m[0]
-
-    text = _NUMBER.sub(number, text)
-    if _latin(text):
-        text = _TOKEN.sub(lambda m: (lambda w: w if w is None else w.capitalize() if m[0][0].isupper() else w)(repairs.words.get(m[0].lower(), (None, False))[0] if repairs.words.get(m[0].lower(), (None, False))[1] else None) or m[0], text)
+    text = _in_place(text, repairs)
     lines = [x.strip() for x in text.split("\n")]
     width = max(map(len, lines), default=0)
     out = ""
@@ -373,7 +394,8 @@ def repaired(text: str | None, repairs: Repairs) -> str | None:
         out += joint + line
         if k + 1 < len(lines) and re.search(r"[。！？!?.．]$", line) and len(line) < 0.7 * width:
             out += "\n"
-    return re.sub(r"(?<=[^\x00-\x7f]) (?=[^\x00-\x7f])", "", out).strip()
+    # lines joined show words and neighbours whole
+    return _in_place(re.sub(r"(?<=[^\x00-\x7f]) (?=[^\x00-\x7f])", "", out).strip(), repairs).strip()
 
 
 def repair(texts: DataFrame, repairs: list[Repairs]) -> DataFrame:

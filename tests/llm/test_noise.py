@@ -51,3 +51,16 @@ def test_parts_find_the_same(spark, monkeypatch):
     monkeypatch.setattr(N, "MAX_FORMS", 2)
     parts = learned(spark)
     assert len(parts) > 2 and sorted(map(tuple, N.find_noise(df, parts).collect())) == want and len(want) == 5
+
+
+def test_repairs_all_it_finds(spark):
+    """No misread character or word that is found is left by the repair."""
+    repairs = learned(spark)[0]
+    look, fix = (lambda t: set(N.examine([t], repairs, False)[0])), (lambda t: N.repaired(t, repairs))
+    assert repairs.words["dcscribed"][0] == "described" and fix(ENGLISH[1].replace("described", "dcscribed")) == ENGLISH[1]
+    repairs.words |= {"shquld": ("should", False), "mentiqn": ("mention", False)}
+    repairs.follows.update({("should", "mention"), ("mention", "the")})
+    assert fix(ENGLISH[1].replace("should mention", "shquld mentiqn")) == ENGLISH[1] and fix("Careful answer Shquld mention the valley") == "Careful answer Should mention the valley"
+    assert fix("\uf03d71.4") == "=71.4" and fix("32\uf0b0") == "32" and fix("已知\uf0a3\n函数") == "已知≤函数"
+    noisy = [CLEAN[0].replace("数据", "教据").replace("平均速度", "平均\n谏度"), "\uf03d71.4，求", "32\uf0b0", ENGLISH[0].replace("should", "shou1d").replace("compare", "cornpare"), ENGLISH[1].replace("described", "dcscribed").replace("should", "shou1d"), ENGLISH[1].replace("which was dcscribed", "which was\ndcscribed"), "运行6Z分钟"]
+    assert all("misread" in look(t) for t in noisy[:5]) and not any("misread" in look(fix(t)) for t in noisy)
