@@ -190,6 +190,13 @@ class Repairs:
         order = np.argsort(keys)
         self.keys, self.meant, self.words, self.follows, self.heads = keys[order], meant[order], words, follows, heads
 
+    def only(self, keys: np.ndarray, words: set[str]) -> "Repairs":
+        """Those that these contexts (sorted) and words may need; a word and what may follow it are in one part."""
+        kept = np.isin(self.keys, keys)
+        meant = {w: self.words[w] for w in words if w in self.words}
+        after = {m for m, _ in meant.values()}
+        return Repairs(self.keys[kept], self.meant[kept], meant, {f for f in self.follows if f[0] in after and (not f[1] or f[1] in words)}, self.heads)
+
     def in_contexts(self, texts: list[str]) -> dict[int, list[tuple[int, int]]]:
         """For each text with misread ideographs their (place in it, meant), by the text's place."""
         out: dict[int, list[tuple[int, int]]] = {}
@@ -211,6 +218,55 @@ class Repairs:
         return meant
 
 
+class Together(Repairs):
+    """The repairs of all parts, as far as they were asked for: what is asked is noted and looked up in the parts between two runs."""
+
+    def __init__(self, heads: set[str]):
+        super().__init__(np.empty(0, np.int64), np.empty(0, np.int64), {}, set(), heads)
+        self.asked_texts, self.asked_words = set(), set()
+
+    def in_contexts(self, texts: list[str]) -> dict[int, list[tuple[int, int]]]:
+        self.asked_texts.update(texts)
+        return super().in_contexts(texts)
+
+    def word(self, found: list[str], k: int, first: bool) -> str | None:
+        self.asked_words.update(w.lower() for w in found)
+        return super().word(found, k, first)
+
+    def add(self, part: Repairs) -> None:
+        new = ~np.isin(part.keys, self.keys)
+        keys, meant = np.r_[self.keys, part.keys[new]], np.r_[self.meant, part.meant[new]]
+        order = np.argsort(keys)
+        self.keys, self.meant = keys[order], meant[order]
+        self.words |= part.words
+        self.follows |= part.follows
+
+
+def _held(shared):
+    """The value of a broadcast part, which is not kept where it can be loaded again."""
+    part = shared.value
+    if getattr(shared, "_path", None):
+        shared.__dict__.pop("_value", None)
+    return part
+
+
+def with_all(shared: list, run):
+    """run(repairs) with the repairs of all parts (broadcast), of which one is held at a time."""
+    if len(shared) == 1:
+        return run(shared[0].value)
+    together = Together(_held(shared[0]).heads)
+    texts, words = set(), set()
+    while True:
+        result = run(together)
+        if together.asked_texts <= texts and together.asked_words <= words:
+            return result
+        texts |= together.asked_texts
+        words |= together.asked_words
+        keys = np.unique(_contexts(sorted(texts))[0])
+        for part in shared:
+            together.add(_held(part).only(keys, words))
+
+
 def furniture(text: str) -> tuple[list[tuple[int, int, str]], bool, bool]:
     """(spans, header?, page number?) of the page furniture in a text, by lines and, in run-together text, between blanks."""
     spans, header, page = [], False, False
@@ -321,25 +377,27 @@ def learn(texts: DataFrame) -> list[Repairs]:
     return out
 
 
+def _chunks(batches, parts: int):
+    """(src, ids, texts) of 2,000 rows at a time; of whole batches if several parts are to be loaded for each."""
+    for batch in batches:
+        src, ids, values = (batch.column(k).to_pylist() for k in range(3))
+        size = 2000 if parts == 1 else max(1, len(ids))
+        for a in range(0, len(ids), size):
+            yield src[a : a + size], ids[a : a + size], values[a : a + size]
+
+
 def find_noise(texts: DataFrame, repairs: list[Repairs]) -> DataFrame:
     """Rows (src, id, kind), each once, of the noise in texts (src, id, text). Null and empty texts have none."""
-    found = None
-    for part in repairs:
-        shared = texts.sparkSession.sparkContext.broadcast(part)
+    shared = [texts.sparkSession.sparkContext.broadcast(part) for part in repairs]
 
-        def look(batches, shared=shared):
-            for batch in batches:
-                src, ids, values = (batch.column(k).to_pylist() for k in range(3))
-                out = []
-                for a in range(0, len(ids), 2000):
-                    kinds = examine(values[a : a + 2000], shared.value, False)
-                    out += [(s, i, kind) for s, i, ks in zip(src[a : a + 2000], ids[a : a + 2000], kinds) for kind in ks]
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*out)], names=["src", "id", "kind"])
+    def look(batches):
+        for src, ids, values in _chunks(batches, len(shared)):
+            kinds = with_all(shared, lambda known: examine(values, known, False))
+            out = [(s, i, kind) for s, i, ks in zip(src, ids, kinds) for kind in ks]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*out)], names=["src", "id", "kind"])
 
-        one = texts.select("src", "id", "text").filter("text <> '' and id is not null").mapInArrow(look, "src string, id string, kind string")
-        found = one if found is None else found.unionByName(one)
-    return found.distinct()
+    return texts.select("src", "id", "text").filter("text <> '' and id is not null").mapInArrow(look, "src string, id string, kind string").distinct()
 
 
 def _in_place(text: str, repairs: Repairs) -> str:
@@ -399,13 +457,12 @@ def repaired(text: str | None, repairs: Repairs) -> str | None:
 
 
 def repair(texts: DataFrame, repairs: list[Repairs]) -> DataFrame:
-    """texts (src, id, text) with ``repaired``; the repairs of all parts are applied in turn."""
-    for part in repairs:
-        shared = texts.sparkSession.sparkContext.broadcast(part)
+    """texts (src, id, text) with ``repaired``, by the repairs of all parts together."""
+    shared = [texts.sparkSession.sparkContext.broadcast(part) for part in repairs]
 
-        def mend(batches, shared=shared):
-            for batch in batches:
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([repaired(t, shared.value) for t in batch.column(2).to_pylist()], pa.string())], names=["src", "id", "text"])
+    def mend(batches):
+        for src, ids, values in _chunks(batches, len(shared)):
+            out = with_all(shared, lambda known: [repaired(t, known) for t in values])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in (src, ids, out)], names=["src", "id", "repaired"])
 
-        texts = texts.select("src", "id", "text").mapInArrow(mend, "src string, id string, text string")
-    return texts.withColumnRenamed("text", "repaired")
+    return texts.select("src", "id", "text").mapInArrow(mend, "src string, id string, repaired string")

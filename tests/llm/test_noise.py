@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from slatemill.llm import noise as N
 
 CLEAN = ["已知函数的图象经过点，测得平均速度为5 m/s，数据的方差为3，求取值范围．", "向盛有氯化钠溶液的容器里逐滴加入3 mL的水，温度由1℃升高到3℃，求质量分数．", "电阻两端的电压不超过9 V，忽略自身的质量与摩擦，求证垂直于线段．"]
@@ -64,3 +66,28 @@ def test_repairs_all_it_finds(spark):
     assert fix("\uf03d71.4") == "=71.4" and fix("32\uf0b0") == "32" and fix("已知\uf0a3\n函数") == "已知≤函数"
     noisy = [CLEAN[0].replace("数据", "教据").replace("平均速度", "平均\n谏度"), "\uf03d71.4，求", "32\uf0b0", ENGLISH[0].replace("should", "shou1d").replace("compare", "cornpare"), ENGLISH[1].replace("described", "dcscribed").replace("should", "shou1d"), ENGLISH[1].replace("which was dcscribed", "which was\ndcscribed"), "运行6Z分钟"]
     assert all("misread" in look(t) for t in noisy[:5]) and not any("misread" in look(fix(t)) for t in noisy)
+
+
+def split(whole, n):
+    """The repairs in n parts, neighbouring contexts and words in different ones."""
+    words = sorted(whole.words)
+    parts = []
+    for k in range(n):
+        own = {w: whole.words[w] for w in words if sum(map(ord, whole.words[w][0])) % n == k}
+        parts.append(N.Repairs(whole.keys[k::n], whole.meant[k::n], own, {f for f in whole.follows if sum(map(ord, f[0])) % n == k}, whole.heads))
+    return parts
+
+
+def test_parts_as_one(spark):
+    """Furniture that needs the repairs of several parts is found and dropped as with all in one."""
+    key = lambda l, c, r: (N._plain()[ord(l)] << 42) | (N._plain()[ord(c)] << 21) | N._plain()[ord(r)]
+    text = "已知函数的图\n碧波数研纽内部资料 l0\n象经过点，求取值范围．"
+    forms = sorted([(int(key("波", "数", "研")), ord("教")), (int(key("研", "纽", "内")), ord("组"))])
+    whole = N.Repairs(*map(np.array, zip(*forms)), {"shquld": ("should", False), "mentiqn": ("mention", False)}, {("should", "mention"), ("mention", "the")}, set())
+    df = spark.createDataFrame([("a", "1", text), ("a", "2", "The answer shquld mentiqn the careful valley."), ("a", "3", None), ("a", "1", text)], "src string, id string, text string")
+    for parts in (split(whole, 2), split(whole, 3), [*split(whole, 2)[::-1]]):
+        found = sorted(map(tuple, N.find_noise(df, parts).collect()))
+        assert found == sorted(map(tuple, N.find_noise(df, [whole]).collect())) and [f[2] for f in found] == ["header", "page_number", "misread"]
+        fixed = sorted(map(tuple, N.repair(df, parts).collect()), key=str)
+        assert fixed == sorted(map(tuple, N.repair(df, [whole]).collect()), key=str)
+        assert {r[1]: r[2] for r in fixed} == {"1": "已知函数的图象经过点，求取值范围．", "2": "The answer should mention the careful valley.", "3": None}
