@@ -1,11 +1,16 @@
-"""Held-out items leaking into training documents: a document-partitioned positional inverted index.
+"""Held-out items leaking into training documents: a stored positional inverted index, partitioned by document.
 
 Terms are runs of ANCHOR characters of the bare text (letters and digits in one case and width), the shortest runs that count
-as agreeing. Every task posts the items' terms that its documents hold, segment by segment, at the items' places. A pair of
-document and item goes on while the places covered could still make up the least passage wanted, in number and in density;
-these bounds hold for every passage that the alignment accepts, so none is lost. What is left is aligned character by
-character. Postings are kept for terms of the items only, so nothing of the corpus is shuffled, and each document is searched
-whole where it lies.
+as agreeing. One scan of the documents writes their positional postings, shard by shard (a shard is about SEGMENT_CHARS
+characters of documents): for every term that some item has, the places where it stands. Items are then searched in the
+stored index only, in blocks of bounded size. In a shard an item's lists are intersected from the rarest term on: as many of
+its commonest places are left out at first as every passage can spare, and only texts that hold enough of the rest get all
+their lists. A pair goes on while the places covered, adjusted by offset, could still make up the least passage wanted, in
+number and in density; these bounds hold for every passage that the alignment accepts, so none is lost. What is left is
+aligned place by place from the postings, which gives exact and proximity matches; no text is read twice.
+
+Lists are partitioned by document and not by term because a term's list would have to be joined with every item that has the
+term: see README for the figures.
 """
 
 import unicodedata
@@ -17,15 +22,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slatemill.plans.cut import cut
+
 ANCHOR, TABLE = 4, 1 << 22
 #: Item places posted at a time by a task.
 POSTS = 1_000_000
-#: Items of fewer bare characters match nothing.
+#: Items of fewer bare characters match nothing: a phrase of a few words is no leak.
 LEAST = 16
 _P = np.uint64(0x9E3779B97F4A7C15)
-#: Characters of items searched in one pass over the documents; larger sets are searched in blocks of this size, which bounds what is broadcast.
+#: Characters of items searched in one pass over the stored index; larger sets are searched in blocks of this size, which bounds what is broadcast.
 BLOCK_CHARS = 2_000_000
-#: Characters of documents indexed at a time by a task.
+#: Characters of documents in one shard of the index.
 SEGMENT_CHARS = 400_000
 
 
@@ -78,6 +85,7 @@ class Items:
         # owner and place of each term's occurrences, term by term from first on
         order = np.argsort(self.hash, kind="stable")
         self.first, self.owner_of, self.at_of = np.r_[0, np.cumsum(many)], self.owner[order], self.at[order]
+        self.term_of = np.repeat(np.arange(len(self.terms)), many)
 
     def length(self, item: int) -> int:
         return int(self.start[item + 1] - self.start[item])
@@ -102,18 +110,44 @@ class Items:
         return np.repeat(at, many), order[np.arange(many.sum()) + np.repeat(low - np.cumsum(many) + many, many)]
 
 
-def found_in(wanted: np.ndarray, table: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where a wanted term (sorted) stands among the hashes, and which; table: bits of the wanted terms by hash, to skip the rest."""
-    maybe = np.flatnonzero(table[(hashes & np.uint64(TABLE - 1)).astype(np.int64)])
-    place = np.minimum(np.searchsorted(wanted, hashes[maybe]), len(wanted) - 1)
-    hit = wanted[place] == hashes[maybe]
-    return maybe[hit], place[hit]
+def mark(table: np.ndarray, terms: np.ndarray) -> None:
+    """Notes the terms in a table of TABLE bits. Whatever the number of items, it has this size; a full one only makes the index larger."""
+    table[(terms & np.uint64(TABLE - 1)).astype(np.int64)] = True
+
+
+def postings(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """The stored index of documents (doc_id, text): a row a shard with its documents, where each begins, and the sorted terms with their places.
+
+    wanted: bits of the terms that are posted, by hash. doc: ids; start: first place of each document; term: hashes; n: places
+    of each term; step: the places of the first term, then of the next, each as the difference from the one before.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(wanted).tobytes())
+    kinds = {"doc": pa.list_(pa.int64()), "start": pa.list_(pa.int32()), "term": pa.list_(pa.int64()), "n": pa.list_(pa.int32()), "step": pa.list_(pa.int32())}
+
+    def post(batches):
+        table = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for base, _, start, hashes, _, inside in segments(batch, 1):
+                at = np.flatnonzero(table[(hashes & np.uint64(TABLE - 1)).astype(np.int64)] & inside)
+                if len(at):
+                    order = np.argsort(hashes[at], kind="stable")
+                    term, n = np.unique(hashes[at], return_counts=True)
+                    row = ids[base : base + len(start) - 1], start[:-1].astype(np.int32), term.view(np.int64), n.astype(np.int32), np.diff(at[order], prepend=0).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, kinds[k].value_type)) for k, x in zip(kinds, row)], names=[*kinds])
+
+    return cut(docs.select("doc_id", "text").mapInArrow(post, "doc array<bigint>, start array<int>, term array<bigint>, n array<int>, step array<int>"))
 
 
-def bits(wanted: np.ndarray) -> np.ndarray:
-    table = np.zeros(TABLE, bool)
-    table[(wanted & np.uint64(TABLE - 1)).astype(np.int64)] = True
-    return table
+def in_shard(items: "Items", term: np.ndarray, n: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in the shard, place in items.terms) of the items' terms, in the order of places."""
+    place = np.minimum(np.searchsorted(items.terms, term), len(items.terms) - 1)
+    known = items.terms[place] == term
+    at = np.cumsum(step, dtype=np.int64)
+    mine = np.repeat(known, n)
+    at, place = at[mine], np.repeat(place[known], n[known])
+    order = np.argsort(at, kind="stable")
+    return at[order], place[order]
 
 
 def segments(batch, text_column: int):
@@ -129,24 +163,55 @@ def segments(batch, text_column: int):
         yield int(a), codes, start, hashes, row, inside
 
 
+def _counted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different keys, each key's place among them and their counts."""
+    low = key.min() if len(key) else 0
+    if len(key) * 4 + 1024 < key.max(initial=0) - low:
+        return np.unique(key, return_inverse=True, return_counts=True)
+    n = np.bincount(key - low)
+    held = np.flatnonzero(n)
+    where = np.cumsum(n > 0) - 1
+    return held + low, where[key - low], n[held]
+
+
 def could_hold(row: np.ndarray, term: np.ndarray, items: Items, share: float, agreement: float) -> np.ndarray:
     """Pairs row * number of items + item whose text may hold a passage; row and term (place in items.terms), sorted and each pair once: the terms in the texts.
 
     A passage has this share of the item and agrees as wanted, so in some stretch of the item of that share or more the text's
-    terms must cover that part of the places.
+    terms must cover that part of the places. A term covers ANCHOR places, which tells how many places of an item must be met
+    at least; half as many, its commonest ones in these texts, are first left out.
     """
     count, lengths = len(items.ids), np.diff(items.start)
-    first = items.first[term]
-    many = items.first[term + 1] - first
-    post = np.arange(many.sum()) + np.repeat(first - np.cumsum(many) + many, many)
-    key = np.repeat(row * np.int64(count), many) + items.owner_of[post]
-    low = key.min(initial=0) // count * count
-    if (cells := int(key.max(initial=0) - low) // count + 1) * count <= 4 * len(key) + 1024:
-        enough = (np.bincount(key - low, minlength=cells * count).reshape(cells, count) * ANCHOR >= agreement * share * lengths - 1e-6).ravel()[key - low]
-    else:
-        _, place, n = np.unique(key, return_inverse=True, return_counts=True)
-        enough = n[place] * ANCHOR >= agreement * share * lengths[items.owner_of[post]] - 1e-6
-    at = np.sort(key[enough] << 32 | items.at_of[post[enough]])
+    need = np.maximum(np.ceil((agreement * share * lengths - 1e-6) / ANCHOR).astype(np.int64), 1)
+    # an item's places from its commonest term on
+    texts = np.bincount(term, minlength=len(items.terms))
+    common = texts[items.term_of]
+    order = np.lexsort((-common, items.owner_of))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order)) - np.searchsorted(items.owner_of[order], np.arange(count))[items.owner_of[order]]
+    spared = rank < (need // 2)[items.owner_of]
+
+    def post(rows, terms, of):
+        first = of[1][terms]
+        many = of[1][terms + 1] - first
+        place = of[0][np.arange(many.sum()) + np.repeat(first - np.cumsum(many) + many, many)]
+        return np.repeat(rows, many) * np.int64(count) + items.owner_of[place], place
+
+    def lists(chosen):
+        return np.flatnonzero(chosen), np.r_[0, np.cumsum(chosen)][items.first]
+
+    key, post_at = post(row, term, lists(~spared))
+    pair, place, met = _counted(key)
+    left = need - np.minimum(need // 2, lengths)
+    alive = met >= left[pair % count]
+    kept = alive[place]
+    pair, key, post_at = pair[alive], key[kept], post_at[kept]
+    if len(pair):
+        rows = np.isin(row, pair // count)
+        rest, rest_at = post(row[rows], term[rows], lists(spared))
+        known = pair[np.minimum(np.searchsorted(pair, rest), len(pair) - 1)] == rest
+        key, post_at = np.r_[key, rest[known]], np.r_[post_at, rest_at[known]]
+    at = np.sort(key << 32 | items.at_of[post_at])
     if not len(at):
         return at
     key = at >> 32
@@ -240,36 +305,34 @@ def _chain(p: np.ndarray, q: np.ndarray, length: int, gap: int, insertion: int,
     return best
 
 
-def _matches(docs: DataFrame, items: Items, share: float, agreement: float) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+def _matches(index: DataFrame, items: Items, share: float, agreement: float) -> DataFrame:
+    shared = index.sparkSession.sparkContext.broadcast(items)
 
     def search(batches):
         items = shared.value
-        table = bits(items.terms)
         for batch in batches:
-            out: dict[tuple[int, int], tuple] = {}
-            for base, codes, start, hashes, row, inside in segments(batch, 1):
-                at, place = found_in(items.terms, table, hashes)
-                at, place = at[inside[at]], place[inside[at]]
-                term_of, term = np.divmod(np.unique(row[at] * np.int64(len(items.terms)) + place), len(items.terms))
+            for k in range(batch.num_rows):
+                doc, start, term, n, step = (batch.column(c)[k].values.to_numpy(zero_copy_only=False) for c in range(5))
+                at, place = in_shard(items, term.view(np.uint64), n, step)
+                row = np.searchsorted(start, at, "right") - 1
+                term_of, term = np.divmod(np.unique(row * np.int64(len(items.terms)) + place), len(items.terms))
                 # whole texts together, as many as have about POSTS places
                 ends = np.flatnonzero(np.r_[term_of[1:] != term_of[:-1], True]) + 1 if len(term) else np.empty(0, np.int64)
                 part = np.cumsum(items.first[term + 1] - items.first[term])[ends - 1] // POSTS
                 edges = np.r_[0, ends[np.flatnonzero(np.r_[part[1:] != part[:-1], True])]] if len(ends) else [0]
+                out = []
                 for s, e in zip(edges[:-1], edges[1:]):
                     for pair in could_hold(term_of[s:e], term[s:e], items, share, agreement).tolist():
-                        doc, item = divmod(pair, len(items.ids))
+                        d, item = divmod(pair, len(items.ids))
                         length = items.length(item)
-                        own = slice(*np.searchsorted(at, start[doc : doc + 2]))
+                        own = slice(*np.searchsorted(row, [d, d + 1]))
                         b, t, agree = passage(*items.met(item, at[own], place[own]), length, least=share * length, agreement=agreement)
-                        if length >= LEAST and t > b:
-                            out[base + doc, item] = (b, t, agree)
-            if out:
-                ids = batch.column(0).take(pa.array([k[0] for k in out]))
-                share_of = [(v[1] - v[0]) / items.length(k[1]) for k, v in out.items()]
-                yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array([items.ids[k[1]] for k in out]), pa.array(share_of), pa.array([v[2] / (v[1] - v[0]) for v in out.values()])], names=["doc_id", "item_id", "share", "agreement"])
+                        if t > b:
+                            out.append((doc[d], items.ids[item], (t - b) / length, agree / (t - b)))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), (pa.int64(), pa.string(), pa.float64(), pa.float64()))], names=["doc_id", "item_id", "share", "agreement"])
 
-    return docs.select("doc_id", "text").mapInArrow(search, "doc_id long, item_id string, share double, agreement double")
+    return index.mapInArrow(search, "doc_id long, item_id string, share double, agreement double")
 
 
 def leaked_items(docs: DataFrame, items: DataFrame, share: float = 0.46, agreement: float = 0.9) -> DataFrame:
@@ -278,26 +341,35 @@ def leaked_items(docs: DataFrame, items: DataFrame, share: float = 0.46, agreeme
     Spacing, line breaks, case, width and punctuation do not count, nor do insertions of up to 60 characters and scattered
     damaged ones, as long as the given part of the passage agrees. share is measured in bare characters; its default is
     half less what damage at the ends may hide.
-    Null or empty texts match nothing, nor do items of fewer than 16 bare characters. Repeated documents and items give
-    their match once; null ids and further columns are left out. Items are searched in blocks of BLOCK_CHARS characters, all documents against each.
+    Null or empty texts match nothing, nor do items of fewer than LEAST bare characters. Repeated documents and items give
+    their match once; null ids and further columns are left out. The documents are scanned once, whatever the number of
+    items; blocks of BLOCK_CHARS characters of items are searched in the index. Empty tables give no rows.
     """
-    docs = docs.select("doc_id", "text").filter("doc_id is not null")
-    rows = items.select("item_id", "text").filter(F.col("item_id").isNotNull() & (F.length("text") >= LEAST)).distinct().orderBy("item_id").toLocalIterator()
-    found, ids, texts, size = None, [], [], 0
-
-    def flush(found):
-        block = Items(ids, texts)
-        if not len(block.terms):
-            return found
-        part = _matches(docs, block, share, agreement)
-        return part if found is None else found.unionByName(part)
-
-    for r in rows:
-        ids, texts, size = [*ids, r["item_id"]], [*texts, r["text"]], size + len(r["text"])
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null and text <> ''")
+    rows = items.select("item_id", "text").filter("item_id is not null and text <> ''").distinct().orderBy("item_id", "text")
+    wanted, blocks = np.zeros(TABLE, bool), 0
+    for block in _blocks(rows):
+        mark(wanted, block.terms)
+        blocks += 1
+    found = docs.sparkSession.createDataFrame([], "doc_id long, item_id string, share double, agreement double")
+    if wanted.any():
+        index = postings(docs, wanted)
+        for block in _blocks(rows) if blocks > 1 else [block]:
+            if len(block.terms):
+                found = found.unionByName(_matches(index, block, share, agreement))
+    return found.groupBy("doc_id", "item_id").agg(F.max("share").alias("share"), F.max("agreement").alias("agreement"))
+
+
+def _blocks(rows: DataFrame):
+    """The items in blocks; one block at a time is held."""
+    ids, texts, size = [], [], 0
+    for r in rows.toLocalIterator():
+        if len(bare(pa.array([r["text"]], pa.string()))[0]) < LEAST:
+            continue
+        ids.append(r["item_id"]), texts.append(r["text"])
+        size += len(r["text"])
         if size >= BLOCK_CHARS:
-            found, ids, texts, size = flush(found), [], [], 0
+            yield Items(ids, texts)
+            ids, texts, size = [], [], 0
     if ids:
-        found = flush(found)
-    if found is None:
-        found = docs.sparkSession.createDataFrame([], "doc_id long, item_id string, share double, agreement double")
-    return found.groupBy("doc_id", "item_id").agg(F.max("share").alias("share"), F.max("agreement").alias("agreement"))
+        yield Items(ids, texts)

@@ -80,3 +80,19 @@ def test_torn_as_by_brute_force(spark, monkeypatch):
             if len(p) and (x := L.passage(p, q, len(item), least=0.46 * len(item), agreement=0.9)) and x[1] > x[0]:
                 want.add((n, name))
     assert got == want and len({n for n, _ in want if n < len(torn())}) > 0.9 * len(torn())
+
+
+def test_long_items_with_scattered_damage(spark):
+    """Whole copies of items of 50 to 3,000 characters with one damaged character in thirty or forty are all found."""
+    random.seed(9)
+    letters = [chr(c) for c in random.sample(range(0x4E00, 0x9000), 900)]
+    items, docs = [], []
+    for n in (50, 200, 500, 800, 1500, 3000):
+        for part in (30, 40):
+            text = [random.choice(letters) for _ in range(n)]
+            items.append((f"{n}/{part}", "".join(text)))
+            for k in range(random.randrange(part), n, part):
+                text[k] = "口"
+            docs.append((len(docs), "前文" * 20 + "".join(text) + "后文" * 20))
+    got = {(r["doc_id"], r["item_id"]) for r in L.leaked_items(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string")).collect()}
+    assert got == {(k, name) for k, (name, _) in enumerate(items)}
