@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slatemill.operators.nested import parse_triples, pivot_group
+from slatemill.operators.nested import parse_triples, pivot_group, typed_tables
 from slatemill.operators.orphans import orphan_references, orphan_report
 from slatemill.plans.cut import cut
 from slatemill.registry import QUERIES, SQL, query
@@ -61,17 +61,23 @@ SQL["p3_report"] = _P3 + "SELECT ref_field, reason, period, count(*) AS n_refs,
 
 # ---------------------------------------------------------------- problem 5: nested records
 
+_NODE = ("order_index", "node_type", "phase", "title", "visibility", "text")
+_TASK = ("question_no", "student_stem", "visibility", "answer", "answer_status")
 _SPLIT_LEAVES = {"node_id": "node_id", "@key": "entry_key", "parent_id": "parent_ref", "task_id": "task_id", "section_id": "section_ref", "source_pages.student": "student_page", "source_pages.teacher": "teacher_page", "@value": "member"}
 
 
-def _candidate_triples(spark: SparkSession, d: str, keep: list[str] | None) -> DataFrame:
-    rows = read(spark, d, "predictions", "prediction_id", "final_top3").filter(F.size("final_top3") > 0)
-    return parse_triples(rows.select("prediction_id", F.to_json("final_top3").alias("j")), "prediction_id", "j", "final_top3", keep)
+def _prediction_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    return typed_tables(read(spark, d, "predictions", "prediction_id", "final_top3"), "prediction_id", "final_top3")
 
 
-def _split_tables(spark: SparkSession, d: str, extra: dict[str, str] | None = None) -> dict[str, DataFrame]:
-    """The tables node, task and page of lesson_split. Ids of nodes and tasks hold within their record."""
-    leaves = _SPLIT_LEAVES | (extra or {})
+def _split_tables(spark: SparkSession, d: str, extra: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """The tables node, task and page of lesson_split, each with record_id, own_id, parent_id and the extra leaves.
+
+    Producers nest the same records differently, so a kind is found under several repeated ancestors. A group belongs to the
+    kind whose id its instances carry; entries of a map carry it as their key, and which kind they are the map's name tells.
+    Ids of nodes and tasks hold within their record.
+    """
+    leaves = _SPLIT_LEAVES | {k: k for k in extra}
     keep = [*leaves, "student", "teacher"]
     rows = read(spark, d, "lesson_split", "split_id", "nodes", "tasks")
     parsed = parse_triples(rows, "split_id", "nodes", "nodes", keep).unionByName(parse_triples(rows, "split_id", "tasks", "tasks", keep))
@@ -87,51 +93,68 @@ def _split_tables(spark: SparkSession, d: str, extra: dict[str, str] | None = No
     node = linked.filter("kind = 'node'").withColumn("parent_id", F.coalesce(blank("parent_ref"), above, "record_id"))
     task = linked.filter("kind = 'task'").withColumn("parent_id", F.coalesce(blank("section_ref"), above, "record_id"))
     side = F.regexp_extract("path", r"source_pages\.(student|teacher)$", 1)
-    listed = linked.filter("kind = 'page' and parent_kind = 'task'").select("record_id", F.concat_ws(":", side, "member").alias("child_id"), F.col("parent_own").alias("parent_id"), (side != "").alias("is_page")).filter("is_page").drop("is_page")
-    single = linked.filter("kind = 'task'").select("record_id", F.explode(F.array(F.concat(F.lit("student:"), "student_page"), F.concat(F.lit("teacher:"), "teacher_page"))).alias("child_id"), F.col("own_id").alias("parent_id")).filter("child_id is not null")
-    return {"node": node, "task": task, "page": listed.unionByName(single)}
+    page = lambda side, number, of: (side.alias("side"), number.alias("page"), F.concat_ws(":", side, number).alias("own_id"), F.col(of).alias("parent_id"))
+    listed = linked.filter("kind = 'page' and parent_kind = 'task'").select("record_id", *page(side, F.col("member"), "parent_own")).filter("side <> ''")
+    alone = task.select("record_id", F.explode(F.array(F.struct(F.lit("student").alias("side"), F.col("student_page").alias("page")), F.struct(F.lit("teacher").alias("side"), F.col("teacher_page").alias("page")))).alias("x"), "own_id").filter("x.page is not null")
+    return {"node": node, "task": task, "page": listed.unionByName(alone.select("record_id", *page(F.col("x.side"), F.col("x.page"), "own_id")))}
 
 
 @query()
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    members = pivot_group(_candidate_triples(spark, d, []), {})
-    place = F.regexp_extract("instance", r"^/final_top3:(\d+)", 1)
-    is_evidence = F.col("path") == "final_top3.evidence"
-    candidates = members.filter(F.col("path").isin("final_top3", "final_top3.evidence")).select(
-        F.lit("predictions").alias("src"),
-        "record_id",
-        F.when(is_evidence, "evidence").otherwise("candidate").alias("child_kind"),
-        F.when(is_evidence, F.concat_ws(".", place, "ordinal")).otherwise(place).alias("child_id"),
-        F.when(is_evidence, place).otherwise(F.col("record_id")).alias("parent_id"),
-    )
-    tables = _split_tables(spark, d)
-    out = candidates
-    for kind in ("node", "task", "page"):
-        child = F.col("child_id") if kind == "page" else F.col("own_id")
-        out = out.unionByName(tables[kind].select(F.lit("lesson_split").alias("src"), "record_id", F.lit(kind).alias("child_kind"), child.alias("child_id"), "parent_id"))
+    places = F.col("places").cast("array<string>")
+    out = None
+    for kind, path in (("candidate", "final_top3"), ("evidence", "final_top3.evidence")):
+        parent = F.col("record_id") if kind == "candidate" else F.array_join(F.slice(places, 1, F.size("places") - 1), ".")
+        rows = _prediction_tables(spark, d)[path].select(F.lit("predictions").alias("src"), "record_id", F.lit(kind).alias("child_kind"), F.array_join(places, ".").alias("child_id"), parent.alias("parent_id"))
+        out = rows if out is None else out.unionByName(rows)
+    for kind, table in _split_tables(spark, d).items():
+        out = out.unionByName(table.select(F.lit("lesson_split").alias("src"), "record_id", F.lit(kind).alias("child_kind"), F.col("own_id").alias("child_id"), "parent_id"))
     return out.distinct()
 
 
-@query()
+@query("""
+SELECT DISTINCT prediction_id, i AS position, c.knowledge_id, c.grade, c.lesson_title, c.module, c.min_knowledge_point, c.confidence
+FROM (SELECT prediction_id, i::INT AS i, final_top3[i] AS c FROM (SELECT *, unnest(range(1, len(final_top3) + 1)) AS i FROM predictions)) WHERE c IS NOT NULL
+""")
 def p5_candidates(spark: SparkSession, d: str) -> DataFrame:
-    """The candidate table with its scalar columns, each linked to its prediction."""
-    leaves = {k: k for k in ("knowledge_id", "grade", "lesson_title", "module", "min_knowledge_point", "confidence")}
-    table = pivot_group(_candidate_triples(spark, d, [*leaves]), leaves, F.col("path") == "final_top3")
-    return table.select(F.col("record_id").alias("prediction_id"), F.col("ordinal").alias("position"), *leaves)
+    """The candidate table with all its columns, each linked to its prediction."""
+    table = _prediction_tables(spark, d)["final_top3"]
+    return table.select(F.col("record_id").alias("prediction_id"), F.col("places")[0].alias("position"), *[c for c in table.columns if c not in ("record_id", "places")]).distinct()
 
 
-SQL["p5_candidates"] = """
-SELECT DISTINCT prediction_id, i AS position, c.knowledge_id, c.grade, c.lesson_title, c.module, c.min_knowledge_point, c.confidence
-FROM (SELECT prediction_id, i::INT AS i, final_top3[i] AS c FROM (SELECT *, unnest(range(1, len(final_top3) + 1)) AS i FROM predictions)) WHERE c IS NOT NULL
-"""
+@query("""
+SELECT DISTINCT prediction_id, i AS position, j AS evidence_no, e.page AS page, e.quote AS quote
+FROM (SELECT prediction_id, i, j::INT AS j, ev[j] AS e FROM (SELECT prediction_id, i, ev, unnest(range(1, len(ev) + 1)) AS j FROM (SELECT prediction_id, i::INT AS i, final_top3[i].evidence AS ev FROM (SELECT *, unnest(range(1, len(final_top3) + 1)) AS i FROM predictions)))) WHERE e IS NOT NULL
+""")
+def p5_evidence(spark: SparkSession, d: str) -> DataFrame:
+    """The evidence table with all its columns, each linked to its candidate by prediction and position."""
+    table = _prediction_tables(spark, d)["final_top3.evidence"]
+    return table.select(F.col("record_id").alias("prediction_id"), F.col("places")[0].alias("position"), F.col("places")[1].alias("evidence_no"), "page", "quote").distinct()
+
+
+def _whole(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """One row for each record, own_id and parent_id: of an element given several times the fullest copy, taken as a whole."""
+    full = sum((F.col(c).isNotNull().cast("int") for c in columns), F.lit(0))
+    row = F.struct(*columns)
+    return rows.groupBy("record_id", "own_id", "parent_id").agg(F.max_by(row, F.struct(full, row)).alias("x")).select("record_id", "own_id", "parent_id", "x.*")
 
 
 @query()
 def p5_nodes(spark: SparkSession, d: str) -> DataFrame:
     """The node table of lesson_split with its scalar columns, each linked to its parent node or record."""
-    extra = {k: k for k in ("order_index", "node_type", "phase", "title", "visibility")}
-    nodes = _split_tables(spark, d, extra)["node"]
-    return nodes.groupBy("record_id", F.col("own_id").alias("node_id"), "parent_id").agg(*[F.max(c).alias(c) for c in extra])
+    return _whole(_split_tables(spark, d, _NODE)["node"], _NODE).withColumnRenamed("own_id", "node_id")
+
+
+@query()
+def p5_tasks(spark: SparkSession, d: str) -> DataFrame:
+    """The task table of lesson_split with its scalar columns, each linked to its section or record."""
+    return _whole(_split_tables(spark, d, _TASK)["task"], _TASK).withColumnRenamed("own_id", "task_id")
+
+
+@query()
+def p5_pages(spark: SparkSession, d: str) -> DataFrame:
+    """The source pages of tasks, each linked to its task."""
+    return _split_tables(spark, d)["page"].select("record_id", F.col("parent_id").alias("task_id"), "side", F.col("page").cast("int").alias("page")).distinct()
 
 
 from slatemill import catalog_queries, line_queries, quality_queries, store_queries  # noqa: E402, F401
