@@ -1,6 +1,7 @@
 """Broken prompt and response pairs: ordered rules over the response and its prompt, each defect found being given."""
 
 import re
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,8 +29,11 @@ REFUSALS = re.compile(
     re.I,
 )
 
+#: Every refusal phrase holds one of these (in lower case), so most texts are passed over at once.
+_DECLINES = ("抱歉", "对不起", "不好意思", "原谅", "谅解", "遗憾", "作为", "无法", "不能", "没有办法", "没法", "不便", "不会", "拒绝", "无可奉告", "帮不", "不支持", "不予", "超出", "不在", "请", "sorry", "cannot", "can't", "can 't", "can ' t", "can' t", "can not", "could", "won", "will not", "unable", "not able", "not allowed", "decline", "as a", "beyond", "lo siento", "puedo", "como modelo", "sol", "peux", "en tant", "leid", "entschuldigung", "leider", "kann", "als ", "извините", "простите", "сожалению", "не могу", "языковая", "申し訳", "できません", "죄송", "수 없")
+
 _LEAD = re.compile(r"^\s*(?:【?\s*(?:参考)?(?:答案|解析|分析|详解|点评|解答|答|解|题目|题干|问题|原题)\s*】|(?:参考)?(?:答案|解析|分析|详解|解答|答|解|题目|题干|问题|原题)\s*[:：]|(?:answer|explanation|solution|question|stem)\s*[:：])\s*", re.I)
-_HAN, _KANA, _HANGUL, _CYR = re.compile(r"[㐀-鿿豈-﫿]"), re.compile(r"[぀-ヿ]"), re.compile(r"[가-힣ᄀ-ᇿ]"), re.compile(r"[Ѐ-ӿ]{2,}")
+_HAN, _KANA, _HANGUL, _CYR = re.compile(r"[㐀-鿿\uf900-\ufaff]"), re.compile(r"[぀-ヿ]"), re.compile(r"[가-힣ᄀ-ᇿ]"), re.compile(r"[Ѐ-ӿ]{2,}")
 _OTHERS = re.compile(r"[֐-׿؀-ۿऀ-ॿ฀-๿Ͱ-Ͽ]{3,}")
 _WORD = re.compile(r"[^\W\d_一-鿿぀-ヿ가-힣]{2,}")
 _SENTENCE = re.compile(r"(?<=[。！？!?;；\n])|(?<=[^\d][.．])(?=\s|$)|(?<=[.．])(?=\s)")
@@ -104,19 +108,41 @@ def broken_off(text: str) -> bool:
     return bool(re.search(r"[,，。]", text))
 
 
-def copied(answer: str, question: str) -> bool:
-    """Whether the answer says nothing but the question, or most of it."""
-    a, q = bare(answer), bare(question)
-    if len(a) < 8 or len(q) < 8 or 2 * len(a) < len(q):
-        return False
-    if a in q or q == a:
-        return True
-    grams = lambda s: {s[i : i + 5] for i in range(len(s) - 4)}
-    ga, gq = grams(a), grams(q)
-    return len(ga & gq) >= 0.85 * len(ga) and len(ga & gq) >= 0.5 * len(gq)
+def _grams(text: str) -> set[str]:
+    return {text[i : i + 5] for i in range(len(text) - 4)}
+
+
+class Question:
+    """A prompt with what the rules compare of it, worked out once for all its responses."""
 
+    def __init__(self, text: str | None):
+        self.text = skeleton(text or "")
+        self.language = language(self.text)
 
-def defects(question: str | None, answer: str | None) -> list[str]:
+    @cached_property
+    def bare(self) -> str:
+        return bare(self.text)
+
+    @cached_property
+    def grams(self) -> set[str]:
+        return _grams(self.bare)
+
+    def copied_by(self, answer: str) -> bool:
+        """Whether the answer says nothing but the question, or most of it; one of fewer than eight letters must be all of it."""
+        q = self.bare
+        if 2 * len(answer) < len(q):
+            return False
+        a = bare(answer)
+        if not a or 2 * len(a) < len(q) or min(len(a), len(q)) < 8:
+            return bool(a) and a == q
+        if a in q:
+            return True
+        own = _grams(a)
+        both = len(own & self.grams)
+        return both >= 0.85 * len(own) and both >= 0.5 * len(self.grams)
+
+
+def defects(question: "Question | str | None", answer: str | None) -> list[str]:
     """All defects of a pair, in the order of DEFECTS; an empty response has no other."""
     if answer is None:
         return ["empty"]
@@ -124,39 +150,44 @@ def defects(question: str | None, answer: str | None) -> list[str]:
     while (cut := _LEAD.sub("", text, count=1)) != text:
         text = cut
     core = text.strip(_EDGE)
-    if not core or re.sub(r"\s+", "", core).casefold() in PLACEHOLDERS:
+    if not core or (len(core) < 40 and re.sub(r"\s+", "", core).casefold() in PLACEHOLDERS):
         return ["empty"]
-    question = skeleton(question or "")
-    found = []
-    if REFUSALS.search(text):
+    question = question if isinstance(question, Question) else Question(question)
+    found, low = [], text.lower()
+    if any(cue in low for cue in _DECLINES) and REFUSALS.search(text):
         found.append("refusal")
-    if copied(text, question):
+    if question.copied_by(text):
         found.append("copies_question")
-    own = language(question)
-    if own:
-        foreign = {language(s) for s in [*_SENTENCE.split(text), text]} - {"", own}
-        if foreign:
+    if question.language:
+        spoken = language(text)
+        parts = [s for s in _SENTENCE.split(text) if s] if not text.isascii() or question.language != "en" else []
+        if ({spoken} | {language(s) for s in parts if s != text}) - {"", question.language}:
             found.append("other_language")
     if broken_off(text):
         found.append("truncated")
     return found
 
 
-def defective_pairs(df: DataFrame, question: str, answer: str, null_is_defect: bool = True) -> DataFrame:
-    """df's other columns with ``defects`` (array, in order of precedence) of each defective pair, in Arrow batches.
+def defective_pairs(df: DataFrame, question: str, answers: dict[str, bool]) -> DataFrame:
+    """df's other columns with ``field_name`` and ``defects`` (array, in order of precedence) of each defective pair of the question and an answer column.
 
-    A null answer is ``empty``, or no case if not null_is_defect. A null or blank question allows the rules on the answer
-    alone. Very long texts are read whole. Repeated rows repeat their result; an empty table gives none. A column of df
-    that is itself called ``defects`` is replaced.
+    answers: the answer columns, and of each whether a null is a defect (``empty``) or no case. All columns are judged in one
+    pass in Arrow batches. A null or blank question allows the rules on the answer alone. Very long texts are read whole.
+    Repeated rows repeat their result; an empty table gives none. Columns of df called ``field_name`` or ``defects`` are replaced.
     """
-    rest = [c for c in df.columns if c not in (question, answer, "defects")]
+    rest = [c for c in df.columns if c not in (question, *answers, "field_name", "defects")]
 
     def judge(batches):
         for batch in batches:
             get = lambda c: batch.column(batch.schema.get_field_index(c))
-            found = [[] if a is None and not null_is_defect else defects(q, a) for q, a in zip(get(question).to_pylist(), get(answer).to_pylist())]
-            keep = pa.array([bool(x) for x in found])
-            out = pa.RecordBatch.from_arrays([*(get(c) for c in rest), pa.array(found, pa.list_(pa.string()))], names=[*rest, "defects"])
-            yield out.filter(keep)
-
-    return df.mapInArrow(judge, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in rest) + ", defects array<string>")
+            columns = [(name, counts, get(name).to_pylist()) for name, counts in answers.items()]
+            at, fields, found = [], [], []
+            for k, text in enumerate(get(question).to_pylist()):
+                asked = Question(text)
+                for name, counts, values in columns:
+                    if (values[k] is not None or counts) and (own := defects(asked, values[k])):
+                        at.append(k), fields.append(name), found.append(own)
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(get(c).take(at) for c in rest), pa.array(fields, pa.string()), pa.array(found, pa.list_(pa.string()))], names=[*rest, "field_name", "defects"])
+
+    return df.mapInArrow(judge, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in rest), "field_name string, defects array<string>"]))

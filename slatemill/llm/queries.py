@@ -32,10 +32,20 @@ def _lookalike_texts(spark: SparkSession, d: str) -> DataFrame:
     return _tagged(spark, d, ("task", "task_id", "stem"), ("ocr_lines", "line_id", "text"))
 
 
+def _look_alike_keys(spark: SparkSession, d: str) -> DataFrame:
+    texts = _lookalike_texts(spark, d)
+    return cut(textnorm.canonical(texts, "text", textnorm.count_bigrams(texts, "text"), drop_text=True))
+
+
 @query
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    texts = _lookalike_texts(spark, d)
-    return textnorm.look_alikes(cut(textnorm.canonical(texts, "text", textnorm.count_bigrams(texts, "text"), drop_text=True)))
+    return textnorm.look_alikes(_look_alike_keys(spark, d))
+
+
+@query
+def p6_classes(spark: SparkSession, d: str) -> DataFrame:
+    """The records that look like others but differ, each with its class and its spelling."""
+    return textnorm.look_alike_classes(_look_alike_keys(spark, d))
 
 
 @query
@@ -50,12 +60,7 @@ def p6_canonical(spark: SparkSession, d: str) -> DataFrame:
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
     rows = read(spark, d, "task", "task_id", "stem", "answer", "explanation")
-    found = None
-    for field in ("answer", "explanation"):
-        part = rows.select("task_id", F.lit(field).alias("field_name"), "stem", F.col(field).alias("response"))
-        part = pairs.defective_pairs(part, "stem", "response", null_is_defect=field == "answer")
-        found = part if found is None else found.unionByName(part)
-    return found
+    return pairs.defective_pairs(rows, "stem", {"answer": True, "explanation": False})
 
 
 @query

@@ -27,10 +27,17 @@ def test_every_defect_is_given():
     assert P.defects("x" * 100_000, "y" * 100_000 + "，") == ["truncated"]
 
 
+def test_short_texts_and_cues():
+    assert P.defects("求x", "求 x") == ["copies_question"] and P.defects("求x", "x") == [] and P.defects("", "C") == []
+    phrases = ["I'm not able to answer.", "I can ' t help", "请咨询老师", "为难", "暂不支持回答", "Como modelo de lenguaje no", "Je suis désolé, je ne peux", "Ich kann dabei nicht helfen", "답변할 수 없", "Als KI kann ich", "超出我的能力范围"]
+    for text in phrases:
+        assert bool(P.REFUSALS.search(text)) == bool(P.REFUSALS.search(text) and any(c in text.lower() for c in P._DECLINES)), text
+
+
 def test_frame(spark, rows):
     data = [("1", "q", None), ("2", None, "略"), ("3", "q", "C"), ("4", None, None), ("1", "q", None)]
-    df = spark.createDataFrame(data, "id string, q string, a string").selectExpr("*", "'x' defects", "1 other")
-    got = P.defective_pairs(df, "q", "a")
-    assert sorted((r["id"], tuple(r["defects"])) for r in got.collect()) == [("1", ("empty",)), ("1", ("empty",)), ("2", ("empty",)), ("4", ("empty",))] and "other" in got.columns
-    assert {r["id"] for r in P.defective_pairs(df, "q", "a", null_is_defect=False).collect()} == {"2"}
-    assert P.defective_pairs(df.limit(0), "q", "a").count() == 0
+    df = spark.createDataFrame(data, "id string, q string, a string").selectExpr("*", "'x' defects", "1 other", "a b", "7 field_name")
+    got = P.defective_pairs(df, "q", {"a": True})
+    assert sorted((r["id"], r["field_name"], tuple(r["defects"])) for r in got.collect()) == [("1", "a", ("empty",)), ("1", "a", ("empty",)), ("2", "a", ("empty",)), ("4", "a", ("empty",))] and "other" in got.columns
+    assert {(r["id"], r["field_name"]) for r in P.defective_pairs(df, "q", {"a": False, "b": True}).collect()} == {("2", "a"), ("1", "b"), ("2", "b"), ("4", "b")}
+    assert P.defective_pairs(df.limit(0), "q", {"a": True}).count() == 0

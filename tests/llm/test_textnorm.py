@@ -20,6 +20,15 @@ def test_lattice_keeps_scripts_and_unites_shapes():
     assert lattice.text("Pоcсия") == lattice.text("Россия") == "Россия"
 
 
+def test_shared_shapes_are_told_by_the_search():
+    """A bar that may be an I or an l is read as the corpus reads it there, against its likelier shape too."""
+    lattice = T.Lattice(T.bigrams(["look little In It Iron old cold"] * 50))
+    assert lattice.text("Ӏn") == lattice.text("In") == "In" and lattice.text("oӏd") == lattice.text("old") == "old"
+    assert lattice.text("Ӏook") == lattice.text("ꓲook") == "look" and lattice.text("Ӏook") != T.skeleton("Ӏook")
+    assert lattice.text("ᎪᏢ") == lattice.text("AP") and lattice.text("օld") == "old"
+    assert lattice.text("I1") != lattice.text("l1") and lattice.text("O") != lattice.text("0")
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.sampled_from([s for s in T.SHAPES]), min_size=1, max_size=12), st.randoms())
 def test_form_depends_on_shape_only(shapes, rnd):
@@ -34,6 +43,9 @@ def test_pairs(spark, rows):
     counts = T.count_bigrams(df, "text")
     got = rows(T.look_alikes(T.canonical(df, "text", counts, drop_text=True)))
     assert got == {("t", "1", "2"), ("t", "1", "3"), ("t", "6", "7"), ("t", "8", "9")}
+    assert rows(T.look_alikes(T.canonical(df, "text", counts, drop_text=True), block=1)) == got
+    classes = T.look_alike_classes(T.canonical(df, "text", counts, drop_text=True)).collect()
+    assert sorted(r["id"] for r in classes) == ["1", "2", "3", "6", "7", "8", "9"] and len({r["class_id"] for r in classes}) == 3 and len({r["spelling"] for r in classes}) == 6
     assert {r["canonical"] for r in T.canonical(df, "text", counts).filter("id in ('1', '2', '3', '4')").collect()} == {"abc 1"}
     assert T.look_alikes(T.canonical(df.limit(0), "text", {}, drop_text=True)).count() == 0
 
