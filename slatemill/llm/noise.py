@@ -13,7 +13,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slatemill.functions.text import GLYPHS
@@ -41,7 +41,7 @@ PAGES = rf"(?:—\s?{_D}\s?—|-\s{_D}\s-|–\s?{_D}\s?–|第\s?{_D}\s?页(?:\s
 _HEADER = re.compile("|".join(CUES))
 _HEADER_LINE = re.compile(rf"^\s*(?:{PAGES}\s*)?(?:{'|'.join(CUES)})\s*(?:{PAGES})?\s*$")
 _CUE = re.compile(r"教.[组室]|.研[组室]|内部资|讲义|讲.·|[师生]版|同步课|第\s?\S{1,3}\s?讲|Handout|Copy|Workbook|Reader|版权")
-_PAGE_LINE = re.compile(rf"^\s*{PAGES}\s*$")
+_PAGE_LINE, _BARE_LINE = re.compile(rf"^\s*{PAGES}\s*$"), re.compile(rf"^\s*{_D}\s*$")
 _PAGE_NEXT = re.compile(rf"^\s*{PAGES}(?=\s|$)"), re.compile(rf"(?:^|(?<=\s)){PAGES}\s*$")
 #: Page numbers inside run-together text stand between blanks; a bare number needs ideographs around and no unit after it.
 _PAGE_RUN = re.compile(rf"(?:^|(?<=\s))(?:—\s?{_D}\s?—|-\s{_D}\s-|第\s?{_D}\s?页(?:\s?共\s?{_D}\s?页)?|\[{_D}\]|·{_D}·|Page\s{_D}(?:\sof\s{_D})?|P\d{_D[:-5]}{{1,3}}|[\dl]{{1,3}}\s/\s[\dl]{{1,3}})(?=\s|$)")
@@ -82,9 +82,16 @@ def _contexts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (form[at - 1] << 42) | (form[at] << 21) | form[at + 1], text, place[at] - edges[text] - 1
 
 
-def _latin(text: str) -> bool:
-    head = text[:400]
-    return sum(c.isascii() and c.isalpha() for c in head) > 2 * sum("一" <= c <= "鿿" for c in head) + 12
+#: Stretches without ideographs and full-width signs, and what a stretch of running words has: a word of four letters or a dozen letters.
+_STRETCH = re.compile(r"[^\u2e80-\u9fff\uac00-\ud7a3\uf900-\ufaff\uff00-\uffef]+")
+_WORDY, _LETTERS = re.compile(r"[A-Za-z][a-z]{3}"), re.compile(r"[A-Za-z]")
+
+
+def _wordy(text: str) -> list[tuple[int, str]]:
+    """(place, stretch) of the parts of a text that are alphabetic writing, wherever they stand in it."""
+    if not _LETTERS.search(text):
+        return []
+    return [(m.start(), m[0]) for m in _STRETCH.finditer(text) if _WORDY.search(m[0]) or len(_LETTERS.findall(m[0])) > 12]
 
 
 def count_forms(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -99,8 +106,8 @@ def count_forms(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
                 keys, place = np.unique(np.r_[keys, key], return_inverse=True)
                 sums = np.bincount(place, np.r_[sums, n]).astype(np.int64)
             for t in rows:
-                if _latin(t):
-                    found = [w.lower() for w in _TOKEN.findall(t)]
+                for _, stretch in _wordy(t):
+                    found = [w.lower() for w in _TOKEN.findall(stretch)]
                     words.update(zip(found, [*found[1:], ""]))
             if len(words) > 500_000 or len(keys) > 2_000_000:
                 yield from emit(keys, sums, words)
@@ -267,13 +274,13 @@ def with_all(shared: list, run):
             together.add(_held(part).only(keys, words))
 
 
-def furniture(text: str) -> tuple[list[tuple[int, int, str]], bool, bool]:
-    """(spans, header?, page number?) of the page furniture in a text, by lines and, in run-together text, between blanks."""
+def furniture(text: str, placed: bool = False) -> tuple[list[tuple[int, int, str]], bool, bool]:
+    """(spans, header?, page number?) of the page furniture in a text, by lines and, in run-together text, between blanks. placed: the text is a page's own lines, told from furniture by their place: it is not run together, and bare numbers are content."""
     spans, header, page = [], False, False
     lined, start = "\n" in text, 0
     for line in text.split("\n"):
         end = start + len(line)
-        if _PAGE_LINE.match(line):
+        if _PAGE_LINE.match(line) and not (placed and _BARE_LINE.match(line)):
             spans.append((start, end, "page_number"))
             page = True
         elif _CUE.search(line):
@@ -293,7 +300,7 @@ def furniture(text: str) -> tuple[list[tuple[int, int, str]], bool, bool]:
                             if (m2 := _PAGE_NEXT[side].search(part)) and not re.match(r"\s*[\dl]+\s?(?:mL|kg|km|cm|m/s|[mgLVAWJ℃]|个|件)", part[m2.start() :]):
                                 spans.append((at + m2.start(), at + m2.end(), "page_number"))
                                 page = True
-        if not lined and len(line) > 40:
+        if not lined and not placed:
             for m in [*_PAGE_RUN.finditer(line), *_BARE_RUN.finditer(line)]:
                 spans.append((start + m.start(), start + m.end(), "page_number"))
                 page = True
@@ -310,8 +317,8 @@ def _bad_number(text: str) -> bool:
     return False
 
 
-def examine(texts: list[str | None], repairs: Repairs, whole_texts: bool) -> list[list[str]]:
-    """The kinds of noise in each text: header, page_number, hyphen, misread."""
+def examine(texts: list[str | None], repairs: Repairs, placed: list[bool] | None = None) -> list[list[str]]:
+    """The kinds of noise in each text: header, page_number, hyphen, misread. placed: of each text, as for ``furniture``; none, if not given."""
     given = [t or "" for t in texts]
     by_context = repairs.in_contexts(given)
     out = []
@@ -324,7 +331,7 @@ def examine(texts: list[str | None], repairs: Repairs, whole_texts: bool) -> lis
         fixed = text
         for at, meant in odd:
             fixed = fixed[:at] + chr(meant) + fixed[at + 1 :]
-        spans, header, page = furniture(fixed)
+        spans, header, page = furniture(fixed, bool(placed and placed[k]))
         if header:
             kinds.append("header")
         if page:
@@ -339,15 +346,16 @@ def examine(texts: list[str | None], repairs: Repairs, whole_texts: bool) -> lis
             if not misread and odd:
                 misread = not spans or bool(repairs.in_contexts([body]))
             misread = misread or _bad_number(body)
-            if not misread and _latin(body):
+            if not misread and _LETTERS.search(body):
                 for line in re.sub(r"-[ \t]*\n|(?<=[a-z])- (?=[a-z])", "\x02", body).split("\n"):
-                    found = [m for m in _TOKEN.finditer(line)]
-                    words = [m[0] for m in found]
-                    for j, m in enumerate(found):
-                        edge = "\x02" in line[max(0, m.start() - 1) : m.end() + 1] or (j == len(found) - 1 and line.rstrip().endswith("-"))
-                        if not edge and repairs.word(words, j, j == 0 and not whole_texts):
-                            misread = True
-                            break
+                    for at, stretch in _wordy(line):
+                        found = [*_TOKEN.finditer(stretch)]
+                        words = [m[0] for m in found]
+                        for j, m in enumerate(found):
+                            edge = "\x02" in stretch[max(0, m.start() - 1) : m.end() + 1] or (j == len(found) - 1 and stretch.rstrip().endswith("-"))
+                            if not edge and repairs.word(words, j, j == 0 and not line[:at].strip()):
+                                misread = True
+                                break
             if misread:
                 kinds.append("misread")
         out.append(kinds)
@@ -378,26 +386,72 @@ def learn(texts: DataFrame) -> list[Repairs]:
 
 
 def _chunks(batches, parts: int):
-    """(src, ids, texts) of 2,000 rows at a time; of whole batches if several parts are to be loaded for each."""
+    """Columns of 2,000 rows at a time; of whole batches if several parts are to be loaded for each."""
     for batch in batches:
-        src, ids, values = (batch.column(k).to_pylist() for k in range(3))
-        size = 2000 if parts == 1 else max(1, len(ids))
-        for a in range(0, len(ids), size):
-            yield src[a : a + size], ids[a : a + size], values[a : a + size]
+        columns = [batch.column(k).to_pylist() for k in range(batch.num_columns)]
+        size = 2000 if parts == 1 else max(1, batch.num_rows)
+        for a in range(0, batch.num_rows, size):
+            yield [c[a : a + size] for c in columns]
+
+
+#: Digits and what scanners read for them, in the form of a line by which repetition is seen.
+_FORM_DIGITS = r"[0-9lIOoSZBG]+"
+
 
+def line_form(text: Column) -> Column:
+    """A line without blanks, numbers as one sign: equal for the headers of all pages of a running title."""
+    return F.regexp_replace(F.regexp_replace(text, r"(?U)\s+", ""), _FORM_DIGITS, "#")
 
-def find_noise(texts: DataFrame, repairs: list[Repairs]) -> DataFrame:
-    """Rows (src, id, kind), each once, of the noise in texts (src, id, text). Null and empty texts have none."""
+
+def page_furniture(lines: DataFrame, least: int = 4, share: float = 0.9) -> DataFrame:
+    """(id, kind) of the lines (id, doc_id, page, pos, text) that repetition and place tell to be furniture of pages.
+
+    header: a form that stands on at least so many pages, and by this share of its occurrences among the first or last two
+    lines of a page, belongs to no content; forms of fewer than three letters are not meant. page_number: a bare number among
+    those lines that counts with the pages, at the distance from the page's own number that is usual in the document; any other
+    bare number is content. Lines without a page or place are none. One window a page, then partial aggregations.
+    """
+    page = Window.partitionBy("doc_id", "page")
+    placed = lines.select("id", "doc_id", "page", "pos", "text").filter("id is not null and doc_id is not null and page is not null and pos is not null").distinct()
+    placed = placed.withColumns({"a": F.dense_rank().over(page.orderBy("pos")), "b": F.dense_rank().over(page.orderBy(F.desc("pos")))}).withColumn("edge", (F.col("a") <= 2) | (F.col("b") <= 2)).drop("a", "b")
+    placed = placed.filter("text is not null")
+    titles = placed.filter(~F.col("text").rlike(_PAGE_LINE.pattern)).select("id", "edge", line_form(F.col("text")).alias("form")).filter(F.length(F.regexp_replace("form", r"[^\p{L}]", "")) >= 3)
+    forms = titles.groupBy("form").agg(F.count("*").alias("n"), F.count_if("edge").alias("at_edge")).filter((F.col("n") >= least) & (F.col("at_edge") >= share * F.col("n"))).select("form")
+    headers = titles.filter("edge").join(forms, "form", "left_semi").select("id", F.lit("header").alias("kind"))
+    numbers = placed.filter("edge").filter(F.col("text").rlike(rf"^\s*{_D}\s*$"))
+    numbers = numbers.select("id", "doc_id", (F.translate(F.trim("text"), "".join(DIGITS), "".join(DIGITS.values())).try_cast("int") - F.col("page")).alias("off"))
+    usual = numbers.groupBy("doc_id", "off").agg(F.count("*").alias("n")).groupBy("doc_id").agg(F.max_by(F.when(F.col("n") > 1, F.col("off")), F.struct("n", -F.abs("off"))).alias("usual"))
+    counted = numbers.join(usual, "doc_id").filter(F.col("off") == F.coalesce("usual", F.lit(0))).select("id", F.lit("page_number").alias("kind"))
+    return headers.unionByName(counted).distinct()
+
+
+def _with_place(texts: DataFrame) -> DataFrame:
+    placed = F.coalesce("placed", F.lit(False)) if "placed" in texts.columns else F.lit(False)
+    return texts.select("src", "id", "text", placed.alias("placed"))
+
+
+def find_noise(texts: DataFrame, repairs: list[Repairs], furniture_lines: DataFrame | None = None) -> DataFrame:
+    """Rows (src, id, kind), each once, of the noise in texts (src, id, text, placed). Null and empty texts have none.
+
+    placed: whether the text is a line whose place on its page is known (false where the column is missing): a bare number
+    there is a page number only if furniture_lines says so. furniture_lines: (src, id, kind) of lines known to be furniture as
+    a whole; such a line holds no body text, so it is not hyphenated or misread.
+    """
     shared = [texts.sparkSession.sparkContext.broadcast(part) for part in repairs]
 
     def look(batches):
-        for src, ids, values in _chunks(batches, len(shared)):
-            kinds = with_all(shared, lambda known: examine(values, known, False))
+        for src, ids, values, placed in _chunks(batches, len(shared)):
+            kinds = with_all(shared, lambda known: examine(values, known, placed))
             out = [(s, i, kind) for s, i, ks in zip(src, ids, kinds) for kind in ks]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*out)], names=["src", "id", "kind"])
 
-    return texts.select("src", "id", "text").filter("text <> '' and id is not null").mapInArrow(look, "src string, id string, kind string").distinct()
+    found = _with_place(texts).filter("text <> '' and id is not null").mapInArrow(look, "src string, id string, kind string")
+    if furniture_lines is not None:
+        told = furniture_lines.select("src", "id", "kind")
+        body = found.filter("kind in ('hyphen', 'misread')").join(told.select("src", "id").distinct(), ["src", "id"], "left_anti")
+        found = found.filter("kind in ('header', 'page_number')").unionByName(body).unionByName(told)
+    return found.distinct()
 
 
 def _in_place(text: str, repairs: Repairs) -> str:
@@ -409,34 +463,36 @@ def _in_place(text: str, repairs: Repairs) -> str:
             text = text[:at] + chr(meant) + text[at + 1 :]
         text = _PRIVATE.sub(lambda m: GLYPHS.get(m[0], ""), text)
         text = _NUMBER.sub(lambda m: "".join(DIGITS.get(c, c) for c in m[0]) if any(c in DIGITS for c in m[0]) and re.fullmatch(r"[\d.lIOoZSBG]+", m[0]) else m[0], text)
-        if _latin(text):
+        if _LETTERS.search(text):
             text = "\n".join(_in_words(line, repairs) for line in text.split("\n"))
     return text
 
 
 def _in_words(line: str, repairs: Repairs) -> str:
     """The line with its misread words replaced, last to first; a word cut by a hyphen stays."""
-    found = [*_TOKEN.finditer(line)]
-    words = [m[0] for m in found]
-    for k in range(len(found) - 1, -1, -1):
-        m = found[k]
-        cut_off = re.match(r"-\s*$|-[ \t]*(?=\n)|- (?=[a-z])", line[m.end() :]) or re.search(r"[a-z]- $", line[: m.start()])
-        if not cut_off and (meant := repairs.word(words, k, k == 0)):
-            words[k] = meant.upper() if m[0].isupper() and len(m[0]) > 1 else meant.capitalize() if m[0][0].isupper() else meant
-            line = line[: m.start()] + words[k] + line[m.end() :]
+    for at, stretch in reversed(_wordy(line)):
+        found = [*_TOKEN.finditer(stretch)]
+        words = [m[0] for m in found]
+        for k in range(len(found) - 1, -1, -1):
+            m = found[k]
+            begin, end = at + m.start(), at + m.end()
+            cut_off = re.match(r"-\s*$|-[ \t]*(?=\n)|- (?=[a-z])", line[end:]) or re.search(r"[a-z]- $", line[:begin])
+            if not cut_off and (meant := repairs.word(words, k, k == 0 and not line[:at].strip())):
+                words[k] = meant.upper() if m[0].isupper() and len(m[0]) > 1 else meant.capitalize() if m[0][0].isupper() else meant
+                line = line[:begin] + words[k] + line[end:]
     return line
 
 
-def repaired(text: str | None, repairs: Repairs) -> str | None:
+def repaired(text: str | None, repairs: Repairs, placed: bool = False) -> str | None:
     """The text as continuous paragraphs: furniture dropped, cut words joined, lines joined, misread characters and words repaired wherever ``examine`` finds them; private-use symbols become the signs they show or are dropped.
 
-    A line that ends a sentence before a shorter or blank line ends a paragraph; null stays null.
+    A line that ends a sentence before a shorter or blank line ends a paragraph; null stays null. placed: as for ``furniture``.
     """
     if not text:
         return text
     for at, meant in repairs.in_contexts([text]).get(0, ()):
         text = text[:at] + chr(meant) + text[at + 1 :]
-    for a, b, _ in sorted(furniture(text)[0], reverse=True):
+    for a, b, _ in sorted(furniture(text, placed)[0], reverse=True):
         whole = (a == 0 or text[a - 1] == "\n") and text[b : b + 1] == "\n"
         text = text[:a] + text[b + whole :]
     text = re.sub(r"(?<=[^\W\d_])-[ \t]*\n(?=[a-z])|(?<=[a-z])- (?=[a-z])", lambda m: "-" if text[: m.start()].rpartition(" ")[2].rpartition("\n")[2].lower() in repairs.heads else "", text)
@@ -457,12 +513,12 @@ def repaired(text: str | None, repairs: Repairs) -> str | None:
 
 
 def repair(texts: DataFrame, repairs: list[Repairs]) -> DataFrame:
-    """texts (src, id, text) with ``repaired``, by the repairs of all parts together."""
+    """texts (src, id, text, placed) as (src, id, repaired), by the repairs of all parts together."""
     shared = [texts.sparkSession.sparkContext.broadcast(part) for part in repairs]
 
     def mend(batches):
-        for src, ids, values in _chunks(batches, len(shared)):
-            out = with_all(shared, lambda known: [repaired(t, known) for t in values])
+        for src, ids, values, placed in _chunks(batches, len(shared)):
+            out = with_all(shared, lambda known: [repaired(t, known, p) for t, p in zip(values, placed)])
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in (src, ids, out)], names=["src", "id", "repaired"])
 
-    return texts.select("src", "id", "text").mapInArrow(mend, "src string, id string, repaired string")
+    return _with_place(texts).mapInArrow(mend, "src string, id string, repaired string")

@@ -142,21 +142,30 @@ def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- problem 2: noise of scanned pages
 
 
+_WRITTEN = ("coverage_set_review", "test_question_id", "question_text_ocr"), ("split_questions", "question_id", "text_preview")
+
+
+def _page_lines(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "ocr_lines", F.col("line_id").alias("id"), "doc_id", "page", "pos", "text")
+
+
 def _scanned(spark: SparkSession, d: str) -> DataFrame:
-    return _tagged(spark, d, ("ocr_lines", "line_id", "text"), ("coverage_set_review", "test_question_id", "question_text_ocr"), ("split_questions", "question_id", "text_preview"))
+    return _tagged(spark, d, ("ocr_lines", "line_id", "text"), *_WRITTEN).withColumn("placed", F.col("src") == "ocr_lines")
 
 
 @query
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     texts = _scanned(spark, d)
-    return noise.find_noise(texts, noise.learn(texts)).select("src", F.col("id").alias("row_id"), "kind")
+    told = noise.page_furniture(_page_lines(spark, d)).select(F.lit("ocr_lines").alias("src"), "id", "kind")
+    return noise.find_noise(texts, noise.learn(texts), told).select("src", F.col("id").alias("row_id"), "kind")
 
 
 @query
 def p2_repaired(spark: SparkSession, d: str) -> DataFrame:
-    """Every question text and preview as continuous paragraphs, and the lines of each scanned page likewise as one text."""
-    lines = read(spark, d, "ocr_lines", "doc_id", "page", "pos", "text").distinct()
-    page = lines.groupBy("doc_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), "\n").alias("text"))
-    pages = page.select(F.lit("ocr_lines").alias("src"), F.concat_ws(":", "doc_id", "page").alias("id"), "text")
-    texts = pages.unionByName(_tagged(spark, d, ("coverage_set_review", "test_question_id", "question_text_ocr"), ("split_questions", "question_id", "text_preview")).distinct())
+    """Every question text and preview as continuous paragraphs, and the lines of each scanned page likewise as one text, without its furniture."""
+    lines = _page_lines(spark, d)
+    body = lines.join(noise.page_furniture(lines), "id", "left_anti").select("doc_id", "page", "pos", "text").distinct()
+    page = body.groupBy("doc_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), "\n").alias("text"))
+    pages = page.select(F.lit("ocr_lines").alias("src"), F.concat_ws(":", "doc_id", "page").alias("id"), "text", F.lit(True).alias("placed"))
+    texts = pages.unionByName(_tagged(spark, d, *_WRITTEN).distinct().withColumn("placed", F.lit(False)))
     return noise.repair(texts, noise.learn(texts))

@@ -34,6 +34,32 @@ def test_kinds_and_repair(spark):
     assert all(fix(t) == t for t in CLEAN + ENGLISH)
 
 
+def test_words_and_numbers_wherever_they_stand(spark):
+    """No prefix, length or line decides what is looked at."""
+    repairs = learned(spark)[0]
+    look = lambda t, placed=False: set(N.examine([t], repairs, [placed])[0])
+    bad = ENGLISH[0].replace("should", "shou1d")
+    assert look(CLEAN[0] * 12 + "\n" + bad) == look(CLEAN[0] * 12 + bad) == {"misread"} and look("shou1d.") == set() and look("the shou1d.") == {"misread"}
+    assert N.repaired(CLEAN[0] * 12 + "\n" + bad, repairs).endswith(ENGLISH[0])
+    assert look("取值 — 3 — 范围") == look("取值 — 3 — 范围" + CLEAN[0]) == {"page_number"} and look("取值 — 3 — 范围", True) == set()
+    assert look("19") == {"page_number"} and look("19", True) == set() and look("— 19 —", True) == {"page_number"} and look("l9", True) == {"misread"}
+
+
+def test_furniture_by_repetition_and_place(spark, rows):
+    """A title of no known kind is told by its pages; a number by counting with them; numbers and headings in the text are content."""
+    lines, at = [], 0
+    for page in range(1, 9):
+        number = {5: "l1", 6: None}.get(page, str(page + 6))
+        for pos, text in enumerate(["山海文丛 卷3" if page % 2 else None, "始行甲" + "天地玄黄宇宙洪荒"[page - 1], "强化训练", "42", f"正文{page}乙", f"正文{page}丙", "42" if page == 6 else "尾行乙" + "天地玄黄宇宙洪荒"[page - 1], number], 1):
+            if text:
+                at += 1
+                lines.append((f"k{at}", "d", page, pos, text))
+    want = {(i, "header") for i, _, _, _, t in lines if t.startswith("山海")} | {(i, "page_number") for i, _, page, pos, t in lines if pos == 8}
+    df = spark.createDataFrame([*lines, lines[0], ("n1", None, 1, 1, "山海文丛 卷3"), ("n2", "d", None, 1, "7"), (None, "d", 1, 1, "山海文丛 卷3"), ("n3", "e", 1, 1, None), ("n4", "e", 3, 1, "3"), ("n5", "e", 4, 2, "77")], "id string, doc_id string, page int, pos int, text string").selectExpr("*", "'x' kind", "1 form", "'y' src")
+    assert rows(N.page_furniture(df), "id", "kind") == want | {("n4", "page_number")}
+    assert N.page_furniture(df.limit(0)).count() == 0
+
+
 def test_frames(spark, rows):
     repairs = learned(spark)
     df = spark.createDataFrame([("a", "1", "l9"), ("a", "1", "l9"), ("a", "2", None), ("a", "3", ""), ("a", None, "P4"), ("b", "4", CLEAN[0] * 3000)], "src string, id string, text string").selectExpr("*", "'x' kind")
