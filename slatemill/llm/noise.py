@@ -411,18 +411,21 @@ def page_furniture(lines: DataFrame, least: int = 4, share: float = 0.9) -> Data
     those lines that counts with the pages, at the distance from the page's own number that is usual in the document; any other
     bare number is content. Lines without a page or place are none. One window a page, then partial aggregations.
     """
+    text, form = F.col("text"), line_form(F.col("text"))
+    is_title = ~text.rlike(_PAGE_LINE.pattern) & (F.length(F.regexp_replace(form, r"[^\p{L}]", "")) >= 3)
+    number = F.translate(F.trim(text), "".join(DIGITS), "".join(DIGITS.values())).try_cast("int")
+    placed = lines.filter("id is not null and doc_id is not null and page is not null and pos is not null").select(
+        "id", "doc_id", "page", "pos", F.when(is_title, F.struct(F.xxhash64(form).alias("x"), F.xxhash64(F.lit(1), form).alias("y"))).alias("form"), F.when(text.rlike(_BARE_LINE.pattern), number - F.col("page")).alias("off")
+    )
     page = Window.partitionBy("doc_id", "page")
-    placed = lines.select("id", "doc_id", "page", "pos", "text").filter("id is not null and doc_id is not null and page is not null and pos is not null").distinct()
-    placed = placed.withColumns({"a": F.dense_rank().over(page.orderBy("pos")), "b": F.dense_rank().over(page.orderBy(F.desc("pos")))}).withColumn("edge", (F.col("a") <= 2) | (F.col("b") <= 2)).drop("a", "b")
-    placed = placed.filter("text is not null")
-    titles = placed.filter(~F.col("text").rlike(_PAGE_LINE.pattern)).select("id", "edge", line_form(F.col("text")).alias("form")).filter(F.length(F.regexp_replace("form", r"[^\p{L}]", "")) >= 3)
+    placed = placed.withColumn("a", F.dense_rank().over(page.orderBy("pos"))).withColumn("edge", (F.col("a") <= 2) | (F.col("a") >= F.max("a").over(page) - 1))
+    placed = cut(placed.dropDuplicates(["doc_id", "page", "pos", "id"]).filter("form is not null or (edge and off is not null)").select("id", "doc_id", "form", "off", "edge"))
+    titles, numbers = placed.filter("form is not null"), placed.filter("edge and off is not null")
     forms = titles.groupBy("form").agg(F.count("*").alias("n"), F.count_if("edge").alias("at_edge")).filter((F.col("n") >= least) & (F.col("at_edge") >= share * F.col("n"))).select("form")
     headers = titles.filter("edge").join(forms, "form", "left_semi").select("id", F.lit("header").alias("kind"))
-    numbers = placed.filter("edge").filter(F.col("text").rlike(rf"^\s*{_D}\s*$"))
-    numbers = numbers.select("id", "doc_id", (F.translate(F.trim("text"), "".join(DIGITS), "".join(DIGITS.values())).try_cast("int") - F.col("page")).alias("off"))
     usual = numbers.groupBy("doc_id", "off").agg(F.count("*").alias("n")).groupBy("doc_id").agg(F.max_by(F.when(F.col("n") > 1, F.col("off")), F.struct("n", -F.abs("off"))).alias("usual"))
     counted = numbers.join(usual, "doc_id").filter(F.col("off") == F.coalesce("usual", F.lit(0))).select("id", F.lit("page_number").alias("kind"))
-    return headers.unionByName(counted).distinct()
+    return cut(headers.unionByName(counted).distinct())
 
 
 def _with_place(texts: DataFrame) -> DataFrame:
@@ -449,8 +452,8 @@ def find_noise(texts: DataFrame, repairs: list[Repairs], furniture_lines: DataFr
     found = _with_place(texts).filter("text <> '' and id is not null").mapInArrow(look, "src string, id string, kind string")
     if furniture_lines is not None:
         told = furniture_lines.select("src", "id", "kind")
-        body = found.filter("kind in ('hyphen', 'misread')").join(told.select("src", "id").distinct(), ["src", "id"], "left_anti")
-        found = found.filter("kind in ('header', 'page_number')").unionByName(body).unionByName(told)
+        known = told.select("src", "id", F.lit(True).alias("known")).distinct()
+        found = found.join(known, ["src", "id"], "left").filter("known is null or kind in ('header', 'page_number')").drop("known").unionByName(told)
     return found.distinct()
 
 
