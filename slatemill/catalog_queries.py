@@ -194,8 +194,7 @@ def replenished_page(spark: SparkSession, d: str) -> DataFrame:
     pairs = _points(spark, d).join(_pages(spark, d).filter("page > 1"), "doc_id")
     scored = pairs.select("knowledge_id", "page", "body", G.heading_score(F.col("body"), F.col("point"), F.col("level_2_module")).alias("score"))
     best = G.best_of(scored, ["knowledge_id"], F.col("score"), [F.col("page")])
-    method = F.when(F.col("score") >= 100, "exact_min_point_page").when(F.col("score") >= 55, "module_or_nearby_page").when(F.col("score") >= 25, "weak_nearby_page").otherwise("fallback_first_content_page")
-    return best.withColumn("method", method).select("knowledge_id", "page", "score", "method", G.replenish_status(F.col("method"), F.col("body")).alias("status"))
+    return best.withColumn("method", G.page_method(F.col("score"))).select("knowledge_id", "page", "score", "method", G.replenish_status(F.col("method"), F.col("body")).alias("status"))
 
 
 @query("""WITH m AS (SELECT lesson_id, level_2_module AS module, level_3_min_knowledge_point AS point, min(knowledge_id) AS k FROM knowledge_points GROUP BY ALL), s AS (SELECT lesson_id, module, min(k) AS k FROM m GROUP BY ALL)

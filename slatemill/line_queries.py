@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from slatemill.functions import previews as V
 from slatemill.functions import rules as R
 from slatemill.functions import text as T
-from slatemill.operators import extract as X
 from slatemill.operators import ordered as O
 from slatemill.registry import query
 from slatemill.sources.files import text_lines
@@ -184,21 +183,6 @@ def question_audit(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("question_id", F.array_join("i", ",").alias("issues"), "audit_status", R.review_risk("audit_status", "component_kind").alias("risk"))
 
 
-@query()
-def page_question_blocks(spark: SparkSession, d: str) -> DataFrame:
-    """The first question of every scanned page, from its lines in order."""
-    lines = read(spark, d, "ocr_lines", "doc_id", "page", "pos", "text").distinct()
-    pages = lines.groupBy("doc_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), "\n").alias("body"))
-    return X.page_blocks(pages.withColumn("terms", F.array().cast("array<string>")), ["doc_id", "page"], "body", "terms")
-
-
-@query()
-def answer_part_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Numbered questions of each document with the lengths of their parts."""
-    rows = read(spark, d, "documents", "doc_id", "text").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "text"))
-    return X.answer_parts(rows).select("doc_id", "number", "first_pos", *[F.length(c).alias(f"{c}_chars") for c in ("question", "analysis", "solution", "comment")])
-
-
 @query("""WITH q AS (SELECT DISTINCT question_id, checkpoint, component_kind AS k, coalesce(len(text_preview), 0) AS n FROM split_questions), r AS (SELECT *, row_number() OVER (PARTITION BY checkpoint ORDER BY question_id) AS nth FROM q),
 t AS (SELECT question_id, unnest(list_distinct(list_filter(['常用版', CASE WHEN k = 'example' OR (k = 'practice' AND nth <= 1) OR k = 'after_class' THEN '基础版' END, CASE WHEN (k = 'example' AND nth >= 2 AND n > 120) OR (k = 'practice' AND (nth >= 2 OR n > 150)) OR k = 'advanced' THEN '进阶版' END], lambda y: y IS NOT NULL))) AS tag FROM r)
 SELECT v AS version_tag, count(tag) AS n FROM (VALUES ('常用版'), ('基础版'), ('进阶版')) AS d(v) LEFT JOIN t ON tag = v GROUP BY v""")

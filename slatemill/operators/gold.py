@@ -78,6 +78,29 @@ def replenish_status(method: Column, text: Column) -> Column:
     return F.when(~signal, "REPLENISHED_REVIEW_REQUIRED").when(method == "exact_min_point_page", "REPLENISHED_GOLD").when(method == "module_or_nearby_page", "REPLENISHED_WITH_REVIEW").otherwise("REPLENISHED_REVIEW_REQUIRED")
 
 
+def page_method(score: Column) -> Column:
+    """How a page was found, by its heading score."""
+    return F.when(score >= 100, "exact_min_point_page").when(score >= 55, "module_or_nearby_page").when(score >= 25, "weak_nearby_page").otherwise("fallback_first_content_page")
+
+
+def fallback_page(best: DataFrame, signals: DataFrame) -> DataFrame:
+    """best (knowledge_id, page, score) with the page where a question is and the method it was found by.
+
+    signals: (knowledge_id, other) of the pages that hold a question. A page without one gives way to the next or the one after,
+    else, if it was found weakly, to the first page from the second on; one partial aggregation over the pages.
+    """
+    pages = best.withColumn("method", page_method(F.col("score"))).join(signals.select("knowledge_id", "other"), "knowledge_id", "left")
+    first = lambda where: F.min(F.when(where, F.col("other")))
+    near = F.col("other").isin(F.col("page") + 1, F.col("page") + 2)
+    found = pages.groupBy("knowledge_id", "page", "method").agg(first(F.col("other") == F.col("page")).alias("here"), first(near).alias("near"), first(F.col("other") >= 2).alias("any"))
+    weak = F.col("method").isin("fallback_first_content_page", "weak_nearby_page")
+    return found.select(
+        "knowledge_id",
+        F.coalesce("here", "near", F.when(weak, F.col("any")), "page").cast("int").alias("page"),
+        F.when(F.col("here").isNotNull(), F.col("method")).when(F.col("near").isNotNull(), "next_question_page_after_heading").when(weak & F.col("any").isNotNull(), "first_question_page_fallback").otherwise(F.col("method")).alias("method"),
+    )
+
+
 def best_of(candidates: DataFrame, key: list[str], score: Column, ties: list[Column]) -> DataFrame:
     """The candidate with the highest score for each key; of equals the one with the least ties. One partial aggregation."""
     rest = [c for c in candidates.columns if c not in key]
