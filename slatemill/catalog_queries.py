@@ -12,7 +12,7 @@ from slatemill.registry import query
 from slatemill.sources.tables import read
 
 #: Fragments of SQL that several twins share. Blanks are spelled as in functions.text.
-_N = lambda c: rf"trim(regexp_replace(coalesce({c}, ''), '[\s\x{{3000}}\x{{a0}}]+', ' ', 'g'))"
+_N = lambda c: rf"trim(regexp_replace(coalesce({c}, ''), '[\s\x{{3000}}\x{{a0}}]+', ' ', 'g'), ' ')"
 _COVERAGE = "c AS (SELECT DISTINCT * FROM coverage_set_review)"
 _PREDICTED = """
 pr AS (SELECT test_question_id AS q, file, pos, final_top3 FROM (SELECT coalesce(test_question_id, question_id) AS test_question_id, file, pos, final_top3 FROM predictions) WHERE test_question_id IS NOT NULL),

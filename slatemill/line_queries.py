@@ -11,7 +11,7 @@ from slatemill.registry import query
 from slatemill.sources.files import text_lines
 from slatemill.sources.tables import read
 
-_SQL_NORM = r"trim(regexp_replace(coalesce({0}, ''), '[\s\x{{3000}}\x{{a0}}]+', ' ', 'g'))"
+_SQL_NORM = r"trim(regexp_replace(coalesce({0}, ''), '[\s\x{{3000}}\x{{a0}}]+', ' ', 'g'), ' ')"
 _WS = r"[\s\x{3000}\x{a0}]"
 _SECTION = rf"regexp_matches(line, '{R.SECTION}') OR regexp_matches(line, '{R.NUMBERED_SECTION}')"
 _LINES = rf"l AS (SELECT DISTINCT doc_id, page, pos, line_id, regexp_replace(regexp_replace(regexp_replace(text, '\x{{200b}}', '', 'g'), '^{_WS}+|{_WS}+$', '', 'g'), '[ \t]+', ' ', 'g') AS line FROM ocr_lines)"
@@ -175,12 +175,23 @@ a AS (SELECT *, CASE WHEN len(s) = 0 THEN 'PASS_BY_VISUAL_GATE' WHEN s = ['too_m
 SELECT question_id, array_to_string(s, ',') AS issues, audit_status, CASE WHEN audit_status = 'NEEDS_MODEL_OR_HUMAN_REVIEW' THEN '高' WHEN k = 'advanced' THEN '中' ELSE '低' END AS risk FROM a""")
 def question_audit(spark: SparkSession, d: str) -> DataFrame:
     """The audit of cut-out questions by what the table holds; pixel statistics, which it lacks, trigger nothing."""
-    rows = read(spark, d, "split_questions", "question_id", "local_number", "fragments", "visual_pages", "checkpoint", "component_label", "component_kind", "text_preview").distinct()
+    return _audited(spark, d).select("question_id", "issues", "audit_status", "risk")
+
+
+def _audited(spark: SparkSession, d: str) -> DataFrame:
+    """Questions with their audit."""
+    rows = read(spark, d, "split_questions", "question_id", "group_id", "local_number", "fragments", "visual_pages", "checkpoint", "component_label", "component_kind", "text_preview", "text_preview_source", "review_status").distinct()
     height = F.array_max(F.transform(F.filter("fragments", lambda f: f.isNotNull()), lambda f: F.try_element_at(f["bbox_image"], F.lit(4)) - F.try_element_at(f["bbox_image"], F.lit(2))))
     none = F.lit(None).cast("double")
     issues = R.crop_issues("local_number", "fragments", "visual_pages", height, none, none, none, "checkpoint", "component_label", "text_preview")
-    rows = rows.select("question_id", "component_kind", issues.alias("i")).withColumn("audit_status", R.crop_status("i"))
-    return rows.select("question_id", F.array_join("i", ",").alias("issues"), "audit_status", R.review_risk("audit_status", "component_kind").alias("risk"))
+    rows = rows.withColumn("i", issues).withColumn("audit_status", R.crop_status("i"))
+    return rows.withColumns({"issues": F.array_join("i", ","), "risk": R.review_risk("audit_status", "component_kind")}).drop("i")
+
+
+def _tagged_questions(spark: SparkSession, d: str) -> DataFrame:
+    """Audited questions with their version tags."""
+    placed = O.nth(_audited(spark, d), ["checkpoint"], ["question_id"], "nth")
+    return placed.withColumn("tags", R.version_tags("component_kind", "nth", F.coalesce(F.length("text_preview"), F.lit(0))))
 
 
 @query("""WITH q AS (SELECT DISTINCT question_id, checkpoint, component_kind AS k, coalesce(len(text_preview), 0) AS n FROM split_questions), r AS (SELECT *, row_number() OVER (PARTITION BY checkpoint ORDER BY question_id) AS nth FROM q),

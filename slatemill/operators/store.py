@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from slatemill.plans.cut import cut
 
@@ -24,24 +25,42 @@ def either_semi(df: DataFrame, key: str, *sides: tuple[str, DataFrame, str]) ->
     return df.join(ids.distinct(), key, "left_semi")
 
 
-def lineage(edges: DataFrame, starts: DataFrame | None = None, limit: int = 10_000) -> DataFrame:
+def either_side(links: DataFrame, columns: list[str], owners: DataFrame, owner: str, *sides: tuple[str, str]) -> DataFrame:
+    """(owner, columns): the links that touch an owner's item on one side or the other, each once; sides: (column of links, column of owners)."""
+    out = None
+    for column, theirs in sides:
+        part = links.join(owners.select(F.col(owner).alias("_o"), F.col(theirs).alias(column)), column).select(F.col("_o").alias(owner), *columns)
+        out = part if out is None else out.unionByName(part)
+    return out.distinct()
+
+
+def lineage(edges: DataFrame, starts: DataFrame | None = None) -> DataFrame:
     """(start, node, depth) of every ancestor that can be reached over edges (child, parent), at its least depth.
 
-    A frontier loop with one join a level; pairs seen before are left out, so cycles end. A start is no ancestor of itself
-    unless on a cycle through others (then it is left out as well). Parents without a row of their own are kept. starts: (start), all children if None.
+    Known paths are joined with each other, so a round doubles their length and the number of rounds is the logarithm of the
+    depth, however deep. The least depth of each pair is kept, so cycles end. A start is no ancestor of itself. Parents without a
+    row of their own are kept. starts: (start), all children if None; the closure is then of what can be reached from them.
     """
-    edges = edges.select("child", "parent").filter("child is not null and parent is not null").distinct()
-    starts = (edges.select(F.col("child").alias("start")) if starts is None else starts.select("start")).distinct()
-    frontier = cut(starts.join(edges.withColumnRenamed("child", "start"), "start").select("start", F.col("parent").alias("node")).filter("start <> node").withColumn("depth", F.lit(1)))
-    seen, depth = frontier, 1
-    while depth < limit:
-        depth += 1
-        step = frontier.join(edges.withColumnRenamed("child", "node"), "node").select("start", F.col("parent").alias("node")).filter("start <> node").distinct()
-        frontier = cut(step.join(seen.select("start", "node"), ["start", "node"], "left_anti").withColumn("depth", F.lit(depth)))
-        if frontier.isEmpty():
+    edges = edges.select("child", "parent").filter("child is not null and parent is not null and child <> parent").distinct()
+    if starts is not None:
+        # only what the starts can reach takes part
+        reached = cut(starts.select(F.col("start").alias("child")).distinct())
+        while True:
+            more = cut(edges.join(reached, "child", "left_semi").select(F.col("parent").alias("child")).unionByName(reached).distinct())
+            if more.count() == reached.count():
+                break
+            reached = more
+        edges = edges.join(reached, "child", "left_semi")
+    paths = cut(edges.select(F.col("child").alias("start"), F.col("parent").alias("node"), F.lit(1).alias("depth")))
+    size = paths.agg(F.count("*"), F.sum("depth")).first()
+    while size[0]:
+        on = paths.select(F.col("start").alias("node"), F.col("node").alias("end"), F.col("depth").alias("more"))
+        longer = paths.join(on, "node").filter("start <> end").select("start", F.col("end").alias("node"), (F.col("depth") + F.col("more")).alias("depth"))
+        paths = cut(paths.unionByName(longer).groupBy("start", "node").agg(F.min("depth").alias("depth")))
+        before, size = size, paths.agg(F.count("*"), F.sum("depth")).first()
+        if size == before:
             break
-        seen = seen.unionByName(frontier)
-    return seen
+    return paths if starts is None else paths.join(starts.select("start").distinct(), "start", "left_semi")
 
 
 def ensure(new: DataFrame, existing: DataFrame, key: list[str]) -> DataFrame:
@@ -57,13 +76,17 @@ def import_bundle(new: DataFrame, existing: DataFrame, key: str, content: str) -
     return new.join(known, key, "left").withColumn("outcome", outcome).drop("_known")
 
 
-def fingerprint(df: DataFrame, name: str, columns: list[str]) -> DataFrame:
-    """(table_name, n_rows, content): the row count and a hash that does not depend on the order of rows.
+def fingerprint(df: DataFrame, name: str, columns: list[str] | None = None) -> DataFrame:
+    """(table_name, n_rows, content_xor, content_sum): the row count and a hash of all columns that does not depend on the order of rows.
 
-    Hashes of rows are combined by exclusive or and by sum, so repeated rows do not cancel out; both are partial aggregations.
+    Two 64-bit halves of each row's hash are combined, one by exclusive or, one by sum, so repeated rows do not cancel out; both
+    are partial aggregations. Nested columns count by their JSON text. Null differs from empty.
     """
-    digest = F.conv(F.substring(F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])), 1, 12), 16, 10).cast("long")
-    return df.select(digest.alias("h")).agg(F.lit(name).alias("table_name"), F.count("*").alias("n_rows"), F.coalesce(F.bit_xor("h"), F.lit(0)).alias("content_xor"), F.coalesce(F.sum(F.pmod("h", F.lit(1_000_003))), F.lit(0)).cast("long").alias("content_sum"))
+    columns = columns or df.columns
+    flat = [F.coalesce(F.col(c).cast("string") if not isinstance(df.schema[c].dataType, (ArrayType, StructType, MapType)) else F.to_json(F.col(c)), F.lit("\x00")) for c in columns]
+    digest = F.md5(F.concat_ws("\x1f", *flat))
+    half = lambda k: F.conv(F.substring(digest, k, 15), 16, 10).cast("long")
+    return df.select(half(1).alias("a"), half(17).alias("b")).agg(F.lit(name).alias("table_name"), F.count("*").alias("n_rows"), F.coalesce(F.bit_xor("a"), F.lit(0)).alias("content_xor"), F.coalesce(F.sum(F.pmod("b", F.lit((1 << 31) - 1))), F.lit(0)).cast("long").alias("content_sum"))
 
 
 def consistency(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -98,6 +121,12 @@ def cascade(children: DataFrame, column: str, removed: DataFrame, key: str) -> D
     return children.join(removed.select(F.col(key).alias(column)), column, "left_anti")
 
 
+def set_null(children: DataFrame, column: str, removed: DataFrame, key: str) -> DataFrame:
+    """children with the reference to a removed parent emptied."""
+    gone = removed.select(F.col(key).alias(column)).distinct().withColumn("_gone", F.lit(True))
+    return children.join(gone, column, "left").withColumn(column, F.when(F.col("_gone").isNull(), F.col(column))).select(*children.columns)
+
+
 def upsert(existing: DataFrame, changes: DataFrame, key: list[str]) -> DataFrame:
     """existing with the changed rows in place of those of equal key, and the new ones added; changes has one row a key."""
     return existing.join(changes.select(*key), key, "left_anti").unionByName(changes.select(*existing.columns))
