@@ -129,19 +129,124 @@ def coverage_summary(spark: SparkSession, d: str) -> DataFrame:
 SELECT 'mkp_test_' || lpad(i::VARCHAR, greatest(4, len(i::VARCHAR))::INT, '0') AS blind_id, test_question_id AS original_test_question_id FROM k""")
 def blind_id_map(spark: SparkSession, d: str) -> DataFrame:
     """Opaque ids in a seeded order, numbered over all rows without one task holding them."""
-    keyed = _coverage(spark, d).select("test_question_id", F.md5(F.concat(F.lit("20260617"), "test_question_id")).alias("shuffle"))
-    return numbered(keyed, ["shuffle", "test_question_id"]).select(F.format_string("mkp_test_%04d", F.col("row_no")).alias("blind_id"), F.col("test_question_id").alias("original_test_question_id"))
+    return _numbered_coverage(spark, d).select(F.col("id").alias("blind_id"), F.col("test_question_id").alias("original_test_question_id"))
 
 
-_LEAK = ("test_question_id", "knowledge_id", "min_knowledge_point", "lesson_title", "答案", "解析", "教师版", "知识点")
+#: Terms that must not occur in what a model is given. Fixed values.
+LEAK_TERMS = ("junior_g", "senior_g", "初一", "初二", "初三", "高一", "高二", "高三", "lesson_id", "knowledge_id", "source_pdf")
+_BLIND = f"WITH {_COVERAGE}, k AS (SELECT *, 'mkp_test_' || lpad((row_number() OVER (ORDER BY md5('20260617' || test_question_id), test_question_id))::VARCHAR, 4, '0') AS id FROM c)"
 
 
-@query("WITH b AS (SELECT coalesce(text, '') || ' ' || coalesce(subject, '') AS x FROM heldout_blind) " + " UNION ALL ".join(f"SELECT '{t}' AS term, count(*) FILTER (WHERE x LIKE '%{t.replace('_', '!_')}%' ESCAPE '!') AS n_rows FROM b" for t in _LEAK))
+def _numbered_coverage(spark: SparkSession, d: str) -> DataFrame:
+    keyed = _coverage(spark, d).withColumn("shuffle", F.md5(F.concat(F.lit("20260617"), "test_question_id")))
+    return numbered(keyed, ["shuffle", "test_question_id"]).withColumn("id", F.format_string("mkp_test_%04d", F.col("row_no")))
+
+
+@query(_BLIND + " SELECT id AS test_question_id, '数学' AS subject, md5(coalesce(question_text_ocr, '')) AS text_md5, 'no stage grade lesson module knowledge source path labels in model input' AS leakage_policy FROM k")
+def blind_rows(spark: SparkSession, d: str) -> DataFrame:
+    """What a model is given: an opaque id and the text, no labels."""
+    return _numbered_coverage(spark, d).select(F.col("id").alias("test_question_id"), F.lit("数学").alias("subject"), F.md5(F.coalesce("question_text_ocr", F.lit(""))).alias("text_md5"), F.lit("no stage grade lesson module knowledge source path labels in model input").alias("leakage_policy"))
+
+
+_KEY_COLUMNS = ("scope", "stage", "grade", "lesson_id", "lesson_title", "module", "min_knowledge_point", "knowledge_id", "source_page", "selection_quality", "selection_reason", "status")
+
+
+@query(_BLIND + f" SELECT id AS test_question_id, test_question_id AS original_test_question_id, {', '.join(_KEY_COLUMNS)} FROM k")
+def answer_key(spark: SparkSession, d: str) -> DataFrame:
+    """All labels by the opaque id, from the same numbering as the blind rows."""
+    return _numbered_coverage(spark, d).select(F.col("id").alias("n"), *_KEY_COLUMNS, F.col("test_question_id").alias("original_test_question_id")).withColumnRenamed("n", "test_question_id")
+
+
+@query("WITH b AS (SELECT concat_ws(' ', heldout_question_id, subject, text) AS x FROM heldout_blind), n(term) AS (VALUES " + ", ".join(f"('{t}')" for t in ("junior_g", "senior_g", "初一", "初二", "初三", "高一", "高二", "高三", "lesson_id", "knowledge_id", "source_pdf")) + ") SELECT term, (SELECT count(*) FROM b WHERE contains(x, term)) AS n_rows, contains('heldout_question_id subject text', term) AS in_names FROM n")
 def leak_check(spark: SparkSession, d: str) -> DataFrame:
-    """How many blind rows hold each term that would tell the answer; all terms are counted in one scan."""
-    x = F.concat_ws(" ", F.coalesce("text", F.lit("")), F.coalesce("subject", F.lit("")))
-    counts = read(spark, d, "heldout_blind", "text", "subject").agg(*[F.count_if(x.contains(t)).alias(f"t{k}") for k, t in enumerate(_LEAK)])
-    return counts.select(F.explode(F.array(*[F.struct(F.lit(t).alias("term"), F.col(f"t{k}").alias("n_rows")) for k, t in enumerate(_LEAK)])).alias("x")).select("x.*")
+    """In how many blind rows each term occurs that would tell the answer, and whether a column's name holds it; all terms are counted in one scan."""
+    rows = read(spark, d, "heldout_blind")
+    return E.leaking_terms(rows, LEAK_TERMS)
+
+
+#: Buckets of curation in a complete set, with the status they get. Fixed values.
+COMPLETE = {"USABLE_GOLD": "COMPLETE_GOLD", "USABLE_WITH_REVIEW": "COMPLETE_WITH_REVIEW", "REVIEW_REQUIRED": "COMPLETE_REVIEW_REQUIRED", "REPLENISHED_GOLD": "COMPLETE_GOLD", "REPLENISHED_WITH_REVIEW": "COMPLETE_WITH_REVIEW", "REPLENISHED_REVIEW_REQUIRED": "COMPLETE_REVIEW_REQUIRED"}
+_COMPLETE = f"""WITH {_COVERAGE}, {_PREDICTED}, {_RULES}, co AS (SELECT c.test_question_id, c.stage, c.grade, u.curation_status, CASE u.curation_status WHEN 'USABLE_GOLD' THEN 'COMPLETE_GOLD' WHEN 'USABLE_WITH_REVIEW' THEN 'COMPLETE_WITH_REVIEW' WHEN 'REVIEW_REQUIRED' THEN 'COMPLETE_REVIEW_REQUIRED' END AS complete_status, 'curated' AS source_bucket FROM curated u JOIN c USING (test_question_id) WHERE u.curation_status <> 'RE_CROP_REQUIRED'
+UNION ALL SELECT c.test_question_id, c.stage, c.grade, 'REPLENISHED_REVIEW_REQUIRED', 'COMPLETE_REVIEW_REQUIRED', 'replenished' FROM curated u JOIN c USING (test_question_id) WHERE u.curation_status = 'RE_CROP_REQUIRED')"""
+
+
+def _complete(spark: SparkSession, d: str) -> DataFrame:
+    curated = _curated(spark, d).select("test_question_id", "stage", "grade", "curation_status")
+    kept = curated.filter("curation_status <> 'RE_CROP_REQUIRED'").withColumn("source_bucket", F.lit("curated"))
+    again = curated.filter("curation_status = 'RE_CROP_REQUIRED'").withColumns({"curation_status": F.lit("REPLENISHED_REVIEW_REQUIRED"), "source_bucket": F.lit("replenished")})
+    return kept.unionByName(again).withColumn("complete_status", R.mapped("curation_status", COMPLETE))
+
+
+@query(_COMPLETE + " SELECT test_question_id, complete_status, source_bucket FROM co")
+def complete_gold(spark: SparkSession, d: str) -> DataFrame:
+    """The complete set: the curated buckets and what was taken anew, under one set of statuses."""
+    return _complete(spark, d).select("test_question_id", "complete_status", "source_bucket")
+
+
+@query(_COMPLETE + """, s(v) AS (VALUES ('COMPLETE_GOLD'), ('COMPLETE_WITH_REVIEW'), ('COMPLETE_REVIEW_REQUIRED')) SELECT 'all' AS group_name, 'all' AS group_value, v AS status, count(test_question_id) AS n FROM s LEFT JOIN co ON complete_status = v GROUP BY v
+UNION ALL SELECT 'stage', coalesce(stage, 'None'), complete_status, count(*) FROM co GROUP BY ALL UNION ALL SELECT 'grade', coalesce(grade, 'None'), complete_status, count(*) FROM co GROUP BY ALL""")
+def complete_summary(spark: SparkSession, d: str) -> DataFrame:
+    """Counts of the complete set by status, of all (also where there are none), by stage and by grade."""
+    return G.grouped_summary(_complete(spark, d), "complete_status", ["stage", "grade"], ("COMPLETE_GOLD", "COMPLETE_WITH_REVIEW", "COMPLETE_REVIEW_REQUIRED"))
+
+
+@query(f"""WITH {_COVERAGE}, {_PREDICTED}, {_RULES}, s AS (SELECT 'clean' AS set_name, test_question_id FROM curated WHERE curation_status = 'USABLE_GOLD' UNION ALL SELECT 'expanded', test_question_id FROM curated WHERE curation_status IN ('USABLE_GOLD', 'USABLE_WITH_REVIEW')) SELECT set_name, test_question_id FROM s""")
+def evaluation_sets(spark: SparkSession, d: str) -> DataFrame:
+    """The clean set and the expanded one that holds it."""
+    return G.nested_sets(_curated(spark, d).select("test_question_id", "curation_status"), "curation_status", {"clean": ("USABLE_GOLD",), "expanded": ("USABLE_GOLD", "USABLE_WITH_REVIEW")}).select("set_name", "test_question_id")
+
+
+@query(f"""WITH {_COVERAGE}, {_PREDICTED}, i AS (SELECT *, CASE WHEN NOT predicted THEN 'missing_prediction' WHEN NOT lesson_hit THEN 'lesson_miss' WHEN NOT module_hit THEN 'module_miss' WHEN NOT point_hit THEN 'point_miss' WHEN NOT knowledge_hit THEN 'id_mismatch' END AS t FROM scored)
+SELECT test_question_id, t AS issue_type, CASE WHEN t = 'missing_prediction' THEN knowledge_id END AS gold_knowledge_id, CASE WHEN t <> 'missing_prediction' THEN lesson_hit END AS lesson_hit, CASE WHEN t <> 'missing_prediction' THEN module_hit END AS module_hit FROM i WHERE t IS NOT NULL""")
+def issue_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Issues of both kinds below each other: missing predictions with their gold column, misses with their flags."""
+    found = E.issues(_scored(spark, d))
+    missing = found.filter("issue_type = 'missing_prediction'").select("test_question_id", "issue_type", F.col("knowledge_id").alias("gold_knowledge_id"))
+    misses = found.filter("issue_type <> 'missing_prediction'").select("test_question_id", "issue_type", "lesson_hit", "module_hit")
+    return missing.unionByName(misses, allowMissingColumns=True)
+
+
+@query("""SELECT 'junior' AS system, knowledge_id, lesson_id, level_2_module AS module FROM knowledge_points WHERE stage = '初中' UNION ALL SELECT 'senior', knowledge_id, lesson_id, level_2_module FROM knowledge_points WHERE stage = '高中'""")
+def joint_catalog(spark: SparkSession, d: str) -> DataFrame:
+    """The catalogs of both stages as one."""
+    rows = read(spark, d, "knowledge_points", "knowledge_id", "lesson_id", "stage", F.col("level_2_module").alias("module"))
+    part = lambda name, stage: rows.filter(F.col("stage") == stage).select(F.lit(name).alias("system"), "knowledge_id", "lesson_id", "module")
+    return part("junior", "初中").unionByName(part("senior", "高中"))
+
+
+@query("""WITH pg AS (SELECT doc_id, max(page) AS n FROM ocr_lines GROUP BY 1), k AS (SELECT knowledge_id, greatest(coalesce(nullif(source_page, 0), 1), 1) AS src, n FROM (SELECT knowledge_id, source_page, 'scan_' || lpad((coalesce(lesson_no, 0) + 1)::VARCHAR, 8, '0') AS doc_id FROM knowledge_points) JOIN pg USING (doc_id)),
+p AS (SELECT knowledge_id, n, CASE WHEN src <= least(n, src + 8) THEN range(src, least(n, src + 8) + 1) ELSE [] END AS preferred, range(1, n + 1) AS every_page FROM k)
+SELECT knowledge_id, len(preferred)::INT AS n_preferred, array_to_string(list_concat(preferred, list_filter(every_page, lambda x: NOT list_contains(preferred, x))), ',') AS candidates FROM p""")
+def candidate_pages(spark: SparkSession, d: str) -> DataFrame:
+    """The pages to try for each point: those from its source on first, then the rest of the document."""
+    last = read(spark, d, "ocr_lines", "doc_id", "page").groupBy("doc_id").agg(F.max("page").alias("n"))
+    source = F.greatest(F.coalesce(F.nullif("source_page", F.lit(0)), F.lit(1)), F.lit(1))
+    pages = _points(spark, d).join(last, "doc_id").withColumn("preferred", G.pages_from(source, F.col("n")))
+    return pages.select("knowledge_id", F.size("preferred").alias("n_preferred"), F.array_join(F.concat("preferred", F.array_except(F.sequence(F.lit(1), "n"), "preferred")), ",").alias("candidates"))
+
+
+@query("""SELECT row_number() OVER (ORDER BY grade NULLS FIRST, season NULLS FIRST, lesson_no NULLS FIRST, source_pdf_path NULLS FIRST, lesson_id) AS place, lesson_id FROM (SELECT DISTINCT lesson_id, grade, season, lesson_no, source_pdf_path FROM knowledge_points)""")
+def manifest_order(spark: SparkSession, d: str) -> DataFrame:
+    """The manifest of sources in the order of grade, season, number and name."""
+    rows = read(spark, d, "knowledge_points", "lesson_id", "grade", "season", "lesson_no", "source_pdf_path").distinct()
+    return numbered(rows, ["grade", "season", "lesson_no", "source_pdf_path", "lesson_id"], "place").select("place", "lesson_id")
+
+
+@query("""WITH l AS (SELECT DISTINCT lesson_id, title FROM lesson) SELECT 'lesson' AS table_name, row_number() OVER (ORDER BY lesson_id) AS place, lesson_id AS key, json_object('lesson_id', lesson_id, 'title', title)::VARCHAR AS row_json FROM l""")
+def mirror_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The lessons as a mirror stores them: one JSON text a row, in the order of the key."""
+    rows = read(spark, d, "lesson", "lesson_id", "title").distinct()
+    return numbered(rows, ["lesson_id"], "place").select(F.lit("lesson").alias("table_name"), "place", F.col("lesson_id").alias("key"), F.to_json(F.struct("lesson_id", "title"), {"ignoreNullFields": "false"}).alias("row_json"))
+
+
+@query("""WITH p AS (SELECT DISTINCT prediction_id, review_status, final_top3 FROM predictions), e AS (SELECT prediction_id, review_status, i, x.knowledge_id AS k, x.confidence AS c FROM (SELECT prediction_id, review_status, unnest(final_top3[1:3]) AS x, generate_subscripts(final_top3[1:3], 1) AS i FROM p))
+SELECT prediction_id, i::INT AS rank, e.k AS knowledge_id, coalesce(kp.lesson_title, '') AS lesson_title, coalesce(kp.level_2_module, '') AS module, CASE WHEN i = 1 THEN coalesce(nullif(e.c, ''), 'medium') ELSE 'medium' END AS confidence, CASE WHEN i = 1 THEN 'first' ELSE 'alternative' END AS reason, coalesce(nullif(e.review_status, ''), 'needs_teacher_review') AS review_status
+FROM e LEFT JOIN knowledge_points kp ON kp.knowledge_id = e.k WHERE e.k IS NOT NULL""")
+def placement_records(spark: SparkSession, d: str) -> DataFrame:
+    """The first three candidates of each prediction with their catalog labels, defaults where something is missing."""
+    rows = read(spark, d, "predictions", "prediction_id", "review_status", "final_top3").distinct()
+    catalog = read(spark, d, "knowledge_points", "knowledge_id", "lesson_title", F.col("level_2_module").alias("module"))
+    return E.placements(rows, catalog)
 
 
 _PAGES = "pages AS (SELECT doc_id, page, string_agg(text, chr(10) ORDER BY pos) AS body FROM (SELECT DISTINCT doc_id, page, pos, text FROM ocr_lines) GROUP BY ALL)"

@@ -118,6 +118,16 @@ def choose(rules: list[tuple[Column, str]], default: str) -> Column:
     return out.otherwise(default)
 
 
+def mapped(x, of: dict[str, str]) -> Column:
+    """The value that a fixed map gives; null for one it does not list."""
+    return F.try_element_at(F.create_map(*[F.lit(v) for pair in of.items() for v in pair]), T._c(x))
+
+
+def banner_bucket(tier, place) -> Column:
+    """Component banner of a question by its tier and its place in the section."""
+    return F.when(T._c(tier) == "advanced", "ability_advance").when(T._c(place) <= 1, "example_explain").otherwise("intensive_training")
+
+
 def version_tags(kind, nth, length) -> Column:
     """Version tags of a question by its component, its place in the checkpoint and its length, in the order they were given."""
     k, n, size = T._c(kind), T._c(nth), T._c(length)

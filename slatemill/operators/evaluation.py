@@ -47,6 +47,31 @@ def issues(scored: DataFrame) -> DataFrame:
     return scored.withColumn("issue_type", kind).filter("issue_type is not null")
 
 
+def leaking_terms(rows: DataFrame, terms: tuple[str, ...]) -> DataFrame:
+    """(term, n_rows, in_names): in how many rows each term occurs in some column, and whether a column's name holds it; one scan for all terms."""
+    x = F.concat_ws(" ", *[F.col(c).cast("string") for c in rows.columns])
+    counts = rows.agg(*[F.count_if(x.contains(t)).alias(f"t{k}") for k, t in enumerate(terms)])
+    listed = F.array(*[F.struct(F.lit(t).alias("term"), F.col(f"t{k}").alias("n_rows"), F.lit(any(t in c for c in rows.columns)).alias("in_names")) for k, t in enumerate(terms)])
+    return counts.select(F.explode(listed).alias("x")).select("x.*")
+
+
+def placements(predictions: DataFrame, catalog: DataFrame, most: int = 3) -> DataFrame:
+    """(prediction_id, rank, knowledge_id, lesson_title, module, confidence, reason, review_status) of the first candidates of each prediction.
+
+    Only the first candidate keeps its own confidence, else ``medium``; labels come from the catalog and are empty where it has
+    none; an empty status waits for a teacher. Null candidates keep their rank and give no row.
+    """
+    status = F.coalesce(F.nullif("review_status", F.lit("")), F.lit("needs_teacher_review"))
+    rows = predictions.select("prediction_id", status.alias("review_status"), F.posexplode(F.slice("final_top3", 1, most)).alias("p", "x")).filter("x.knowledge_id is not null")
+    first = F.col("p") == 0
+    rows = rows.select("prediction_id", "review_status", (F.col("p") + 1).alias("rank"), F.col("x.knowledge_id").alias("knowledge_id"), F.when(first, F.coalesce(F.nullif("x.confidence", F.lit("")), F.lit("medium"))).otherwise("medium").alias("confidence"), F.when(first, "first").otherwise("alternative").alias("reason"))
+    named = rows.join(catalog, "knowledge_id", "left")
+    return named.select("prediction_id", "rank", "knowledge_id", F.coalesce("lesson_title", F.lit("")).alias("lesson_title"), F.coalesce("module", F.lit("")).alias("module"), "confidence", "reason", "review_status")
+
+
 def top_distribution(predictions: DataFrame, first: Column, unmatched: str = "unmatched") -> DataFrame:
     """Counts of first candidates, the most frequent first; no candidate counts as unmatched."""
-    return predictions.groupBy(F.coalesce(first, F.lit(unmatched)).alias("candidate")).agg(F.count("*").alias("n")).withColumn("rank", F.dense_rank().over(Window.orderBy(F.desc("n"))).cast("long"))
+    counts = predictions.groupBy(F.coalesce(first, F.lit(unmatched)).alias("candidate")).agg(F.count("*").alias("n"))
+    # only the different counts, far fewer than candidates, are ranked in one place
+    ranks = counts.select("n").distinct().withColumn("rank", F.dense_rank().over(Window.orderBy(F.desc("n"))).cast("long"))
+    return counts.join(ranks, "n").select("candidate", "n", "rank")

@@ -46,14 +46,32 @@ def zero_filled(df: DataFrame, status: str, statuses: tuple[str, ...], counts: d
     return dim.join(df.groupBy(status).agg(*[F.count_if(c).alias(n) for n, c in counts.items()]), status, "left").fillna(0, [*counts])
 
 
-def grouped_summary(df: DataFrame, status: str, groups: list[str]) -> DataFrame:
-    """Counts by status alone and by each group with status, in one pass of grouping sets: (group_name, group_value, status, n)."""
+def pages_from(source: Column, last: Column, reach: int = 8) -> Column:
+    """The pages from the source's on, as far as reach and the document go; none if the source is beyond it."""
+    return F.when(source <= last, F.sequence(source, F.least(last, source + reach))).otherwise(F.array().cast("array<int>"))
+
+
+def nested_sets(df: DataFrame, status: str, sets: dict[str, tuple[str, ...]]) -> DataFrame:
+    """df with ``set_name``, a row for each set whose statuses it has; one pass, no union of scans."""
+    names = F.array_compact(F.array(*[F.when(F.col(status).isin(*values), name) for name, values in sets.items()]))
+    return df.withColumn("set_name", F.explode(names))
+
+
+def grouped_summary(df: DataFrame, status: str, groups: list[str], statuses: tuple[str, ...] = ()) -> DataFrame:
+    """Counts by status alone and by each group with status, in one pass of grouping sets: (group_name, group_value, status, n).
+
+    Of all rows together each of the statuses has a row, 0 where there are none.
+    """
     sets = [[F.col(status)], *[[F.col(g), F.col(status)] for g in groups]]
     out = df.groupingSets(sets, *groups, status).agg(F.count("*").alias("n"), *[F.grouping(g).alias(f"_{g}") for g in groups])
     name, value = F.lit("all"), F.lit("all")
     for g in groups:
         name, value = F.when(F.col(f"_{g}") == 0, g).otherwise(name), F.when(F.col(f"_{g}") == 0, F.coalesce(g, F.lit("None"))).otherwise(value)
-    return out.select(name.alias("group_name"), value.alias("group_value"), F.col(status).alias("status"), "n")
+    found = out.select(name.alias("group_name"), value.alias("group_value"), F.col(status).alias("status"), "n")
+    if not statuses:
+        return found
+    empty = df.sparkSession.createDataFrame([(s,) for s in statuses], "status string").select(F.lit("all").alias("group_name"), F.lit("all").alias("group_value"), "status", F.lit(0).cast("long").alias("n"))
+    return found.unionByName(empty).groupBy("group_name", "group_value", "status").agg(F.sum("n").alias("n"))
 
 
 def page_score(terms: Column, text: Column, page: Column, source_page: Column) -> Column:

@@ -20,14 +20,15 @@ def _revisions(spark: SparkSession, d: str) -> DataFrame:
 _TABLES = {"lesson": "lesson_id", "lesson_revision": "lesson_revision_id", "task_projection": "task_projection_id", "task": "task_id", "predictions": "prediction_id", "coverage_set_review": "test_question_id", "split_questions": "question_id", "knowledge_points": "knowledge_id"}
 
 
-@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(DISTINCT {k}) AS n_keys FROM {t}" for t, k in _TABLES.items()))
+@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(DISTINCT {k}) AS n_keys FROM {t}" for t, k in _TABLES.items()) + " UNION ALL SELECT 'open reviews', count(*), count(DISTINCT prediction_id) FROM predictions WHERE review_status IN ('pending', 'in_review', 'changes_requested', 'rerun_requested', 'needs_teacher_review')")
 def store_summary(spark: SparkSession, d: str) -> DataFrame:
-    """Rows and different keys of each table; one pruned scan of a key column a table."""
+    """Rows and different keys of each table, and reviews that are open; one pruned scan of a key column a table."""
     out = None
     for table, key in _TABLES.items():
         part = read(spark, d, table, key).agg(F.lit(table).alias("table_name"), F.count("*").alias("n_rows"), F.count_distinct(key).alias("n_keys"))
         out = part if out is None else out.unionByName(part)
-    return out
+    waiting = read(spark, d, "predictions", "prediction_id", "review_status").filter(F.col("review_status").isin("pending", "in_review", "changes_requested", "rerun_requested", "needs_teacher_review"))
+    return out.unionByName(waiting.agg(F.lit("open reviews").alias("table_name"), F.count("*").alias("n_rows"), F.count_distinct("prediction_id").alias("n_keys")))
 
 
 @query(f"""WITH {_REV}, l AS (SELECT DISTINCT * FROM lesson), p AS (SELECT lesson_id, count(DISTINCT task_projection_id) AS n FROM task_projection GROUP BY 1), w AS (SELECT lesson_id, count(*) FILTER (WHERE status <> 'published' OR status IS NULL) AS n FROM r GROUP BY 1),
@@ -88,53 +89,114 @@ def repeated_documents(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "documents", "doc_id", "text").groupBy(F.md5("text").alias("content_hash")).agg(F.count("*").alias("n_copies"), F.min("doc_id").alias("first_id")).filter("n_copies > 1")
 
 
-def _hash_sql(table: str, columns: tuple[str, ...], rows: str | None = None) -> str:
-    text = ", ".join(f"coalesce({c}::VARCHAR, '~')" for c in columns)
-    return f"SELECT '{table}' AS table_name, count(*) AS n_rows, coalesce(bit_xor(h), 0) AS content_xor, coalesce(sum(h % 1000003), 0)::BIGINT AS content_sum FROM (SELECT ('0x' || substr(md5(concat_ws('|', {text})), 1, 12))::BIGINT AS h FROM {rows or table})"
+#: Tables with their key, what orders the states of a key, and the columns that every delivery changes.
+_STATES = {"lesson": ("lesson_id", "updated_at", ()), "lesson_revision": ("lesson_revision_id", "created_at", ("ingested_at",)), "task_projection": ("task_projection_id", "created_at", ("ingested_at",)), "knowledge_points": ("knowledge_id", "loaded_at", ())}
+_COLUMNS = {
+    "lesson": "lesson_id document_group_id subject stage grade season title active_revision_id published_revision_id status created_at updated_at".split(), "lesson_revision": "lesson_revision_id lesson_id base_artifact_id revision_no status approval_status bundle_jsonb content_hash created_by created_at".split(),
+    "task_projection": "task_projection_id lesson_id lesson_revision_id local_task_id source_node_local_id subject grade question_type stem answer difficulty_level difficulty_confidence checkpoint_codes subject_tags content_hash created_at".split(),
+    "knowledge_points": "knowledge_id lesson_id stage grade season lesson_no lesson_title level_1_lesson_topic level_2_module level_3_min_knowledge_point source_difficulty_star source_page confidence review_status source_pdf_path loaded_at".split(),
+}
+
+
+#: The day of the mirror.
+_MIRRORED = "2026-01-01"
+
+
+def _hash_sql(table: str, rows: str) -> str:
+    text = ", ".join(f"coalesce({f'to_json({c})::VARCHAR' if c in ('checkpoint_codes', 'subject_tags') else f'{c}::VARCHAR'}, chr(0))" for c in _COLUMNS[table])
+    return f"SELECT '{table}' AS table_name, count(*) AS n_rows, coalesce(bit_xor(a), 0) AS content_xor, coalesce(sum(b % 2147483647), 0)::BIGINT AS content_sum FROM (SELECT ('0x' || substr(h, 1, 15))::BIGINT AS a, ('0x' || substr(h, 17, 15))::BIGINT AS b FROM (SELECT md5(concat_ws(chr(31), {text})) AS h FROM {rows}))"
+
 
+def _state_sql(table: str, mirror: bool) -> str:
+    key, order, _ = _STATES[table]
+    where = f"WHERE {order} < TIMESTAMP '{_MIRRORED}'" if mirror else ""
+    return f"(SELECT * FROM {table} {where} QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {order} DESC) = 1)"
 
-_PRINTS = {"lesson": ("lesson_id", "title", "status"), "lesson_revision": ("lesson_revision_id", "revision_no", "content_hash"), "task_projection": ("task_projection_id", "content_hash"), "knowledge_points": ("knowledge_id", "level_3_min_knowledge_point")}
 
+def _states(spark: SparkSession, d: str, table: str, mirror: bool) -> DataFrame:
+    """The present state of each key, or its state in a mirror that has heard of nothing since a day."""
+    key, order, _ = _STATES[table]
+    rows = read(spark, d, table, *_COLUMNS[table])
+    rows = rows.filter(F.col(order) < F.lit(_MIRRORED).cast("timestamp_ntz")) if mirror else rows
+    return S.latest(rows, [key], [F.col(order)]).select(*_COLUMNS[table])
 
-def _prints(spark: SparkSession, d: str, once: bool) -> DataFrame:
+
+def _prints(spark: SparkSession, d: str, mirror: bool | None) -> DataFrame:
     out = None
-    for table, columns in _PRINTS.items():
-        rows = read(spark, d, table, *columns)
-        part = S.fingerprint(rows.distinct() if once else rows, table, [*columns])
+    for table, columns in _COLUMNS.items():
+        rows = read(spark, d, table, *columns) if mirror is None else _states(spark, d, table, mirror)
+        part = S.fingerprint(rows, table, columns)
         out = part if out is None else out.unionByName(part)
     return out
 
 
-@query(" UNION ALL ".join(_hash_sql(t, c) for t, c in _PRINTS.items()))
+@query(" UNION ALL ".join(_hash_sql(t, t) for t in _COLUMNS))
 def table_fingerprints(spark: SparkSession, d: str) -> DataFrame:
-    return _prints(spark, d, False)
+    """Rows and content hash of each table over all its columns, as delivered."""
+    return _prints(spark, d, None)
 
 
-@query("WITH a AS (" + " UNION ALL ".join(_hash_sql(t, c) for t, c in _PRINTS.items()) + "), b AS (" + " UNION ALL ".join(_hash_sql(t, c, f"(SELECT DISTINCT {', '.join(c)} FROM {t})") for t, c in _PRINTS.items()) + ") SELECT table_name, a.n_rows AS left_rows, b.n_rows AS right_rows, a.n_rows = b.n_rows AND a.content_xor = b.content_xor AND a.content_sum = b.content_sum AS consistent FROM a JOIN b USING (table_name)")
+@query("WITH a AS (" + " UNION ALL ".join(_hash_sql(t, _state_sql(t, False)) for t in _COLUMNS) + "), b AS (" + " UNION ALL ".join(_hash_sql(t, _state_sql(t, True)) for t in _COLUMNS) + ") SELECT table_name, a.n_rows AS left_rows, b.n_rows AS right_rows, a.n_rows = b.n_rows AND a.content_xor = b.content_xor AND a.content_sum = b.content_sum AS consistent FROM a JOIN b USING (table_name)")
 def consistency_report(spark: SparkSession, d: str) -> DataFrame:
-    """The log as delivered against the log without redelivered rows."""
+    """The present state of each table against its mirror; ok or not, by count and hash."""
     return S.consistency(_prints(spark, d, False), _prints(spark, d, True))
 
 
-@query(f"""WITH {_REV}, t AS (SELECT DISTINCT * EXCLUDE (ingested_at) FROM task_projection), l AS (SELECT DISTINCT * FROM lesson), u AS (SELECT lesson_id, revision_no FROM (SELECT DISTINCT lesson_id, revision_no, lesson_revision_id FROM r) GROUP BY ALL HAVING count(*) > 1), v AS (SELECT lesson_revision_id, local_task_id FROM t GROUP BY ALL HAVING count(*) > 1)
-SELECT 'unique_revision_no' AS constraint_name, count(*) AS n_violations FROM u UNION ALL SELECT 'unique_local_task', count(*) FROM v UNION ALL SELECT 'confidence_in_unit_range', count(*) FILTER (WHERE NOT (difficulty_confidence BETWEEN 0 AND 1)) FROM t
-UNION ALL SELECT 'positive_revision_no', count(*) FILTER (WHERE NOT revision_no > 0) FROM r UNION ALL SELECT 'revision_status_known', count(*) FILTER (WHERE NOT status IN ('published', 'reviewing', 'deleted')) FROM r UNION ALL SELECT 'revision_has_lesson', count(*) FROM r WHERE lesson_id IS NOT NULL AND lesson_id NOT IN (SELECT lesson_id FROM lesson)
-UNION ALL SELECT 'task_has_revision', count(*) FROM t WHERE lesson_revision_id IS NOT NULL AND lesson_revision_id NOT IN (SELECT lesson_revision_id FROM lesson_revision) UNION ALL SELECT 'task_has_lesson', count(*) FROM t WHERE lesson_id IS NOT NULL AND lesson_id NOT IN (SELECT lesson_id FROM lesson)
-UNION ALL SELECT 'active_revision_exists', count(*) FROM l WHERE active_revision_id IS NOT NULL AND active_revision_id NOT IN (SELECT lesson_revision_id FROM lesson_revision)""")
+@query(f"""WITH a AS (SELECT {', '.join(_COLUMNS['lesson_revision'])} FROM {_state_sql('lesson_revision', False)}), b AS (SELECT {', '.join(_COLUMNS['lesson_revision'])} FROM {_state_sql('lesson_revision', True)})
+SELECT lesson_revision_id, status, 'left' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL SELECT lesson_revision_id, status, 'right' FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""")
+def mirror_difference(spark: SparkSession, d: str) -> DataFrame:
+    """The rows in which the revisions' snapshot and its mirror differ."""
+    return S.row_difference(_states(spark, d, "lesson_revision", False), _states(spark, d, "lesson_revision", True)).select("lesson_revision_id", "status", "side")
+
+
+@query("""WITH r AS (SELECT lesson_id FROM lesson WHERE status = 'reviewing'), v AS (SELECT DISTINCT lesson_revision_id FROM lesson_revision WHERE lesson_id IN (SELECT lesson_id FROM r)), t AS (SELECT DISTINCT task_projection_id, lesson_id, lesson_revision_id FROM task_projection)
+SELECT 'lesson' AS table_name, count(DISTINCT lesson_id) AS n_left, 0 AS n_emptied FROM lesson WHERE lesson_id NOT IN (SELECT lesson_id FROM r) UNION ALL SELECT 'lesson_revision', count(DISTINCT lesson_revision_id), 0 FROM lesson_revision WHERE lesson_revision_id NOT IN (SELECT lesson_revision_id FROM v)
+UNION ALL SELECT 'task_projection', count(*), 0 FROM t WHERE (lesson_id IS NULL OR lesson_id NOT IN (SELECT lesson_id FROM r)) AND (lesson_revision_id IS NULL OR lesson_revision_id NOT IN (SELECT lesson_revision_id FROM v))
+UNION ALL SELECT 'task', count(*), count(*) FILTER (WHERE l IN (SELECT lesson_id FROM r)) FROM (SELECT DISTINCT task_id, regexp_extract(task_id, '^(.*?):task:', 1) AS l FROM task)""")
+def cascaded_delete(spark: SparkSession, d: str) -> DataFrame:
+    """What is left after the lessons in review are deleted: revisions and projections go with them, tasks keep their row and lose the reference."""
+    gone = read(spark, d, "lesson", "lesson_id", "status").filter("status = 'reviewing'").select("lesson_id").distinct()
+    revisions = read(spark, d, "lesson_revision", "lesson_revision_id", "lesson_id").distinct()
+    left = S.cascade(revisions, "lesson_id", gone, "lesson_id")
+    dropped = revisions.join(gone, "lesson_id", "left_semi").select("lesson_revision_id").distinct()
+    tasks = read(spark, d, "task_projection", "task_projection_id", "lesson_id", "lesson_revision_id").distinct()
+    tasks = S.cascade(S.cascade(tasks, "lesson_id", gone, "lesson_id"), "lesson_revision_id", dropped, "lesson_revision_id")
+    loose = read(spark, d, "task", "task_id").distinct().withColumn("lesson_id", F.regexp_extract("task_id", "^(.*?):task:", 1))
+    emptied = S.set_null(loose, "lesson_id", gone, "lesson_id")
+    count = lambda name, table, key, more=F.lit(0): table.agg(F.lit(name).alias("table_name"), F.count_distinct(key).alias("n_left"), more.cast("int").alias("n_emptied"))
+    out = count("lesson", S.cascade(read(spark, d, "lesson", "lesson_id"), "lesson_id", gone, "lesson_id"), "lesson_id")
+    for part in (count("lesson_revision", left, "lesson_revision_id"), count("task_projection", tasks, "task_projection_id"), count("task", emptied, "task_id", F.count_if(F.col("lesson_id").isNull()))):
+        out = out.unionByName(part)
+    return out
+
+
+#: Constraints: name, kind, table and columns. The driver's tables stand in for those of the store that have no data here.
+_UNIQUE = (("unique_revision_no", "lesson_revision", ("lesson_id", "revision_no"), "lesson_revision_id"), ("unique_attempt_no", "lineitem", ("l_orderkey", "l_linenumber"), "l_partkey"), ("unique_local_task", "task_projection", ("lesson_revision_id", "local_task_id"), "task_projection_id"))
+_CHECK = (
+    ("review_status_known", "predictions", "prediction_id", "review_status", "review_status IN ('accepted', 'pending', 'in_review', 'approved', 'changes_requested', 'rejected', 'published')"), ("publication_status_known", "lesson", "lesson_id", "status", "status IN ('preparing', 'published', 'failed', 'revoked', 'superseded')"), ("job_status_known", "orders", "o_orderkey", "o_orderstatus", "o_orderstatus IN ('F', 'O', 'P')"),
+    ("projection_confidence_in_range", "task_projection", "task_projection_id", "difficulty_confidence", "difficulty_confidence >= 0 AND difficulty_confidence <= 1"), ("bank_confidence_in_range", "task", "task_id", "confidence", "confidence >= 0 AND confidence <= 1"), ("component_confidence_in_range", "ocr_lines", "line_id", "score", "score >= 0 AND score <= 1"),
+    ("positive_sort_index", "split_questions", "question_id", "local_number", "local_number > 0"),
+)
+_REFERENCE = (
+    ("revision_has_lesson", "lesson_revision", "lesson_revision_id", "lesson_id", "lesson", "lesson_id"), ("projection_has_lesson", "task_projection", "task_projection_id", "lesson_id", "lesson", "lesson_id"), ("projection_has_revision", "task_projection", "task_projection_id", "lesson_revision_id", "lesson_revision", "lesson_revision_id"),
+    ("bank_revision_has_item", "coverage_set_review", "test_question_id", "knowledge_id", "knowledge_points", "knowledge_id"), ("source_link_has_revision", "predictions", "prediction_id", "test_question_id", "coverage_set_review", "test_question_id"), ("publication_has_lesson", "coverage_set_review", "test_question_id", "lesson_id", "knowledge_points", "lesson_id"),
+    ("publication_has_revision", "lesson", "lesson_id", "active_revision_id", "lesson_revision", "lesson_revision_id"), ("build_has_lesson", "orders", "o_orderkey", "o_custkey", "customer", "c_custkey"), ("item_has_build", "lineitem", "l_orderkey", "l_orderkey", "orders", "o_orderkey"),
+    ("item_has_question_revision", "lineitem", "l_orderkey", "l_partkey", "part", "p_partkey"), ("page_has_document", "customer", "c_custkey", "c_nationkey", "nation", "n_nationkey"), ("component_has_page", "nation", "n_nationkey", "n_regionkey", "region", "r_regionkey"), ("component_revision_has_component", "lineitem", "l_orderkey", "l_suppkey", "supplier", "s_suppkey"),
+)
+
+
+@query(
+    " UNION ALL ".join(
+        [f"SELECT '{n}' AS constraint_name, count(*) AS n_violations FROM (SELECT {', '.join(c)} FROM (SELECT DISTINCT {', '.join(c)}, {k} FROM {t}) GROUP BY ALL HAVING count(*) > 1)" for n, t, c, k in _UNIQUE]
+        + [f"SELECT '{n}', count(*) FILTER (WHERE NOT ({e})) FROM (SELECT DISTINCT {k}, {c} FROM {t})" for n, t, k, c, e in _CHECK]
+        + [f"SELECT '{n}', count(*) FROM (SELECT DISTINCT {k} AS k, {c} AS c FROM {t}) WHERE c IS NOT NULL AND c NOT IN (SELECT {pc} FROM {p} WHERE {pc} IS NOT NULL)" for n, t, k, c, p, pc in _REFERENCE]
+    )
+)
 def constraint_violations(spark: SparkSession, d: str) -> DataFrame:
-    r, l = _revisions(spark, d), read(spark, d, "lesson").distinct()  # noqa: E741
-    t = read(spark, d, "task_projection").drop("ingested_at").distinct()
-    parts = [
-        S.unique_violations(r.select("lesson_id", "revision_no", "lesson_revision_id").distinct(), "unique_revision_no", ["lesson_id", "revision_no"]),
-        S.unique_violations(t, "unique_local_task", ["lesson_revision_id", "local_task_id"]),
-        S.check_violations(t, "confidence_in_unit_range", F.col("difficulty_confidence").between(0, 1)),
-        S.check_violations(r, "positive_revision_no", F.col("revision_no") > 0),
-        S.check_violations(r, "revision_status_known", F.col("status").isin("published", "reviewing", "deleted")),
-        S.reference_violations(r, "lesson_id", l, "lesson_id", "revision_has_lesson"),
-        S.reference_violations(t, "lesson_revision_id", r, "lesson_revision_id", "task_has_revision"),
-        S.reference_violations(t, "lesson_id", l, "lesson_id", "task_has_lesson"),
-        S.reference_violations(l, "active_revision_id", r, "lesson_revision_id", "active_revision_exists"),
-    ]
+    """Violations of every unique key, check and reference; redelivered rows count once."""
+    parts = [S.unique_violations(read(spark, d, t, *dict.fromkeys((*c, k))).distinct(), n, [*c]) for n, t, c, k in _UNIQUE]
+    parts += [S.check_violations(read(spark, d, t, k, c).distinct(), n, F.expr(e)) for n, t, k, c, e in _CHECK]
+    parts += [S.reference_violations(read(spark, d, t, F.col(k).alias("k"), F.col(c).alias("c")).distinct(), "c", read(spark, d, p, pc), pc, n) for n, t, k, c, p, pc in _REFERENCE]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -148,13 +210,47 @@ def tasks_of_lessons(spark: SparkSession, d: str) -> DataFrame:
     return tasks.join(read(spark, d, "lesson", "lesson_id", "subject", "status").distinct(), "lesson_id").select("task_id", "lesson_id", "subject", "status")
 
 
-@query("""SELECT DISTINCT task_projection_id, lesson_id, subject FROM task_projection p WHERE EXISTS (SELECT 1 FROM lesson l WHERE l.lesson_id = p.lesson_id AND l.status = 'published') AND EXISTS (SELECT 1 FROM lesson l WHERE trim(l.published_revision_id) = trim(p.lesson_revision_id)) AND stem LIKE '%方程%'""")
-def published_search(spark: SparkSession, d: str) -> DataFrame:
-    """Tasks of published revisions whose stem holds a term: the filter first, then semi joins."""
-    tasks = read(spark, d, "task_projection", "task_projection_id", "lesson_id", "lesson_revision_id", "subject", "stem").filter(F.col("stem").contains("方程"))
-    lessons = read(spark, d, "lesson", "lesson_id", "status", "published_revision_id")
-    tasks = tasks.join(lessons.filter("status = 'published'").select("lesson_id"), "lesson_id", "left_semi").withColumn("k", F.trim("lesson_revision_id"))
-    return tasks.join(lessons.select(F.trim("published_revision_id").alias("k")), "k", "left_semi").select("task_projection_id", "lesson_id", "subject").distinct()
+def search_tasks(tasks: DataFrame, lessons: DataFrame, subject: str | None = None, published_only: bool = False, q: str | None = None) -> DataFrame:
+    """tasks (task_projection_id, lesson_id, lesson_revision_id, subject, stem) that hold a term, of a subject, of a published revision; each filter only if given.
+
+    The filters reach the scan; the published revisions are one semi join on trimmed keys.
+    """
+    if subject is not None:
+        tasks = tasks.filter(F.col("subject") == subject)
+    if q:
+        tasks = tasks.filter(F.col("stem").contains(q))
+    if published_only:
+        shown = lessons.filter("status = 'published'").select("lesson_id", F.trim("published_revision_id").alias("_k")).filter("_k <> ''")
+        tasks = tasks.withColumn("_k", F.trim("lesson_revision_id")).join(shown, ["lesson_id", "_k"], "left_semi").drop("_k")
+    return tasks
+
+
+_SEARCHES = ((None, True, "方程"), ("数学", False, "平行"), ("物理", True, None), (None, False, "体积"), ("化学", True, "溶液"))
+
+
+@query("WITH t AS (SELECT DISTINCT task_projection_id, lesson_id, trim(lesson_revision_id, ' ') AS k, subject, stem FROM task_projection), l AS (SELECT DISTINCT lesson_id, trim(published_revision_id, ' ') AS k FROM lesson WHERE status = 'published' AND trim(published_revision_id, ' ') <> '') " + " UNION ALL ".join(f"SELECT {i} AS search_no, task_projection_id, subject FROM t WHERE true{f" AND subject = '{s}'" if s else ''}{f" AND contains(stem, '{q}')" if q else ''}{' AND EXISTS (SELECT 1 FROM l WHERE l.lesson_id = t.lesson_id AND l.k = t.k)' if pub else ''}" for i, (s, pub, q) in enumerate(_SEARCHES)))
+def task_search(spark: SparkSession, d: str) -> DataFrame:
+    """Searches by term, subject and publication, alone and together."""
+    tasks = read(spark, d, "task_projection", "task_projection_id", "lesson_id", "lesson_revision_id", "subject", "stem").distinct()
+    lessons = read(spark, d, "lesson", "lesson_id", "status", "published_revision_id").distinct()
+    out = None
+    for i, (subject, published, q) in enumerate(_SEARCHES):
+        part = search_tasks(tasks, lessons, subject, published, q).select(F.lit(i).alias("search_no"), "task_projection_id", "subject")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def of_status(rows: DataFrame, status: str | None = None, column: str = "status") -> DataFrame:
+    """rows of a status; all of them if none is given."""
+    return rows if status is None else rows.filter(F.col(column) == status)
+
+
+@query("""WITH p AS (SELECT DISTINCT prediction_id, review_status FROM predictions) SELECT 'all' AS filter, count(*) AS n FROM p UNION ALL SELECT 'needs_teacher_review', count(*) FROM p WHERE review_status = 'needs_teacher_review' UNION ALL SELECT 'accepted', count(*) FROM p WHERE review_status = 'accepted'""")
+def filtered_reviews(spark: SparkSession, d: str) -> DataFrame:
+    """The list of reviews with and without its optional filter."""
+    rows = read(spark, d, "predictions", "prediction_id", "review_status").distinct()
+    count = lambda name, status: of_status(rows, status, "review_status").agg(F.lit(name).alias("filter"), F.count("*").alias("n"))
+    return count("all", None).unionByName(count("needs_teacher_review", "needs_teacher_review")).unionByName(count("accepted", "accepted"))
 
 
 @query("""SELECT DISTINCT lesson_revision_id FROM lesson_revision r WHERE EXISTS (SELECT 1 FROM lesson l WHERE l.active_revision_id = r.lesson_revision_id) OR EXISTS (SELECT 1 FROM lesson l WHERE trim(l.published_revision_id) = r.lesson_revision_id)""")
