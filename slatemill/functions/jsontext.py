@@ -1,31 +1,51 @@
 """JSON inside free text, and canonical hashes of rows."""
 
+import json
+import re
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def balanced(text: str | None) -> tuple[str | None, str]:
-    """(the first balanced JSON object of a text, 'ok') or (None, why not): empty, not_found, not_closed. Braces in strings do not count."""
-    if not text or not text.strip():
+    """(the JSON object in a text, 'ok') or (None, why not): empty, not_found, not_closed, broken.
+
+    A code fence around the text is taken off. If the whole is JSON it is taken as it is, else the first object whose braces
+    balance; braces inside strings do not count.
+    """
+    text = (text or "").strip()
+    if not text:
         return None, "empty"
+    if text.startswith("```"):
+        text = re.sub(r"\s*```$", "", re.sub(r"^```(?:json)?\s*", "", text))
+    if _is_json(text):
+        return text, "ok"
     start = text.find("{")
     if start < 0:
         return None, "not_found"
-    depth, quoted, escaped = 0, False, False
-    for k in range(start, len(text)):
-        c = text[k]
-        if quoted:
-            escaped, quoted = (not escaped and c == "\\"), not (c == '"' and not escaped)
-        elif c == '"':
-            quoted, escaped = True, False
-        elif c in "{}":
-            depth += 1 if c == "{" else -1
+    depth = 0
+    for m in _MARKS.finditer(text, start):
+        if m[0] in "{}":
+            depth += 1 if m[0] == "{" else -1
             if not depth:
-                return text[start : k + 1], "ok"
+                found = text[start : m.end()]
+                return (found, "ok") if _is_json(found) else (None, "broken")
     return None, "not_closed"
 
 
+#: Strings, ended or not, and braces outside of them.
+_MARKS = re.compile(r'"(?:[^"\\]|\\.)*(?:"|\Z)|[{}]', re.S)
+
+
+def _is_json(text: str) -> bool:
+    try:
+        json.loads(text)
+        return True
+    except (ValueError, RecursionError):
+        return False
+
+
 def extract_objects(df: DataFrame, column: str) -> DataFrame:
     """df with ``object`` and ``object_status`` of the first JSON object in a text column, in Arrow batches."""
 
@@ -37,6 +57,6 @@ def extract_objects(df: DataFrame, column: str) -> DataFrame:
     return df.mapInArrow(find, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", object string, object_status string")
 
 
-def row_hash(*columns: str) -> Column:
-    """A hash of a row's columns in the order given; null differs from empty."""
-    return F.md5(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns]))
+def content_hash(*columns: str) -> Column:
+    """The hash of a row's canonical JSON: its columns in the order of their names, nulls kept."""
+    return F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)

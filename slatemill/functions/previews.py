@@ -36,7 +36,8 @@ def cleaned(x) -> Column:
     """A candidate without glyphs and bullets, cut at answers, from its question number on, with blanks as signs want them."""
 
     def from_lead(text):
-        lead = F.regexp_instr(text, F.lit(r"[0-9]+\s*[．.]"))
+        mark = F.regexp_extract(text, r"[0-9]+\s*[．.]", 0)
+        lead = F.when(mark != "", F.instr(text, mark)).otherwise(0)
         return F.when((lead > 0) & (lead <= 81), F.substring(text, lead, F.length(text))).otherwise(text)
 
     out = let(excerpt(F.regexp_replace(T.norm(x), r"[\x{e000}-\x{f8ff}•◆◇■□]", " ")), from_lead)
@@ -55,6 +56,22 @@ def noisy(x) -> Column:
     )
 
 
+def noisy_summary(x) -> Column:
+    """The stricter rule for summaries: glyphs, hardly any ideographs, many signs or formulas."""
+    s = stats(x)
+    other = s["length"] - s["cjk"] - s["latin"] - s["digit"]
+    return (s["length"] == 0) | T.norm(x).contains("\ufffd") | (s["pua"] >= 1) | ((s["cjk"] <= 8) & (s["length"] >= 24)) | ((s["length"] >= 32) & (other > 0.24 * s["length"]) & (s["cjk"] < 20)) | ((s["length"] >= 48) & (s["math"] >= 7) & (s["cjk"] < 48))
+
+
+def noisy_export(x) -> Column:
+    """The looser rule for exports; a run of six spaced signs is noise too."""
+    s, clean = stats(x), T.norm(x)
+    other = s["length"] - s["cjk"] - s["latin"] - s["digit"]
+    operators = F.regexp_count(clean, F.lit(r"[=+\-*/^<>]"))
+    runs = clean.rlike(r"([=+\-*/^(){}\[\]<>_.,:;|\\]+(\s+|$)){6,}")
+    return (s["length"] == 0) | (s["pua"] >= 1) | runs | ((s["cjk"] <= 8) & (s["latin"] + s["digit"] + other > 40)) | ((s["length"] >= 48) & (other > 0.42 * s["length"]) & (s["cjk"] < 16)) | ((s["length"] >= 72) & (operators >= 10) & (s["cjk"] <= 36))
+
+
 def readable(x, source) -> Column:
     """Whether an excerpt reads as a question."""
     s, clean = stats(x), T.norm(x)

@@ -98,6 +98,16 @@ def answer_layers(x) -> Column:
     return F.transform(parts, lambda p: F.struct(F.regexp_extract(p, f"^(?:{marks})", 0).alias("marker"), F.regexp_replace(F.regexp_replace(p, f"^(?:{marks})", ""), f"^{WS}+|{WS}+$", "").alias("body")))
 
 
+def joined_layers(layers: Column | str) -> Column:
+    """array<struct<marker, body, n>>: the bodies of each marker of answer_layers joined by line breaks, the markers in their fixed order."""
+
+    def bodies(marker: str) -> Column:
+        return F.transform(F.filter(_c(layers), lambda x: x["marker"] == marker), lambda x: x["body"])
+
+    own = [bodies(m) for m in ANSWER_MARKERS_PAIRED]
+    return F.filter(F.array(*[F.struct(F.lit(m).alias("marker"), F.array_join(o, "\n").alias("body"), F.size(o).cast("long").alias("n")) for m, o in zip(ANSWER_MARKERS_PAIRED, own)]), lambda x: x["n"] > 0)
+
+
 def normalize_answer(answer, stem) -> Column:
     """For a question with options the letter that the answer begins with, else the answer."""
     text = norm(answer)
@@ -114,9 +124,14 @@ GLYPHS = {
 }
 
 
+#: Full-width signs of formulas and the plain ones. Fixed values.
+WIDE_SIGNS = {"＋": "+", "－": "-", "＝": "="}
+
+
 def symbols(x) -> Column:
-    """Private-use glyphs as the signs they show, other private-use glyphs dropped, runs of blanks and empty lines shortened."""
-    out = F.regexp_replace(F.translate(_c(x), "".join(GLYPHS), "".join(GLYPHS.values())), r"[\x{f000}-\x{f8ff}]", "")
+    """Private-use glyphs and full-width signs as the signs they show, other private-use glyphs dropped, runs of blanks and empty lines shortened."""
+    signs = GLYPHS | WIDE_SIGNS
+    out = F.regexp_replace(F.translate(_c(x), "".join(signs), "".join(signs.values())), r"[\x{f000}-\x{f8ff}]", "")
     return F.trim(F.regexp_replace(F.regexp_replace(out, r"[ \t]+", " "), r"\n{3,}", "\n\n"))
 
 
@@ -129,8 +144,8 @@ def file_title(name) -> Column:
 
 
 def percent(x) -> Column:
-    """A share as a percentage with one decimal."""
-    return F.format_string("%.1f%%", 100 * _c(x))
+    """A share as a percentage with one decimal, half-way cases to the even digit."""
+    return F.format_string("%.1f%%", F.bround(100 * _c(x), 1))
 
 
 def escape_markup(x) -> Column:
@@ -138,3 +153,51 @@ def escape_markup(x) -> Column:
     for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
         out = F.replace(out, F.lit(a), F.lit(b))
     return out
+
+
+def without_number(x) -> Column:
+    """A question without the number it was printed with, its signs made plain."""
+    return F.regexp_replace(symbols(x), r"^[0-9]{1,2}[．.、]\s*", "")
+
+
+def plain_inline(x) -> Column:
+    """Inline markup as text: code without its marks, a link as its words and target."""
+    return F.trim(F.regexp_replace(F.regexp_replace(_c(x), "`([^`]+)`", "$1"), r"\[([^\]]+)\]\(([^)]+)\)", "$1: $2"))
+
+
+def inferred_title(lines: Column, fallback, brand: str = "领世") -> Column:
+    """The first of the lines that is neither empty nor begins with a brand's name, else the fallback."""
+    return F.coalesce(F.try_element_at(F.filter(lines, lambda x: (x != "") & ~x.startswith(brand)), F.lit(1)), _c(fallback))
+
+
+def data_url(content, kind: str) -> Column:
+    """Binary content as a data URL."""
+    return F.concat(F.lit(f"data:{kind};base64,"), F.regexp_replace(F.base64(_c(content)), r"[\r\n]", ""))  # base64 breaks lines
+
+
+def section_of_key(x) -> Column:
+    """The section that a key such as s3_q2 names, as text."""
+    return F.regexp_replace(F.split_part(_c(x), F.lit("_"), F.lit(1)), "s", "")
+
+
+#: Where a summary ends. Fixed values.
+SUMMARY_STOPS = ("【答案", "答案", "【分析", "分析", "【解答", "解答", "点评")
+
+
+def summary(x) -> Column:
+    """The text up to the first stop that is not at its beginning, without signs at the end, from its question number on if that is near, without a last bare number."""
+    clean = norm(x)
+    end = F.least(*[F.when(F.instr(clean, m) > 1, F.instr(clean, m) - 1) for m in SUMMARY_STOPS], F.length(clean))
+    kept = F.regexp_replace(F.substring(clean, F.lit(1), end), r"[\s,.;:，。；：、]+$", "")
+    mark = F.regexp_extract(kept, r"[0-9]+\s*[．.]", 0)
+    at = F.instr(kept, mark)
+    cut = F.when((mark != "") & (at <= 81), F.substring(kept, at, F.length(kept))).otherwise(kept)
+    return F.trim(F.regexp_replace(cut, r"(^|[^\p{L}\p{N}_])[0-9]{1,3}\s*$", "$1"))
+
+
+def ends_summary(line, n_before, y_share) -> Column:
+    """Whether an OCR line ends a summary: one with a stop, or one low on the picture, if there is text before it."""
+    stop = F.lit(False)
+    for m in SUMMARY_STOPS:
+        stop = stop | _c(line).contains(m)
+    return (_c(line) != "") & (_c(n_before) > 0) & (stop | (_c(y_share) > 0.72))

@@ -155,18 +155,6 @@ def preview_signals(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("question_id", *counts, V.score("text_preview", "text_preview_source").alias("preview_score"), V.noisy("text_preview").alias("noisy"), V.readable("text_preview", source).alias("readable"))
 
 
-@query()
-def preview_choice(spark: SparkSession, d: str) -> DataFrame:
-    """The best readable excerpt of each question's preview, else a note on where the picture is."""
-    rows = read(spark, d, "split_questions", "question_id", "checkpoint", "component_label", "local_number", "text_preview", "text_preview_source", "visual_pages").distinct()
-    pick = V.best([("raw_text", F.col("text_preview")), ("pdf_text_layer", F.when(F.col("text_preview_source") == "pdf_text_layer", F.col("text_preview"))), ("ocr_fallback", F.when(F.col("text_preview_source") == "ocr_fallback", F.col("text_preview")))])
-    rows = rows.withColumn("b", pick)
-    page = F.try_element_at("visual_pages", F.lit(1))
-    note = F.concat(F.coalesce("checkpoint", F.lit("")), F.lit("｜"), F.coalesce("component_label", F.lit("")), F.when(F.coalesce("local_number", F.lit(0)) > 0, F.concat(F.lit(" "), F.col("local_number").cast("string"))).otherwise(""), F.lit("｜"), F.when(page.isNotNull(), F.format_string("P%02d", page)).otherwise("页码待复核"))
-    mode = F.when(F.col("b").isNotNull(), "trusted_excerpt").otherwise("ocr_reference_only")
-    return rows.select("question_id", F.coalesce("b.clean", note).alias("preview"), F.coalesce("b.score", F.lit(0).cast("long")).alias("score"), mode.alias("storage_mode"))
-
-
 @query("""WITH q AS (SELECT DISTINCT question_id, local_number AS n, fragments AS f, visual_pages AS p, checkpoint AS c, component_label AS l, component_kind AS k, coalesce(text_preview, '') AS t FROM split_questions),
 h AS (SELECT *, list_max(list_transform(list_filter(f, lambda x: x IS NOT NULL), lambda x: x.bbox_image[4] - x.bbox_image[2])) AS height, list_transform(f, lambda x: x.page) AS o FROM q),
 i AS (SELECT question_id, k, list_sort(list_filter([CASE WHEN coalesce(n, 0) <= 0 THEN 'no_clear_question_number' END, CASE WHEN coalesce(len(f), 0) = 0 THEN 'no_visual_fragment' END, CASE WHEN height < 120 THEN 'crop_too_short' END, CASE WHEN coalesce(len(p), 0) > 2 THEN 'spans_more_than_two_pages' END,
@@ -214,10 +202,29 @@ def question_pages(spark: SparkSession, d: str) -> DataFrame:
     return pages.groupBy("question_id").agg(F.array_join(F.array_sort(F.collect_set("p")), ",").alias("pages"), F.count_distinct("p").alias("n_pages"))
 
 
-@query("""WITH q AS (SELECT DISTINCT question_id, group_id, component_kind AS k, regexp_replace(coalesce(component_label, ''), '（续）', '', 'g') AS b FROM split_questions), c AS (SELECT *, CASE WHEN row_number() OVER w = 1 THEN 1 ELSE (k || '|' || b IS DISTINCT FROM lag(k || '|' || b) OVER w)::INT END AS new FROM q WINDOW w AS (PARTITION BY group_id ORDER BY question_id))
-SELECT question_id, sum(new) OVER (PARTITION BY group_id ORDER BY question_id ROWS UNBOUNDED PRECEDING)::BIGINT AS run_no FROM c""")
+_PARTS = "sg AS (SELECT DISTINCT question_id, group_id, CASE WHEN local_number % 7 = 0 THEN 'checkpoint' ELSE component_kind END AS kind, CASE WHEN local_number % 2 = 1 THEN component_label || '（续）' ELSE component_label END AS label FROM split_questions)"
+
+
+@query(f"""WITH {_PARTS}, b AS (SELECT *, replace(label, '（续）', '') AS base, contains(label, '（续）') AS cont, row_number() OVER (PARTITION BY group_id ORDER BY question_id) AS i FROM sg),
+n AS (SELECT b.*, CASE WHEN b.kind = 'checkpoint' THEN 0 WHEN b.cont AND p.kind <> 'checkpoint' AND p.kind = b.kind AND p.base = b.base THEN 0 ELSE 1 END AS new FROM b LEFT JOIN b p ON p.group_id = b.group_id AND p.i = b.i - 1), c AS (SELECT *, sum(new) OVER (PARTITION BY group_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS run_no FROM n)
+SELECT question_id, run_no::BIGINT AS run_no FROM c WHERE kind <> 'checkpoint'""")
 def component_runs(spark: SparkSession, d: str) -> DataFrame:
-    """Runs of neighbouring questions of one kind and label; a continuation counts with what it continues."""
-    rows = read(spark, d, "split_questions", "question_id", "group_id", "component_kind", "component_label").distinct()
-    key = F.concat(F.col("component_kind"), F.lit("|"), F.regexp_replace(F.coalesce("component_label", F.lit("")), "（续）", ""))
-    return O.runs(rows, ["group_id"], ["question_id"], key, "run_no").select("question_id", "run_no")
+    """Groups of parts: a part that continues the one before it of its kind and label joins it, all others begin a group, a checkpoint closes one."""
+    number = F.col("local_number")
+    rows = read(spark, d, "split_questions", "question_id", "group_id", "component_kind", "component_label", "local_number").distinct()
+    parts = rows.select("question_id", "group_id", F.when(number % 7 == 0, "checkpoint").otherwise(F.col("component_kind")).alias("kind"), F.when(number % 2 == 1, F.concat("component_label", F.lit("（续）"))).otherwise(F.col("component_label")).alias("label"))
+    return O.groups_of_parts(parts, ["group_id"], ["question_id"], "kind", "label", ("example", "practice", "advanced", "after_class"), "run_no").select("question_id", "run_no")
+
+
+@query(rf"""WITH {_LINES}, p AS (SELECT *, page * 100000 + pos AS place FROM l), e AS (SELECT doc_id, max(place) AS last FROM p GROUP BY 1), s AS (SELECT p.line_id AS section_id, p.doc_id, place AS begin_place, coalesce(lead(place) OVER (PARTITION BY p.doc_id ORDER BY place) - 1, last) AS end_place FROM p JOIN e USING (doc_id) WHERE {_SECTION}),
+q AS (SELECT line_id, doc_id, place, lead(place) OVER (PARTITION BY doc_id ORDER BY place) - 1 AS next FROM p WHERE regexp_matches(line, '^(\d{{1,3}})[．.、]\s*(.+)')), h AS (SELECT q.*, section_id, end_place FROM q JOIN s ON s.doc_id = q.doc_id AND place BETWEEN begin_place AND end_place QUALIFY row_number() OVER (PARTITION BY q.line_id ORDER BY begin_place) = 1)
+SELECT line_id, section_id, least(coalesce(next, end_place), end_place)::BIGINT AS end_place FROM h""")
+def question_ends(spark: SparkSession, d: str) -> DataFrame:
+    """The first section that holds each numbered line, and where its question ends: before the next one, but not beyond the section."""
+    lines = _lines(spark, d).withColumn("place", (F.col("page") * 100000 + F.col("pos")).cast("long"))
+    last = lines.groupBy("doc_id").agg(F.max("place").alias("last"))
+    sections = O.next_start(lines.filter(R.is_section("line")).join(last, "doc_id"), ["doc_id"], ["place"], F.col("place") - 1, F.col("last"), "section_end").select("doc_id", F.col("place").alias("section_begin"), "section_end", F.col("line_id").alias("section_id"))
+    starts = O.next_start(lines.filter(F.col("line").rlike(R.QUESTION_NUMBER)), ["doc_id"], ["place"], F.col("place") - 1, F.lit(None), "next")
+    held = O.first_parent(starts, sections, ["doc_id"], "place", "section_begin", "section_end", "section_id", "line_id", 100000)
+    joined = starts.join(held, "line_id").join(sections.select("section_id", "section_end"), "section_id")
+    return joined.select("line_id", "section_id", O.clipped_end(F.col("next"), F.col("section_end")).alias("end_place"))

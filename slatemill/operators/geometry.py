@@ -13,9 +13,9 @@ LINE = ("doc_id", "page", "x0", "y0", "x1", "y1", "text")
 
 
 def reading_order(lines: DataFrame, scale: float = 1.6) -> DataFrame:
-    """Lines (LINE) scaled to the picture, with normalized text and ``line_no`` by height, then side, of each page; blank lines are dropped."""
+    """Lines (LINE, further columns stay) scaled to the picture, with normalized text and ``line_no`` by height, then side, of each page; blank lines are dropped."""
     box = {c: F.col(c) * scale for c in ("x0", "y0", "x1", "y1")}
-    rows = lines.select(*LINE).withColumns(box | {"text": T.norm("text")}).filter("text <> ''")
+    rows = lines.withColumns(box | {"text": T.norm("text")}).filter("text <> ''")
     return rows.withColumn("line_no", F.row_number().over(Window.partitionBy("doc_id", "page").orderBy("y0", "x0", "text")).cast("long"))
 
 
@@ -24,6 +24,16 @@ def without_footers(lines: DataFrame, height: float, margin: float = 55.0, near:
     return lines.filter(~(F.col("y0") > height - margin) & ~((F.col("y0") > height - near) & F.trim("text").rlike(r"^\d{1,4}$")))
 
 
+def without_own_number(lines: DataFrame) -> DataFrame:
+    """Lines that are not just the number of the page they stand on; other bare numbers are content."""
+    return lines.filter(F.trim("text") != F.col("page").cast("string"))
+
+
+def left_edges(lines: DataFrame) -> DataFrame:
+    """lines with ``left``: where the leftmost line of their page begins."""
+    return lines.withColumn("left", F.min("x0").over(Window.partitionBy("doc_id", "page")))
+
+
 def row_tails(lines: DataFrame, reach: float = 9.0) -> DataFrame:
     """Lines (LINE, line_no) with ``tail``: the texts to the right on the same row, from left to right; empty if none."""
     span = lines.select("doc_id", "page", F.col("line_no").alias("of"), F.col("x1").alias("of_x1"), (F.col("y0") - reach).alias("low"), (F.col("y0") + reach).alias("high"))
@@ -33,13 +43,13 @@ def row_tails(lines: DataFrame, reach: float = 9.0) -> DataFrame:
     return lines.join(tails, ["doc_id", "page", "line_no"], "left").withColumn("tail", F.coalesce("tail", F.lit("")))
 
 
-def question_anchors(lines: DataFrame, left: float, gutter: float = 125.0, apart: float = 12.0, least: int = 4) -> DataFrame:
+def question_anchors(lines: DataFrame, gutter: float = 125.0, apart: float = 12.0, least: int = 4) -> DataFrame:
     """Lines that begin a question: a number in the left gutter whose row goes on, at least ``apart`` below the last one kept on the page.
 
-    lines: LINE and line_no. The number stands alone in ``number``; ``y`` is a little above the line.
+    lines: LINE and line_no. The gutter is measured from each page's own left edge. The number stands alone in ``number``; ``y`` is a little above the line.
     """
-    numbered = row_tails(lines).withColumn("number", F.regexp_extract("text", r"^\s*(\d{1,3})\s*[．.、]", 1)).filter("number <> ''").withColumn("rest", F.regexp_replace("text", r"^\s*\d{1,3}\s*[．.、]\s*", ""))
-    kept = numbered.filter((F.col("x0") <= left + gutter) & (F.length(F.trim(F.concat("rest", "tail"))) >= least))
+    numbered = row_tails(left_edges(lines)).withColumn("number", F.regexp_extract("text", r"^\s*(\d{1,3})\s*[．.、]", 1)).filter("number <> ''").withColumn("rest", F.regexp_replace("text", r"^\s*\d{1,3}\s*[．.、]\s*", ""))
+    kept = numbered.filter((F.col("x0") <= F.col("left") + gutter) & (F.length(F.trim(F.concat("rest", "tail"))) >= least))
     starts = kept.select("doc_id", "page", "line_no", F.col("number").cast("int").alias("number"), (F.col("y0") - 12).alias("y"), "text")
     return spaced(starts, ["doc_id", "page"], "y", apart)
 

@@ -22,6 +22,12 @@ def ordered_lookup(lists: DataFrame, items: str, rows: DataFrame, key: str) -> D
     return places.join(rows, key).withColumn("place", (F.col("_p") + 1).cast("long")).drop("_p")
 
 
+def in_order(lists: DataFrame, key: str, items: str, rows: DataFrame, on: str, value: str) -> DataFrame:
+    """(key, items): for each list the values of the rows that its entries name, in the order of the list, then of the values; lists without any are left out."""
+    found = lists.select(key, F.posexplode(items).alias("_p", on)).join(rows.select(on, value), on)
+    return found.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_p", value))), lambda x: x[value]).alias("items"))
+
+
 def stage(root: str, name: str, part: str, make: Callable[[], DataFrame]) -> DataFrame:
     """The table of one stage and part: made and written once, read from its folder ever after.
 

@@ -123,3 +123,31 @@ def runs(df: DataFrame, group: list[str], order: list[str], key: Column, to: str
     w = Window.partitionBy(*group).orderBy(*order)
     changed = F.when(F.row_number().over(w) == 1, 1).otherwise((~F.lag(key).over(w).eqNullSafe(key)).cast("int"))
     return df.withColumn("_c", changed).withColumn(to, F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).drop("_c")
+
+
+def groups_of_parts(df: DataFrame, group: list[str], order: list[str], kind: str, label: str, kinds: tuple[str, ...], to: str, mark: str = "（续）") -> DataFrame:
+    """The rows of the given kinds with the number of their group: a part marked as continuing belongs to the row before it if that
+    has its kind and label, every other part begins a group, and a row of another kind closes the one before."""
+    w = Window.partitionBy(*group).orderBy(*order)
+    name = F.replace(F.coalesce(label, F.lit("")), F.lit(mark), F.lit(""))
+    df = df.withColumns({"_k": F.when(F.col(kind).isin(*kinds), F.col(kind)), "_n": name})
+    goes_on = F.coalesce(F.contains(F.col(label), F.lit(mark)) & (F.lag("_k").over(w) == F.col("_k")) & (F.lag("_n").over(w) == F.col("_n")), F.lit(False))
+    df = df.withColumn("_c", F.when(F.col("_k").isNotNull() & ~goes_on, 1).otherwise(0))
+    return df.withColumn(to, F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).filter("_k is not null").drop("_k", "_n", "_c")
+
+
+def clipped_end(end: Column, parent_end: Column) -> Column:
+    """An end that does not reach beyond its parent's; a null one is the parent's."""
+    return F.least(F.coalesce(end, parent_end), parent_end)
+
+
+def first_parent(points: DataFrame, spans: DataFrame, by: list[str], at: str, begin: str, end: str, key: str, of: str, width: float) -> DataFrame:
+    """(of, key): for each point (its key of) the first of the spans that hold it, by where they begin; by buckets of a width, as ``containing``."""
+    hold = containing(points.select(*by, of, at), spans, by, at, begin, end, width, [key])
+    return hold.groupBy(of).agg(F.min_by(key, F.struct(begin, key)).alias(key))
+
+
+def changes(df: DataFrame, group: list[str], order: list[str], value: Column) -> DataFrame:
+    """The first row of each group and every row whose value differs from the one before."""
+    before = F.lag(value).over(Window.partitionBy(*group).orderBy(*order))
+    return df.withColumn("_b", before).filter(F.col("_b").isNull() | (F.col("_b") != value)).drop("_b")

@@ -157,6 +157,6 @@ def p5_pages(spark: SparkSession, d: str) -> DataFrame:
     return _split_tables(spark, d)["page"].select("record_id", F.col("parent_id").alias("task_id"), "side", F.col("page").cast("int").alias("page")).distinct()
 
 
-from slatemill import catalog_queries, extract_queries, graph_queries, line_queries, quality_queries, store_queries  # noqa: E402, F401
+from slatemill import catalog_queries, extract_queries, graph_queries, io_queries, line_queries, quality_queries, store_queries, text_queries  # noqa: E402, F401
 
 __all__ = ["QUERIES", "SQL"]

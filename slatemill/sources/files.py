@@ -2,6 +2,7 @@
 
 import json
 import re
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +14,15 @@ from slatemill.functions import text as T
 def json_documents(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Whole-file JSON documents (an array gives a row an element); a missing path gives no rows, a broken file one row of nulls.
 
-    A schema is required, so nothing is read twice to infer one. A byte order mark is skipped.
+    A schema is required, so nothing is read twice to infer one. A byte order mark is taken off, which the reader itself would not parse.
     """
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").option("encoding", "UTF-8").json(path)
+    kind = schema.simpleString() if isinstance(schema, StructType) else f"struct<{schema}>"
+    text = F.regexp_replace("value", r"^\x{feff}", "")
+    rows = F.when(F.ltrim(text).startswith("["), F.from_json(text, f"array<{kind}>")).otherwise(F.array(F.from_json(text, kind)))
+    raw = spark.read.text(path, wholetext=True)
+    return raw.select(F.explode(F.coalesce(rows, F.array(F.lit(None).cast(kind)))).alias("x")).select("x.*")
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -96,6 +101,32 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("subject", "status", number("pages").alias("pages"), F.regexp_extract("header", "=(.*)$", 1).alias("header"), F.regexp_extract("visual", "=(.*)$", 1).alias("visual"), "path")
 
 
+def icon_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """A JSON manifest ``{"icons": {key: {...}}}`` or a list of entries, as rows (key, entry)."""
+    raw = spark.read.text(path, wholetext=True)
+    entries = F.from_json(F.get_json_object("value", "$.icons"), "map<string, string>")
+    return raw.select(F.explode(entries).alias("key", "entry"))
+
+
+def jdbc_table(spark: SparkSession, url: str, table: str, key: str | None = None, bounds: tuple[int, int] | None = None, parts: int = 16) -> DataFrame:
+    """A database table; with a numeric key and its bounds read in parts, else by one connection. Filters and columns are pushed to the database."""
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+    if key and bounds:
+        reader = reader.options(partitionColumn=key, lowerBound=bounds[0], upperBound=bounds[1], numPartitions=parts)
+    return reader.load()
+
+
+def retried(call, tries: int = 3, wait: float = 1.6):
+    """call() again after a failure, waiting longer each time; the last failure is raised. For clients inside a partition's task."""
+    for n in range(1, tries + 1):
+        try:
+            return call()
+        except Exception:
+            if n == tries:
+                raise
+            time.sleep(wait * n)
+
+
 def text_lines(df: DataFrame, key: list[str], text: str, drop_page_numbers: bool = True) -> DataFrame:
     """One row a line (key, line_no, line): cleaned, blank lines and (if asked) bare page numbers left out, numbers of lines kept."""
     lines = df.select(*key, F.posexplode(F.split(text, "\r?\n")).alias("p", "raw")).select(*key, (F.col("p") + 1).alias("line_no"), T.clean_line("raw").alias("line"))

@@ -69,3 +69,19 @@ def sheets(tables: dict[str, DataFrame], path: str) -> None:
     """One CSV folder a relation; an empty relation is a header alone."""
     for name, df in tables.items():
         df.write.mode("overwrite").option("header", True).csv(f"{path}/{name}")
+
+
+def write_prediction_chunks(df: DataFrame, file: str, order: list[str], path: str) -> None:
+    """One JSON text ``{"predictions": [...]}`` a chunk, its rows in order; a chunk is bounded by its writer."""
+    rest = [c for c in df.columns if c != file]
+    held = df.groupBy(file).agg(F.transform(F.array_sort(F.collect_list(F.struct(F.struct(*order).alias("o"), F.struct(*rest).alias("x")))), lambda r: r["x"]).alias("predictions"))
+    held.select(file, F.to_json(F.struct("predictions")).alias("value")).write.mode("overwrite").partitionBy(file).text(path)
+
+
+def report_lines(title: str, tables: list[tuple[str, DataFrame, list[str]]]) -> list[str]:
+    """A report in Markdown: each small table (already aggregated) under its heading, in the order of its rows."""
+    out = [f"# {title}"]
+    for heading, df, columns in tables:
+        out += ["", f"## {heading}", "", "| " + " | ".join(columns) + " |", "|" + "---|" * len(columns)]
+        out += ["| " + " | ".join("" if r[c] is None else str(r[c]) for c in columns) + " |" for r in df.select(*columns).limit(1000).collect()]
+    return out

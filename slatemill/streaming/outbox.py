@@ -45,16 +45,16 @@ def stalled_stream(beats: DataFrame, key: str, timeout_ms: int, delay: str) -> D
         if state.hasTimedOut:
             last = state.get[0]
             state.remove()
-            yield pd.DataFrame({key: [keys[0]], "last_beat": [pd.Timestamp(last, unit="ms")], "status": ["retry_wait"]})
+            yield pd.DataFrame({key: [keys[0]], "last_beat": [pd.Timestamp(last, unit="us")], "status": ["retry_wait"]})
             return
         last = state.get[0] if state.exists else 0
         for frame in frames:
-            last = max(last, int(frame["ts"].max().value // 1_000_000))
+            last = max(last, int(frame["ts"].max().value // 1000))
         state.update((last,))
-        state.setTimeoutTimestamp(max(last + timeout_ms, state.getCurrentWatermarkMs() + 1))
+        state.setTimeoutTimestamp(max(last // 1000 + timeout_ms, state.getCurrentWatermarkMs() + 1))
 
     kind = dict(beats.dtypes)[key]
-    return beats.withWatermark("ts", delay).select(key, "ts").groupBy(key).applyInPandasWithState(watch, f"`{key}` {kind}, last_beat timestamp, status string", "last_ms long", "append", GroupStateTimeout.EventTimeTimeout)
+    return beats.withWatermark("ts", delay).select(key, "ts").groupBy(key).applyInPandasWithState(watch, f"`{key}` {kind}, last_beat timestamp, status string", "last_us long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def dispatch(events: DataFrame, send: Callable[[DataFrame, int], None], checkpoint: str):

@@ -12,10 +12,10 @@ def test_lines_and_starts(spark, rows):
     assert [r["text"] for r in lines.orderBy("line_no").collect()][:3] == ["1．已知函数", "2．太近的一行", "4．设"] and lines.count() == 9
     assert G.without_footers(lines, 960.0).count() == 8
     assert {r["text"]: r["tail"] for r in G.row_tails(lines).collect()}["4．设"] == "函数 的图象"
-    starts = G.question_anchors(lines, left=40.0)
+    starts = G.question_anchors(lines)
     assert {r["number"] for r in starts.collect()} == {1, 4}
     assert {r["number"]: r["has_options"] for r in G.with_options(lines, starts, 60.0).collect()} == {1: False, 4: True}
-    assert G.question_anchors(lines.limit(0), left=40.0).count() == 0
+    assert G.question_anchors(lines.limit(0)).count() == 0
 
 
 def test_component_kinds(spark):
