@@ -23,11 +23,12 @@ def water_fill(weights: list[float], caps: list[float], total: float) -> list[fl
     open_ = [k for k, (w, c) in enumerate(zip(weights, caps)) if w and w > 0 and c > 0]
     left = total
     while open_:
-        share = left / sum(weights[k] for k in open_)
-        full = [k for k in open_ if weights[k] * share >= caps[k]]
+        whole = sum(weights[k] for k in open_)
+        share = {k: left * (weights[k] / whole) for k in open_}  # by proportions, which hold for the smallest weights as well
+        full = [k for k in open_ if share[k] >= caps[k]]
         if not full:
             for k in open_:
-                amount[k] = weights[k] * share
+                amount[k] = share[k]
             break
         for k in full:
             amount[k] = float(caps[k])
@@ -58,14 +59,15 @@ def place(seed: int, *key: Column) -> Column:
     return F.xxhash64(F.lit(seed), *key).bitwiseAND(F.lit((1 << 32) - 1))
 
 
-def mix(docs: DataFrame, targets: DataFrame, total: int | None = None, seed: int = 17, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, targets: DataFrame, total: int | None = None, seed: int = 17, path: str | None = None, size: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(records, report) of documents (doc_id, source, text) mixed to targets (source, target_share, max_repeat).
 
-    total: tokens wanted, by default as many as the listed sources hold. records: (doc_id, source, n_tokens, n_repeat), one
+    total: tokens wanted, by default as many as the listed sources hold. size: a column of docs that holds the sizes, instead of
+    tokens of the text; null counts 0. records: (doc_id, source, n_tokens, n_repeat), one
     row for each record used at least once. Each is used the whole number of times that its source's amount fits in; for the
     rest the records of the least places are used once more, up to the one that would pass the amount, so a source is
     short of it by less than one record. No record is used more than max_repeat times. report: one row a listed source,
-    with target and actual share (of all chosen tokens). Unlisted and null sources are not used; a listed source without
+    with target and actual share (of all chosen tokens) and planned_tokens, the amount it was filled to. Unlisted and null sources are not used; a listed source without
     documents gets nothing and its weight goes to the others. Repeated rows of one doc_id count once; of a source listed
     twice the row with the largest share counts. An empty table gives no records.
     """
@@ -75,7 +77,9 @@ def mix(docs: DataFrame, targets: DataFrame, total: int | None = None, seed: int
         raise ValueError(f"more than {MAX_SOURCES} sources are listed")
     spark = docs.sparkSession
     names = F.broadcast(spark.createDataFrame([(r["source"],) for r in plan], "source string"))
-    sized = cut(token_sizes(docs.select("doc_id", "source", "text").filter("doc_id is not null").join(names, "source", "left_semi"), path).groupBy("doc_id", "source").agg(F.max("n_tokens").alias("n_tokens")))
+    used = docs.filter("doc_id is not null").join(names, "source", "left_semi")
+    sizes_of = token_sizes(used.select("doc_id", "source", "text"), path) if size is None else used.select("doc_id", "source", F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("n_tokens"))
+    sized = cut(sizes_of.groupBy("doc_id", "source").agg(F.max("n_tokens").alias("n_tokens")))
     bins = sized.groupBy("source", F.shiftright(place(seed, F.col("doc_id")), 20).alias("bin")).agg(F.sum("n_tokens").alias("t"))
     bins = cut(bins)
     held = {r["source"]: r["t"] for r in bins.groupBy("source").agg(F.sum("t").alias("t")).collect()}
@@ -96,6 +100,6 @@ def mix(docs: DataFrame, targets: DataFrame, total: int | None = None, seed: int
     last = placed.filter("bin = edge").withColumn("upto", F.col("before") + F.sum("n_tokens").over(run)).select("doc_id", "source", "n_tokens", F.col("whole") + F.when(F.col("upto") <= F.col("part"), 1).otherwise(0))
     records = inside.union(beyond).union(last).toDF("doc_id", "source", "n_tokens", "n_repeat").filter("n_repeat > 0")
     used = records.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("n_repeat")).alias("chosen_tokens"), F.sum("n_repeat").alias("n_uses"), F.max("n_repeat").alias("most_repeats"))
-    chosen = quota.select("source", "target_share", "max_repeat", "available_tokens").join(used, "source", "left").fillna(0, ["chosen_tokens", "n_uses", "most_repeats"])
+    chosen = quota.select("source", "target_share", "max_repeat", "available_tokens", F.col("amount").alias("planned_tokens")).join(used, "source", "left").fillna(0, ["chosen_tokens", "n_uses", "most_repeats"])
     report = chosen.withColumn("actual_share", F.col("chosen_tokens") / F.nullif(F.sum("chosen_tokens").over(Window.partitionBy(F.lit(1))), F.lit(0)))
     return records, report

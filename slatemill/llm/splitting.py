@@ -93,9 +93,15 @@ def split(model: tokenizer.Pieces, text: str, strength: np.ndarray, safe: np.nda
                 end = max(high, begin + 1)
                 while end > begin + 1 and model.count(text[begin:end]) > limit:
                     end = max(begin + 1, end - max(1, (end - begin) // 50))
-                pieces.append((begin, end, model.count(text[begin:end])))
+                size = model.count(text[begin:end])
             else:
-                pieces.append((begin, end, int(upto[end]) - used))
+                size = int(upto[end]) - used
+            if pieces and end <= pieces[-1][1]:
+                begin = pieces[-1][1]  # the overlap fills the whole room: go on without it
+                continue
+            pieces.append((begin, end, size))
+            if end >= n:
+                break
             back = int(np.searchsorted(upto, upto[end] - overlap, "left")) if overlap else end
             if upto[back] > upto[end] - overlap:
                 back -= 1  # a character of several tokens stays whole
@@ -111,14 +117,17 @@ def split_documents(docs: DataFrame, settings: DataFrame, path: str | None = Non
     as if it stood alone, and ends at the strongest boundary (paragraph, line, sentence, clause, word) in the
     second half of the room, the last of equals. The next begins overlap_tokens tokens before that end (a little more where a
     character has several tokens). begin and end are character positions, so the text is text[0:end_1] + text[end_1:end_2] + ...
-    Null texts and texts within the limit give no pieces, nor do settings with null or a limit below 8; an overlap of the
-    limit's half or more is cut to what leaves progress. A single character of more tokens than the limit stays whole.
+    Null texts and texts within the limit give no pieces, nor do settings with a null id or limit or a limit below 1; a null or
+    negative overlap is none, and one that is not below its limit is an error, as no piece could go on. A single character of
+    more tokens than the limit stays whole. Where the overlap would fill a piece's whole room, that piece repeats nothing.
     """
     path = path or tokenizer.default_path()
     rows = settings.select("setting_id", "max_tokens", "overlap_tokens").distinct().limit(MAX_SETTINGS + 1).collect()
     if len(rows) > MAX_SETTINGS:
         raise ValueError(f"more than {MAX_SETTINGS} settings")
-    wanted = sorted((r["setting_id"], r["max_tokens"], min(max(0, r["overlap_tokens"] or 0), r["max_tokens"] // 2 - 1)) for r in rows if r["setting_id"] is not None and (r["max_tokens"] or 0) >= 8)
+    wanted = sorted((r["setting_id"], r["max_tokens"], max(0, r["overlap_tokens"] or 0)) for r in rows if r["setting_id"] is not None and (r["max_tokens"] or 0) >= 1)
+    if bad := [s for s, m, o in wanted if o >= m]:
+        raise ValueError(f"overlap not below the limit: {bad[:5]}")
     limits = [(m, o) for _, m, o in wanted]
     least = min([m for m, _ in limits], default=0)
 

@@ -9,9 +9,11 @@ DEFAULT = "piece_bpe_32k.model"
 
 
 def default_path() -> str:
-    """Path of the default vocabulary in the installed collection of public tokenizers."""
-    import public_tokenizers
-
+    """Path of the default vocabulary in the installed collection of public tokenizers, a module of the environment; without it a path must be given."""
+    try:
+        import public_tokenizers
+    except ImportError as e:
+        raise RuntimeError("no collection of public tokenizers is installed: give the path of a vocabulary file") from e
     return public_tokenizers.path(DEFAULT)
 
 

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from slatemill.llm import mixing as M
 from slatemill.llm import splitting as S
@@ -35,6 +36,8 @@ def test_mix(spark):
     want = dict(zip("abc", M.water_fill([0.5, 0.3, 0.1], [by[s]["available_tokens"] * m for s, m in zip("abc", (2, 1, 5))], sum(by[s]["available_tokens"] for s in "abc"))))
     assert all(want[s] - 40 <= sizes[s] <= want[s] for s in "abc")
     assert sorted(map(tuple, M.mix(df.repartition(7), targets)[0].collect())) == sorted(map(tuple, rows))
+    by_size, _ = M.mix(df.withColumn("size", F.lit(10)), targets, size="size")
+    assert {r["n_tokens"] for r in by_size.collect()} == {10}
     records, report = M.mix(df.limit(0), targets)
     assert records.count() == 0 and {r["chosen_tokens"] for r in report.collect()} == {0}
 
@@ -58,14 +61,14 @@ def cut(text, limits):
 
 
 @settings(max_examples=80, deadline=None)
-@given(st.lists(st.sampled_from(["已知函数", "。", "\n\n", "\n", "Word ", "word, ", "3.5", "．", "a" * 30, "　", "é", "😀", "数据获取一个", "x²", "; "]), min_size=1, max_size=150), st.sampled_from([(16, 0), (16, 4), (40, 12), (64, 31)]))
+@given(st.lists(st.sampled_from(["已知函数", "。", "\n\n", "\n", "Word ", "word, ", "3.5", "．", "a" * 30, "　", "é", "😀", "数据获取一个", "x²", "; "]), min_size=1, max_size=150), st.sampled_from([(1, 0), (2, 1), (3, 0), (7, 6), (16, 0), (16, 4), (16, 15), (40, 12), (64, 31)]))
 def test_pieces_fit_and_join(parts, setting):
     text = "".join(parts)
     model, (found,) = cut(text, [setting])
     assert joined(found, text)
     for (b, e, n), after in zip(found, [*found[1:], None]):
         assert n == model.count(text[b:e]) and (n <= setting[0] or e - b == 1)
-        if after and setting[1]:
+        if after and setting[1] and setting[0] >= 16:
             assert after[0] < e
 
 
@@ -80,12 +83,14 @@ def test_natural_boundaries():
 def test_frame(spark):
     text = "很长的文字。" * 400
     docs = spark.createDataFrame([(1, text), (2, "短"), (3, None), (4, ""), (5, "字" * 30_000), (6, "a" * 5000)], "doc_id long, text string").selectExpr("*", "'x' piece", "1 setting_id")
-    settings_ = spark.createDataFrame([("s", 128, 16), ("t", 256, 0), ("bad", None, 3), (None, 64, 0), ("tiny", 2, 0), ("wide", 32, 900)], "setting_id string, max_tokens int, overlap_tokens int")
+    settings_ = spark.createDataFrame([("s", 128, 16), ("t", 256, 0), ("bad", None, 3), (None, 64, 0), ("tiny", 2, 0), ("wide", 32, 30), ("none", 0, 0), ("back", 64, -3)], "setting_id string, max_tokens int, overlap_tokens int")
     got = S.split_documents(docs, settings_).collect()
-    assert {r["setting_id"] for r in got} == {"s", "t", "wide"} and {r["doc_id"] for r in got} == {1, 5, 6}
-    limit, model = {"s": 128, "t": 256, "wide": 32}, tokenizer.pieces(PATH)
+    assert {r["setting_id"] for r in got} == {"s", "t", "wide", "tiny", "back"} and {r["doc_id"] for r in got if r["setting_id"] == "s"} == {1, 5, 6}
+    limit, model = {"s": 128, "t": 256, "wide": 32, "tiny": 2, "back": 64}, tokenizer.pieces(PATH)
     assert all(r["n_tokens"] == model.count(r["piece"]) <= limit[r["setting_id"]] for r in got)
     for s in limit:
         mine = sorted((r["piece_no"], r["begin"], r["end"], r["piece"]) for r in got if r["setting_id"] == s and r["doc_id"] == 1)
         assert [m[0] for m in mine] == list(range(1, len(mine) + 1)) and joined([m[1:4] for m in mine], text) and all(text[b:e] == p for _, b, e, p in mine)
+    with pytest.raises(ValueError):
+        S.split_documents(docs, spark.createDataFrame([("wide", 32, 32)], "setting_id string, max_tokens int, overlap_tokens int"))
     assert S.split_documents(docs.limit(0), settings_).count() == 0 and S.split_documents(docs, settings_.limit(0)).count() == 0
