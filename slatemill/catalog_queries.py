@@ -7,7 +7,7 @@ from slatemill.functions import rules as R
 from slatemill.functions import text as T
 from slatemill.operators import evaluation as E
 from slatemill.operators import gold as G
-from slatemill.operators.ordered import nth, numbered
+from slatemill.operators.ordered import nth, numbered, page_lines
 from slatemill.registry import query
 from slatemill.sources.tables import read
 
@@ -27,8 +27,8 @@ _RATES = "count(*) AS n_questions, count(*) FILTER (WHERE predicted) AS n_predic
 
 
 def _coverage(spark: SparkSession, d: str) -> DataFrame:
-    """Coverage rows, redelivered ones once."""
-    return read(spark, d, "coverage_set_review").distinct()
+    """Coverage rows, redelivered ones once: by the key, so that only columns in use are shuffled."""
+    return read(spark, d, "coverage_set_review").dropDuplicates(["test_question_id"])
 
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
@@ -254,7 +254,7 @@ _POINTS = "kp AS (SELECT knowledge_id, level_2_module, level_3_min_knowledge_poi
 
 
 def _pages(spark: SparkSession, d: str) -> DataFrame:
-    lines = read(spark, d, "ocr_lines", "doc_id", "page", "pos", "text").distinct()
+    lines = page_lines(read(spark, d, "ocr_lines", "doc_id", "page", "pos", "text"))
     return lines.groupBy("doc_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), "\n").alias("body"))
 
 
@@ -297,9 +297,9 @@ SELECT knowledge_id, page::INT AS page, score::BIGINT AS score, method, CASE WHE
 def replenished_page(spark: SparkSession, d: str) -> DataFrame:
     """The page from which a missing question is taken, how it was found, and whether that may be trusted."""
     pairs = _points(spark, d).join(_pages(spark, d).filter("page > 1"), "doc_id")
-    scored = pairs.select("knowledge_id", "page", "body", G.heading_score(F.col("body"), F.col("point"), F.col("level_2_module")).alias("score"))
-    best = G.best_of(scored, ["knowledge_id"], F.col("score"), [F.col("page")])
-    return best.withColumn("method", G.page_method(F.col("score"))).select("knowledge_id", "page", "score", "method", G.replenish_status(F.col("method"), F.col("body")).alias("status"))
+    scored = pairs.select("knowledge_id", "page", (R.question_signal("body") & (F.col("body") != "")).alias("signal"), G.heading_score(F.col("body"), F.col("point"), F.col("level_2_module")).alias("score"))
+    best = G.best_of(scored, ["knowledge_id"], F.col("score"), [F.col("page")])  # no text goes into the aggregation
+    return best.withColumn("method", G.page_method(F.col("score"))).select("knowledge_id", "page", "score", "method", G.replenish_status(F.col("method"), F.col("signal")).alias("status"))
 
 
 @query("""WITH m AS (SELECT lesson_id, level_2_module AS module, level_3_min_knowledge_point AS point, min(knowledge_id) AS k FROM knowledge_points GROUP BY ALL), s AS (SELECT lesson_id, module, min(k) AS k FROM m GROUP BY ALL)

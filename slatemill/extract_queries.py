@@ -8,6 +8,7 @@ from slatemill.functions import rules as R
 from slatemill.functions import text as T
 from slatemill.operators import extract as X
 from slatemill.operators import gold as G
+from slatemill.operators.ordered import page_lines
 from slatemill.registry import query
 from slatemill.sources.tables import read
 
@@ -21,7 +22,7 @@ def _document_lines(spark: SparkSession, d: str) -> DataFrame:
 
 def _page_arrays(spark: SparkSession, d: str) -> DataFrame:
     """The lines of each page in order; a page is bounded, a document is not."""
-    lines = read(spark, d, "ocr_lines", "doc_id", "page", "pos", "text").distinct()
+    lines = page_lines(read(spark, d, "ocr_lines", "doc_id", "page", "pos", "text"))
     return lines.groupBy("doc_id", "page").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]).alias("lines"))
 
 

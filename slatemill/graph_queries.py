@@ -206,6 +206,36 @@ def settled_patches(spark: SparkSession, d: str) -> DataFrame:
     return H.settle_patches(patches, decisions).select("patch_id", "status")
 
 
+@query(f"""WITH {_LESSONS}, {_LOG}, j(p, t, w) AS (VALUES (1, 'source_tree_rerun', NULL), (2, 'task_extract_rerun', 'source_tree_rerun'), (3, 'quality_gate_rerun', 'task_extract_rerun'))
+SELECT new_id AS lesson_revision_id, 'job' AS record_kind, new_id || ':' || t AS record_id, new_id || ':' || w AS depends_on, 'succeeded' AS status FROM nx, j UNION ALL SELECT new_id, 'artifact', new_id || ':' || a, new_id || ':' || b, 'valid' FROM nx, (VALUES ('source_tree_snapshot', NULL), ('task_bundle', 'source_tree_snapshot'), ('reviewed_publishable_bundle', 'task_bundle')) AS x(a, b)
+UNION ALL SELECT new_id, 'review', new_id || ':review', NULL, 'pending' FROM nx UNION ALL SELECT new_id, 'quality', new_id || ':Q4_manual_review_required', new_id || ':reviewed_publishable_bundle', 'failed' FROM nx""")
+def rerun_records(spark: SparkSession, d: str) -> DataFrame:
+    """The jobs, artifacts, review and quality row that come with every rerun, each with what it depends on."""
+    return H.rerun_records(_reruns(spark, d))
+
+
+@query(f"""WITH a AS ({SQL["question_audit"]}), b AS (SELECT * FROM a WHERE audit_status <> 'PASS_BY_VISUAL_GATE'), q AS (SELECT DISTINCT question_id, component_kind FROM split_questions) SELECT q.question_id, coalesce(audit_status, 'PASS_BY_VISUAL_GATE') AS audit_status, coalesce(issues, '') AS issues, CASE WHEN audit_status = 'NEEDS_MODEL_OR_HUMAN_REVIEW' THEN '高' WHEN component_kind = 'advanced' THEN '中' ELSE '低' END AS risk FROM q LEFT JOIN b USING (question_id)""")
+def question_risks(spark: SparkSession, d: str) -> DataFrame:
+    """Questions with their audit; one that has none has passed."""
+    audits = _audited(spark, d).filter("audit_status <> 'PASS_BY_VISUAL_GATE'").select("question_id", "audit_status", "issues")
+    rows = read(spark, d, "split_questions", "question_id", "component_kind").distinct().join(audits, "question_id", "left")
+    return rows.select("question_id", F.coalesce("audit_status", F.lit("PASS_BY_VISUAL_GATE")).alias("audit_status"), F.coalesce("issues", F.lit("")).alias("issues"), R.review_risk("audit_status", "component_kind").alias("risk"))
+
+
+@query(r"""WITH t AS (SELECT DISTINCT regexp_extract(task_id, '^(.*?):task:', 1) AS lesson_id, regexp_extract(task_id, '[^:]*$') AS k, task_id FROM task), s AS (SELECT DISTINCT lesson_id, local_task_id AS k, task_projection_id FROM task_projection WHERE local_task_id IS NOT NULL AND lesson_id IS NOT NULL), o AS (SELECT coalesce(t.lesson_id, s.lesson_id) AS lesson_id, coalesce(t.k, s.k) AS k, task_id, task_projection_id FROM t FULL OUTER JOIN s ON s.lesson_id = t.lesson_id AND s.k = t.k)
+SELECT lesson_id, k AS task_key, task_id, task_projection_id, CASE WHEN task_id IS NULL THEN 'only_student' WHEN task_projection_id IS NULL THEN 'only_teacher' ELSE 'aligned' END AS alignment, row_number() OVER (PARTITION BY lesson_id ORDER BY regexp_extract(k, '^s(\d+)_q(\d+)$', 1)::INT, regexp_extract(k, '^s(\d+)_q(\d+)$', 2)::INT, task_id, task_projection_id) AS place FROM o""")
+def paired_tasks(spark: SparkSession, d: str) -> DataFrame:
+    """Teacher's and student's tasks of each lesson aligned by section and question, in the order of both as numbers."""
+    from slatemill.operators.ordered import nth
+
+    teacher = read(spark, d, "task", "task_id").distinct().select(F.regexp_extract("task_id", "^(.*?):task:", 1).alias("lesson_id"), F.regexp_extract("task_id", "[^:]*$", 0).alias("task_key"), "task_id")
+    student = read(spark, d, "task_projection", "lesson_id", F.col("local_task_id").alias("task_key"), "task_projection_id").filter("task_key is not null and lesson_id is not null").distinct()
+    part = lambda k: F.regexp_extract("task_key", r"^s(\d+)_q(\d+)$", k).cast("int")
+    both = teacher.join(student, ["lesson_id", "task_key"], "full_outer").withColumns({"s": part(1), "q": part(2)})
+    side = F.when(F.col("task_id").isNull(), "only_student").when(F.col("task_projection_id").isNull(), "only_teacher").otherwise("aligned")
+    return nth(both.withColumn("alignment", side), ["lesson_id"], ["s", "q", F.asc_nulls_last("task_id"), F.asc_nulls_last("task_projection_id")], "place").select("lesson_id", "task_key", "task_id", "task_projection_id", "alignment", "place")
+
+
 # ---------------------------------------------------------------- details
 
 _JOB = "jb AS (SELECT DISTINCT l_orderkey AS run_id, l_orderkey * 10 + l_linenumber AS job_id FROM lineitem), ar AS (SELECT DISTINCT l_partkey * 1000000 + l_suppkey AS artifact_id, CASE WHEN l_returnflag = 'R' THEN l_orderkey END AS run_id, CASE WHEN l_linestatus = 'F' THEN l_orderkey * 10 + l_linenumber END AS job_id FROM lineitem)"

@@ -18,7 +18,7 @@ _LINES = rf"l AS (SELECT DISTINCT doc_id, page, pos, line_id, regexp_replace(reg
 
 
 def _lines(spark: SparkSession, d: str) -> DataFrame:
-    rows = read(spark, d, "ocr_lines", "doc_id", "page", "pos", "line_id", "text").distinct()
+    rows = O.page_lines(read(spark, d, "ocr_lines", "doc_id", "page", "pos", "line_id", "text"))
     return rows.select("doc_id", "page", "pos", "line_id", T.clean_line("text").alias("line"))
 
 
@@ -63,7 +63,7 @@ def gap_dedupe(spark: SparkSession, d: str) -> DataFrame:
 
     gap = datetime.timedelta(hours=12)
     events = read(spark, d, "events", "event_id", "user_id", "ts")
-    return O.fold(events, ["user_id"], ["ts", "event_id"], lambda: None, lambda last, r: (r["ts"], True) if last is None or r["ts"] - last >= gap else (last, False)).select("event_id", "user_id")
+    return O.fold(events, ["user_id"], ["ts", "event_id"], lambda: None, lambda last, r: (r["ts"], True) if last is None or r["ts"] - last >= gap else (last, False), ["ts"]).select("event_id", "user_id")
 
 
 @query("""WITH r AS (SELECT o_custkey, o_orderdate, max(o_orderkey) AS k FROM orders GROUP BY ALL) SELECT event_id, r.k AS o_orderkey FROM (SELECT *, ts - INTERVAL 9500 DAY AS t FROM events) e ASOF LEFT JOIN r ON e.user_id = r.o_custkey AND e.t >= r.o_orderdate""")
@@ -123,7 +123,7 @@ SELECT task_id, array_to_string(list_sort(list_filter([CASE WHEN regexp_matches(
 array_to_string(list_sort(list_filter([CASE WHEN regexp_matches(b, '[\x{{e000}}-\x{{f8ff}}]|√|≤|≥|[a-zA-Z]\s*[²³]') THEN 'formula_normalization' END, CASE WHEN regexp_matches(b, '如图|图中|作图|几何|三角形|圆') THEN 'visual_asset_required' END, CASE WHEN regexp_matches(b, '求证|证明') THEN 'proof_item' END, CASE WHEN regexp_matches(b, '【答案】|【解析】|【详解】') THEN 'answer_layer' END], lambda y: y IS NOT NULL)), ',') AS pair_flags,
 CASE WHEN {_SQL_NORM.format("answer")} <> '' THEN 'explicit_answer' WHEN {_SQL_NORM.format("explanation")} <> '' THEN 'solution_only' ELSE 'missing_or_unrecognized' END AS answer_status FROM x""")
 def task_flags(spark: SparkSession, d: str) -> DataFrame:
-    rows = read(spark, d, "task", "task_id", "stem", "answer", "explanation").distinct().withColumn("b", F.concat_ws("\n", "stem", "answer", "explanation"))
+    rows = read(spark, d, "task", "task_id", "stem", "answer", "explanation").dropDuplicates(["task_id"]).withColumn("b", F.concat_ws("\n", "stem", "answer", "explanation"))
     return rows.select("task_id", F.array_join(R.risk_flags("b"), ",").alias("flags"), F.array_join(R.pair_risk_flags("b"), ",").alias("pair_flags"), R.answer_status("answer", "explanation").alias("answer_status"))
 
 

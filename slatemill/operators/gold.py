@@ -91,9 +91,9 @@ def heading_score(text: Column, target: Column, module: Column) -> Column:
     return (score - F.when(text.rlike("课程目标|知识导航") | F.substring(text, 1, 260).contains("知识导入"), 80).otherwise(0)).cast("long")
 
 
-def replenish_status(method: Column, text: Column) -> Column:
-    signal = R.question_signal(text) & (F.coalesce(text, F.lit("")) != "")
-    return F.when(~signal, "REPLENISHED_REVIEW_REQUIRED").when(method == "exact_min_point_page", "REPLENISHED_GOLD").when(method == "module_or_nearby_page", "REPLENISHED_WITH_REVIEW").otherwise("REPLENISHED_REVIEW_REQUIRED")
+def replenish_status(method: Column, signal: Column) -> Column:
+    """Whether a question taken from a page may be trusted, by how the page was found; one without a question's signal never."""
+    return F.when(~F.coalesce(signal, F.lit(False)), "REPLENISHED_REVIEW_REQUIRED").when(method == "exact_min_point_page", "REPLENISHED_GOLD").when(method == "module_or_nearby_page", "REPLENISHED_WITH_REVIEW").otherwise("REPLENISHED_REVIEW_REQUIRED")
 
 
 def page_method(score: Column) -> Column:

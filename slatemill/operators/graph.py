@@ -137,6 +137,16 @@ def cloned_tasks(tasks: DataFrame, reruns: DataFrame) -> DataFrame:
     return tasks.join(reruns, F.col("revision_id") == F.col("old_revision_id")).select(F.concat("task_id", number).alias("task_revision_id"), "task_id", F.col("new_revision_id").alias("lesson_revision_id"), F.concat("node_id", number).alias("node_revision_id"), F.lit("reviewing").alias("status"))
 
 
+def rerun_records(reruns: DataFrame) -> DataFrame:
+    """(lesson_revision_id, record_kind, record_id, depends_on, status) of the jobs, artifacts, review and quality row of each rerun."""
+    chain = lambda names: list(zip(names, (None, *names)))
+    rows = [("job", a, b, "succeeded") for a, b in chain(("source_tree_rerun", "task_extract_rerun", "quality_gate_rerun"))] + [("artifact", a, b, "valid") for a, b in chain(DERIVED)]
+    rows += [("review", "review", None, "pending"), ("quality", "Q4_manual_review_required", "reviewed_publishable_bundle", "failed")]
+    made = _listed(reruns.select("new_revision_id"), [F.struct(F.lit(k).alias("record_kind"), F.lit(a).alias("a"), F.lit(b).cast("string").alias("b"), F.lit(s).alias("status")) for k, a, b, s in rows])
+    name = lambda c: F.concat("new_revision_id", F.lit(":"), F.col(c))
+    return made.select(F.col("new_revision_id").alias("lesson_revision_id"), "record_kind", name("a").alias("record_id"), name("b").alias("depends_on"), "status")
+
+
 def move_active(lessons: DataFrame, reruns: DataFrame) -> DataFrame:
     """lessons with the active pointer on the new revision and in review where there is one; the published pointer stays."""
     joined = lessons.join(reruns.select("lesson_id", "new_revision_id"), "lesson_id", "left")

@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 from slatemill.plans.cut import cut
 
 
+def page_lines(lines: DataFrame) -> DataFrame:
+    """lines (doc_id, page, pos, ...) with redelivered ones once, brought together page by page, which serves both the comparison and what follows by page."""
+    return lines.repartition("doc_id", "page").dropDuplicates(["doc_id", "page", "pos"])
+
+
 def forward_fill(df: DataFrame, group: list[str], part: str, order: list[str], value: Column, to: str) -> DataFrame:
     """df with the last value that is not null up to each row of its group, in the order of part, then of order.
 
@@ -85,18 +90,19 @@ def containing(points: DataFrame, spans: DataFrame, by: list[str], at: str, begi
     return points.withColumn("_b", bucket(at)).join(spread, [*by, "_b"]).filter(F.col(at).between(F.col(begin), F.col(end))).drop("_b")
 
 
-def fold(df: DataFrame, group: list[str], order: list[str], state: Callable[[], object], step: Callable[[object, dict], tuple[object, bool]]) -> DataFrame:
+def fold(df: DataFrame, group: list[str], order: list[str], state: Callable[[], object], step: Callable[[object, dict], tuple[object, bool]], needs: list[str] | None = None) -> DataFrame:
     """The rows of df that a fold keeps: step(state, row) gives the new state and whether the row is kept.
 
-    Groups are hashed and sorted, and each task streams through its groups with one state at a time, so a group of any size
+    needs: the columns that step looks at besides the group; only these leave the Arrow batch (all, if not given). Groups are hashed and sorted, and each task streams through its groups with one state at a time, so a group of any size
     takes constant memory. Null group keys make a group of their own.
     """
     names = df.columns
+    seen = names if needs is None else [*dict.fromkeys([*group, *needs])]
 
     def scan(batches):
         now, kept_state = None, state()
         for batch in batches:
-            rows, keep = batch.to_pylist(), []
+            rows, keep = batch.select(seen).to_pylist(), []
             for row in rows:
                 key = tuple(row[g] for g in group)
                 if key != now:
@@ -110,12 +116,12 @@ def fold(df: DataFrame, group: list[str], order: list[str], state: Callable[[],
 
 def spaced(df: DataFrame, group: list[str], at: str, gap) -> DataFrame:
     """Rows at least gap after the last row kept (not after the last row), the first of each group always; null places are dropped."""
-    return fold(df.filter(F.col(at).isNotNull()), group, [at], lambda: None, lambda last, row: (row[at], True) if last is None or row[at] - last >= gap else (last, False))
+    return fold(df.filter(F.col(at).isNotNull()), group, [at], lambda: None, lambda last, row: (row[at], True) if last is None or row[at] - last >= gap else (last, False), [at])
 
 
 def counting(df: DataFrame, group: list[str], order: list[str], number: str) -> DataFrame:
     """Rows whose number goes on from the last one accepted: 1 first, then always one more; other rows are passed over."""
-    return fold(df.filter(F.col(number).isNotNull()), group, order, lambda: 0, lambda last, row: (row[number], True) if row[number] == last + 1 else (last, False))
+    return fold(df.filter(F.col(number).isNotNull()), group, order, lambda: 0, lambda last, row: (row[number], True) if row[number] == last + 1 else (last, False), [number])
 
 
 def runs(df: DataFrame, group: list[str], order: list[str], key: Column, to: str) -> DataFrame:

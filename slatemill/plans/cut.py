@@ -4,14 +4,21 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Tables made in the scopes that are open, innermost last.
+_scopes: list[list[str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; only where that is unset (tests on one machine) a temporary folder of our own."""
+    """The folder of spark.checkpoint.dir. Only a session on one machine (tests) may leave it unset and gets a temporary folder of its own."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("slatemill.shared.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         found = "file://" + tempfile.mkdtemp(prefix="slatemill-")
         spark.conf.set("slatemill.shared.dir", found)
         atexit.register(shutil.rmtree, found[len("file://") :], True)
@@ -30,9 +37,23 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A scope whose tables are removed at its end: results must be written or collected inside it. A long session opens one for each query."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            _remove(spark, path)
+
+
 def remove_at_exit(spark: SparkSession, path: str) -> None:
-    """Results are lazy, so what they read stays until the driver ends."""
-    atexit.register(_remove, spark, path)
+    """Results are lazy, so what they read stays until the scope or, without one, the driver ends."""
+    if _scopes:
+        _scopes[-1].append(path)
+    else:
+        atexit.register(_remove, spark, path)
 
 
 def _remove(spark: SparkSession, path: str) -> None:

@@ -1,5 +1,6 @@
 """Sending this package to the Python workers of a session."""
 
+import atexit
 import io
 import uuid
 from pathlib import Path
@@ -7,7 +8,7 @@ from zipfile import ZipFile
 
 from pyspark.sql import SparkSession
 
-from slatemill.plans.cut import remove_at_exit, shared_dir
+from slatemill.plans.cut import _remove, shared_dir
 
 _shipped: set[str] = set()
 
@@ -27,5 +28,5 @@ def ship(spark: SparkSession) -> None:
     out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
     out.write(bytearray(packed.getvalue()))
     out.close()
-    remove_at_exit(spark, folder)
+    atexit.register(_remove, spark, folder)  # for the whole session, whatever scope is open
     spark.sparkContext.addPyFile(f"{folder}/slatemill_code.zip")

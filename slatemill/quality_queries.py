@@ -12,13 +12,13 @@ _REQUIRED = {"doc_pair": ("subject", "stage", "grade", "season", "teacher_path",
 
 
 @query(r"""WITH t AS (SELECT DISTINCT task_id, regexp_extract(task_id, '^(.*?):task:', 1) AS lesson_id, answer, explanation, confidence, risk_flags, page_start, page_end FROM task), f AS (SELECT lesson_id, array_to_string(list_sort(list(DISTINCT r)), ',') AS risks FROM (SELECT lesson_id, unnest(risk_flags) AS r FROM t) WHERE r IS NOT NULL GROUP BY 1)
-SELECT t.lesson_id, count(*) AS n_tasks, count(*) FILTER (WHERE trim(regexp_replace(coalesce(answer, ''), '[\s\x{3000}\x{a0}]+', ' ', 'g')) <> '') AS n_answered, count(*) FILTER (WHERE trim(regexp_replace(coalesce(explanation, ''), '[\s\x{3000}\x{a0}]+', ' ', 'g')) <> '') AS n_explained, count(*) FILTER (WHERE confidence < 0.8) AS n_unsure, min(page_start) AS first_page, max(page_end) AS last_page, coalesce(any_value(f.risks), '') AS risks FROM t LEFT JOIN f USING (lesson_id) GROUP BY 1""")
+SELECT t.lesson_id, count(*) AS n_tasks, count(*) FILTER (WHERE trim(regexp_replace(coalesce(answer, ''), '[\s\x{3000}\x{a0}]+', ' ', 'g')) <> '') AS n_answered, count(*) FILTER (WHERE trim(regexp_replace(coalesce(explanation, ''), '[\s\x{3000}\x{a0}]+', ' ', 'g')) <> '') AS n_explained, count(*) FILTER (WHERE confidence < 0.8) AS n_unsure, coalesce(string_agg(CASE WHEN confidence < 0.5 THEN task_id END, ',' ORDER BY task_id), '') AS unsure_ids, min(page_start) AS first_page, max(page_end) AS last_page, coalesce(any_value(f.risks), '') AS risks FROM t LEFT JOIN f USING (lesson_id) GROUP BY 1""")
 def document_quality(spark: SparkSession, d: str) -> DataFrame:
     """Counts, page range and all risk flags of each document's tasks, in one aggregation."""
     rows = read(spark, d, "task", "task_id", "answer", "explanation", "confidence", "risk_flags", "page_start", "page_end").distinct().withColumn("lesson_id", F.regexp_extract("task_id", "^(.*?):task:", 1))
     filled = lambda c: F.count_if(T.norm(c) != "")
     flags = rows.select("lesson_id", F.explode("risk_flags").alias("r")).filter("r is not null").groupBy("lesson_id").agg(F.array_join(F.array_sort(F.collect_set("r")), ",").alias("risks"))
-    counts = rows.groupBy("lesson_id").agg(F.count("*").alias("n_tasks"), filled("answer").alias("n_answered"), filled("explanation").alias("n_explained"), F.count_if(F.col("confidence") < 0.8).alias("n_unsure"), F.min("page_start").alias("first_page"), F.max("page_end").alias("last_page"))
+    counts = rows.groupBy("lesson_id").agg(F.count("*").alias("n_tasks"), filled("answer").alias("n_answered"), filled("explanation").alias("n_explained"), F.count_if(F.col("confidence") < 0.8).alias("n_unsure"), F.array_join(F.array_sort(F.collect_list(F.when(F.col("confidence") < 0.5, F.col("task_id")))), ",").alias("unsure_ids"), F.min("page_start").alias("first_page"), F.max("page_end").alias("last_page"))
     return counts.join(flags, "lesson_id", "left").fillna("", ["risks"])
 
 

@@ -60,24 +60,61 @@ def test_previews(spark):
     assert tuple(one(spark, T.file_title("a"), a="第 3 讲 一元二次方程（教师版）.pdf")) == (3, "一元二次方程") and tuple(one(spark, T.file_title("a"), a="2.1 集合.pdf")) == (0, "2.1 集合") and tuple(one(spark, T.file_title("a"), a="附录.pdf")) == (None, "附录")
 
 
-def test_extraction(spark):
-    assert X.navigation_rows(["知识导航", "模块", "数与式", "有理", "数", "★★", "整式", "★", "1．目标"]) == [("数与式", "有理数", "★★"), ("数与式", "整式", "★")]
-    assert X.goals(["1、能够解方程", "并检验", "2、理解函数", "3、其他", "4、会"]) == ["1、能够解方程并检验", "2、理解函数"]
-    assert X.objectives(["课程目标", "1．掌握方程", "2．理解函数"]) == ["1．掌握方程", "2．理解函数"]
-    page = "考点 1：方程\n说明\n1．已知x，求y\n（A）一\n2．下一题\n余下"
-    assert X.question_block(page, ["方程"]) == ("1．已知x，求y （A）一", "question_marker_near_heading") and X.question_block(None, None) == ("", "empty_page_text") and X.question_block("说明", ["无"]) == ("说明", "heading_context_fallback")
-    assert X.question_slice("x" * 100 + "方程" + "y" * 300 + "\n 考点 2", "方程", None) == "x" * 80 + "方程" + "y" * 300
-    assert X.first_question([(1, "说明"), (2, "【例1】"), (2, "已知函数的图象经过点，求值"), (2, "【答案】B")]) == (2, "已知函数的图象经过点，求值") and X.first_question([(1, "无")]) is None
-    rows = [("d", i, t) for i, t in enumerate(["一、选择题", "1．题干", "续行", "【分析】甲", "乙", "【解答】丙", "二、解答题", "2．别题"])]
-    got = {r["number"]: r for r in X.answer_parts(spark.createDataFrame(rows, "doc_id string, pos int, text string"), page=3).collect()}
+def lines(spark, texts, doc="d"):
+    return spark.createDataFrame([(doc, i, t) for i, t in enumerate(texts)], "doc_id string, pos int, text string")
+
+
+def test_tables_and_aims(spark, rows, monkeypatch):
+    monkeypatch.setattr(X, "RUN", 3)
+    nav = ["封面", "知识导航", "模块", "数与式", "有理", "数", "★★", "整式", "★", "12", "★★★", "方程", "解", "★", "1．目标", "函数", "图象", "★"]
+    got = rows(X.navigation_rows(lines(spark, nav)), "row_no", "module", "point", "difficulty")
+    assert got == {(1, "数与式", "有理数", "★★"), (2, "数与式", "整式", "★"), (4, "方程", "解", "★")}
+    assert X.navigation_rows(lines(spark, ["无"])).count() == 0 and X.navigation_rows(lines(spark, nav).limit(0)).count() == 0
+    got = rows(X.goals(lines(spark, ["前言", "1、能够解方程", "并检验", "2、理解函数", "3、其他", "4、会"])), "place", "text")
+    assert got == {(1, "1、能够解方程并检验"), (2, "2、理解函数")}
+    assert rows(X.objectives(lines(spark, ["课程目标", "1．掌握方程", *[f"{i}．理解函数" for i in range(2, 9)]])), "place") == {(i,) for i in range(1, 7)}
+    assert rows(X.objectives(lines(spark, ["1、足够长的一行文字在这里", "2、短"])), "place", "text") == {(1, "1、足够长的一行文字在这里")}
+
+
+def test_questions_of_pages(spark):
+    pages = [("a", ["考点 1：方程", "说明", "1．已知x，求y", "（A）一", "2．下一题", "余下"], ["方程"]), ("b", None, None), ("c", ["说明"], ["无"]), ("e", ["1．甲", "乙", "丙", "丁", "方程"], ["方程"]), ("f", ["x" * 500, "y" * 500], [])]
+    df = spark.createDataFrame(pages, "k string, l array<string>, t array<string>").selectExpr("*", "'z' block")
+    got = {r["k"]: (r["block"], r["reason"]) for r in X.page_blocks(df, ["k"], F.col("l"), F.col("t")).collect()}
+    assert got["a"] == ("1．已知x，求y （A）一", "question_marker_near_heading") and got["b"] == ("", "empty_page_text") and got["c"] == ("说明", "heading_context_fallback")
+    assert got["e"] == ("1．甲 乙 丙 丁 方程", "question_marker_near_heading") and got["f"][0].endswith("...") and len(got["f"][0]) == 903
+    assert one(spark, X.question_slice(F.col("p"), F.col("t"), F.col("m")), p="x" * 100 + "方程" + "y" * 300 + "\n 考点 2", t="方程", m=None) == "x" * 80 + "方程" + "y" * 300
+    assert one(spark, X.question_slice(F.col("p"), F.col("t"), F.col("m")), p=None, t="方程", m="") == ""
+    got = X.first_questions(lines(spark, ["说明", "【例1】", "已知函数的图象经过点，求值", "【答案】B", "余下"]), ["doc_id"]).first()
+    assert (got["pos"], got["question"]) == (1, "已知函数的图象经过点，求值") and X.first_questions(lines(spark, ["无"]), ["doc_id"]).count() == 0
+    got = X.first_questions(lines(spark, ["1．" + "长" * 700, *["后面的话"] * 40]), ["doc_id"]).first()
+    assert got["question"] == "1．" + "长" * 498
+    assert X.first_questions(lines(spark, ["变式一", "太短"]), ["doc_id"]).count() == 0
+
+
+def test_answer_parts_and_bind(spark, monkeypatch):
+    monkeypatch.setattr(X, "RUN", 3)
+    texts = ["一、选择题", "1．题干", "续行", "【分析】甲", "乙", "【解答】丙", "二、解答题", "2．别题"]
+    got = {r["number"]: r for r in X.answer_parts(lines(spark, texts)).collect()}
     assert (got[1]["section"], got[1]["question"], got[1]["analysis"], got[1]["solution"], got[2]["section"]) == ("一、选择题", "1．题干\n续行", "【分析】甲\n乙", "【解答】丙", "二、解答题")
     answers = spark.createDataFrame([("d", 1, "s", "q", "old", "", "", 0), ("d", 1, "s", "q", "new", "", "", 9)], "doc_id string, number int, section string, question string, analysis string, solution string, comment string, first_pos int")
     bound = {r["number"]: r for r in X.bind(spark.createDataFrame([("d", 1, "s", "q"), ("d", 2, "s", "q")], "doc_id string, number int, section string, question string"), answers).collect()}
     assert bound[1]["analysis"] == "new" and bound[2]["bind_status"] == "MISSING_ANSWER"
 
 
+def test_titles_summaries_and_marks(spark):
+    assert one(spark, T.symbols("a"), a="x＋1＝\uf0b1y") == "x+1=±y" and one(spark, T.without_number("a"), a="12． x＝1") == "x=1"
+    assert one(spark, T.plain_inline("a"), a="`x` 见 [附录](http://a)") == "x 见 附录: http://a" and one(spark, T.section_of_key("a"), a="s3_q2") == "3"
+    assert one(spark, T.summary("a"), a="页眉 3．已知x，求y：答案：B") == "3．已知x，求y" and one(spark, T.summary("a"), a="答案在前，已知 12") == "答案在前，已知" and one(spark, T.summary("a"), a=None) == ""
+    assert one(spark, T.inferred_title(F.split("a", "\n"), "b"), a="领世教育\n\n一元二次", b="x") == "一元二次" and one(spark, T.inferred_title(F.split("a", "\n"), "b"), a="", b="x") == "x"
+    assert one(spark, T.ends_summary("a", F.lit(1), F.lit(0.1)), a="【答案】") is True and one(spark, T.ends_summary("a", F.lit(0), F.lit(0.9)), a="x") is False and one(spark, T.ends_summary("a", F.lit(2), F.lit(0.9)), a="x") is True
+    assert one(spark, T.data_url(F.encode("a", "UTF-8"), "text/plain"), a="字" * 60).count("\n") == 0
+    assert one(spark, V.noisy_summary("a"), a="x = 1 \ufffd") is True and one(spark, V.noisy_export("a"), a="= = = + + + 已知函数图象") is True and one(spark, V.noisy_export("a"), a="已知函数的图象") is False
+
+
 def test_json_in_text(spark):
     assert balanced('说明 {"a": "}\\"{", "b": {"c": 1}} 完') == ('{"a": "}\\"{", "b": {"c": 1}}', "ok")
-    assert [balanced(x)[1] for x in (None, " ", "abc", '{"a": 1')] == ["empty", "empty", "not_found", "not_closed"]
+    assert [balanced(x)[1] for x in (None, " ", "abc", '{"a": 1', "{oops}", '{"a": "}')] == ["empty", "empty", "not_found", "not_closed", "broken", "not_closed"]
+    assert balanced('```json\n{"a": 1}\n```') == ('{"a": 1}', "ok") and balanced("[1, 2]") == ("[1, 2]", "ok") and balanced('{"a": 1} {"b": 2}') == ('{"a": 1}', "ok")
+    assert len(balanced('{"a":' * 3000 + "1" + "}" * 3000)[1]) > 0
     df = spark.createDataFrame([("1", "x {} y"), ("2", None)], "id string, t string")
     assert {r["id"]: r["object_status"] for r in extract_objects(df, "t").collect()} == {"1": "ok", "2": "empty"}

@@ -33,3 +33,14 @@ def test_numbers_as_of_containing_runs(spark, rows):
     points, spans = frame(spark, [("d", 1.0), ("d", 99.0), ("d", None)], "d string, y double"), frame(spark, [("d", 0.0, 50.0, "s"), ("d", 1.0, 1.0, "t"), ("d", 9.0, 1.0, "bad")], "d string, a double, b double, n string")
     assert rows(O.containing(points, spans, ["d"], "y", "a", "b", 10.0, ["n"]), "y", "n") == {(1.0, "s"), (1.0, "t")}
     assert rows(O.runs(frame(spark, [("g", 1, "a"), ("g", 2, "a"), ("g", 3, None), ("g", 4, None), ("g", 5, "a")], "g string, i int, k string"), ["g"], ["i"], F.col("k"), "r"), "i", "r") == {(1, 1), (2, 1), (3, 2), (4, 2), (5, 3)}
+
+
+def test_parts_parents_and_changes(spark, rows):
+    parts = frame(spark, [("g", i, k, n) for i, (k, n) in enumerate([("practice", "练习"), ("practice", "练习（续）"), ("practice", "练习"), ("checkpoint", "考点"), ("practice", "练习（续）"), ("example", "例（续）"), ("example", "例（续）"), ("example", None)])], "g string, i int, kind string, label string")
+    got = O.groups_of_parts(parts, ["g"], ["i"], "kind", "label", ("practice", "example"), "no")
+    assert rows(got, "i", "no") == {(0, 1), (1, 1), (2, 2), (4, 3), (5, 4), (6, 4), (7, 5)}
+    points, spans = frame(spark, [("d", 5.0, "p"), ("d", 99.0, "q")], "d string, y double, k string"), frame(spark, [("d", 0.0, 50.0, "s"), ("d", 4.0, 6.0, "t")], "d string, a double, b double, n string")
+    assert rows(O.first_parent(points, spans, ["d"], "y", "a", "b", "n", "k", 10.0)) == {("p", "s")}
+    assert rows(O.changes(frame(spark, [("g", 1, "a"), ("g", 2, "a"), ("g", 3, "b"), ("h", 1, "b")], "g string, i int, v string"), ["g"], ["i"], F.col("v")), "g", "i") == {("g", 1), ("g", 3), ("h", 1)}
+    ends = frame(spark, [(5, 9), (12, 9), (None, 9)], "e int, p int")
+    assert sorted(r[0] for r in ends.select(O.clipped_end(F.col("e"), F.col("p"))).collect()) == [5, 9, 9]
