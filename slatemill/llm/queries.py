@@ -184,7 +184,7 @@ def p9_rebuilt(spark: SparkSession, d: str) -> DataFrame:
     return every.join(whole, ["doc_id", "setting_id"], "left").select("doc_id", "setting_id", F.md5(F.coalesce("rebuilt", "text")).alias("text_md5"), F.coalesce("faults", F.lit(0)).alias("faults"))
 
 
-SQL["p9_rebuilt"] = "SELECT doc_id, setting_id, md5(text) AS text_md5, 0 AS faults FROM documents, (SELECT DISTINCT setting_id FROM split_setting)"
+SQL["p9_rebuilt"] = "SELECT doc_id, setting_id, md5(text) AS text_md5, 0::BIGINT AS faults FROM documents, (SELECT DISTINCT setting_id FROM split_setting)"
 
 
 # ---------------------------------------------------------------- problem 2: noise of scanned pages
