@@ -112,19 +112,21 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return out.distinct()
 
 
-#: The tree of every record, by whatever layout: objects with their ids, and the nearest object above that is a node.
-SQL["p5_found"] = """
+#: The tree of every split record, by whatever layout: objects with their ids, and the nearest object above that is a node.
+_TREE = """
 WITH RECURSIVE raw AS (SELECT DISTINCT split_id, 'n' AS src, nodes::JSON AS c FROM lesson_split WHERE nodes IS NOT NULL UNION SELECT DISTINCT split_id, 't', tasks::JSON FROM lesson_split WHERE tasks IS NOT NULL),
 once AS (SELECT split_id, src, CASE WHEN json_type(c) = 'VARCHAR' THEN (c ->> '$')::JSON ELSE c END AS c FROM raw), doc AS (SELECT split_id, src, CASE WHEN json_type(c) = 'VARCHAR' THEN (c ->> '$')::JSON ELSE c END AS c FROM once),
-tree AS (SELECT split_id, src, t.id, t.parent, CASE WHEN t.type = 'OBJECT' THEN coalesce(t.value ->> 'node_id', CASE WHEN t.value ->> 'node_type' IS NOT NULL THEN t.key END) END AS nid, CASE WHEN t.type = 'OBJECT' THEN t.value ->> 'task_id' END AS tid, CASE WHEN t.type = 'OBJECT' THEN t.value ->> 'parent_id' END AS pid, CASE WHEN t.type = 'OBJECT' THEN t.value ->> 'section_id' END AS sid, CASE WHEN t.type = 'OBJECT' THEN t.value -> 'source_pages' END AS pages FROM doc, json_tree(doc.c) t),
+tree AS (SELECT split_id, src, t.id, t.parent, CASE WHEN t.type = 'OBJECT' THEN coalesce(t.value ->> 'node_id', CASE WHEN t.value ->> 'node_type' IS NOT NULL THEN t.key END) END AS nid, CASE WHEN t.type = 'OBJECT' THEN t.value ->> 'task_id' END AS tid, CASE WHEN t.type = 'OBJECT' THEN t.value ->> 'parent_id' END AS pid, CASE WHEN t.type = 'OBJECT' THEN t.value ->> 'section_id' END AS sid, CASE WHEN t.type = 'OBJECT' THEN t.value -> 'source_pages' END AS pages, CASE WHEN t.type = 'OBJECT' THEN t.value END AS v FROM doc, json_tree(doc.c) t),
 own AS (SELECT * FROM tree WHERE nid IS NOT NULL OR tid IS NOT NULL), up AS (SELECT split_id, src, id AS start, parent AS cur FROM own UNION ALL SELECT up.split_id, up.src, up.start, tree.parent FROM up JOIN tree ON tree.split_id = up.split_id AND tree.src = up.src AND tree.id = up.cur WHERE tree.nid IS NULL),
 above AS (SELECT up.split_id, up.src, up.start, tree.nid FROM up JOIN tree ON tree.split_id = up.split_id AND tree.src = up.src AND tree.id = up.cur WHERE tree.nid IS NOT NULL), linked AS (SELECT own.*, above.nid AS anid FROM own LEFT JOIN above ON above.split_id = own.split_id AND above.src = own.src AND above.start = own.id),
-sides AS (SELECT split_id, tid, 'student' AS side, pages -> 'student' AS p FROM own WHERE tid IS NOT NULL UNION ALL SELECT split_id, tid, 'teacher', pages -> 'teacher' FROM own WHERE tid IS NOT NULL), page AS (SELECT split_id, tid, side, unnest(CASE WHEN json_type(p) = 'ARRAY' THEN from_json(p, '["VARCHAR"]') ELSE [p ->> '$'] END) AS page FROM sides WHERE p IS NOT NULL AND json_type(p) <> 'NULL'),
-pr AS (SELECT DISTINCT prediction_id, final_top3 AS f FROM predictions WHERE len(final_top3) > 0), ca AS (SELECT prediction_id, unnest(range(1, len(f) + 1)) AS i, f FROM pr), ev AS (SELECT prediction_id, i, unnest(range(1, len(f[i].evidence) + 1)) AS j, f[i].evidence AS e FROM ca WHERE f[i] IS NOT NULL)
+sides AS (SELECT split_id, tid, 'student' AS side, pages -> 'student' AS p FROM own WHERE tid IS NOT NULL UNION ALL SELECT split_id, tid, 'teacher', pages -> 'teacher' FROM own WHERE tid IS NOT NULL), page AS (SELECT split_id, tid, side, unnest(CASE WHEN json_type(p) = 'ARRAY' THEN from_json(p, '["VARCHAR"]') ELSE [p ->> '$'] END) AS page FROM sides WHERE p IS NOT NULL AND json_type(p) <> 'NULL')"""
+SQL["p5_found"] = _TREE + """, pr AS (SELECT DISTINCT prediction_id, final_top3 AS f FROM predictions WHERE len(final_top3) > 0), ca AS (SELECT prediction_id, unnest(range(1, len(f) + 1)) AS i, f FROM pr), ev AS (SELECT prediction_id, i, unnest(range(1, len(f[i].evidence) + 1)) AS j, f[i].evidence AS e FROM ca WHERE f[i] IS NOT NULL)
 SELECT DISTINCT 'predictions' AS src, prediction_id AS record_id, 'candidate' AS child_kind, i::VARCHAR AS child_id, prediction_id AS parent_id FROM ca WHERE f[i] IS NOT NULL UNION ALL SELECT DISTINCT 'predictions', prediction_id, 'evidence', i || '.' || j, i::VARCHAR FROM ev WHERE e[j] IS NOT NULL
 UNION ALL SELECT DISTINCT 'lesson_split', split_id, 'node', nid, coalesce(nullif(trim(pid, ' '), ''), anid, split_id) FROM linked WHERE tid IS NULL UNION ALL SELECT DISTINCT 'lesson_split', split_id, 'task', tid, coalesce(nullif(trim(sid, ' '), ''), anid, split_id) FROM linked WHERE tid IS NOT NULL
 UNION ALL SELECT DISTINCT 'lesson_split', split_id, 'page', side || ':' || page, tid FROM page WHERE page IS NOT NULL
 """
+SQL["p5_pages"] = _TREE + " SELECT DISTINCT split_id AS record_id, tid AS task_id, side, page::INT AS page FROM page WHERE page IS NOT NULL"
+
 
 
 @query("""
@@ -154,6 +156,17 @@ def _whole(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return rows.groupBy("record_id", "own_id", "parent_id").agg(F.max_by(row, F.struct(full, row)).alias("x")).select("record_id", "own_id", "parent_id", "x.*")
 
 
+def _whole_sql(kind: str, own: str, above: str, columns: tuple[str, ...]) -> str:
+    values = ", ".join(f"v ->> '{c}' AS {c}" for c in columns)
+    full = " + ".join(f"({c} IS NOT NULL)::INT" for c in columns)
+    order = ", ".join(f"{c} DESC NULLS LAST" for c in columns)
+    return f"{_TREE}, w AS (SELECT split_id AS record_id, {own} AS {kind}_id, coalesce(nullif(trim({above}, ' '), ''), anid, split_id) AS parent_id, {values} FROM linked WHERE tid IS {'NOT' if kind == 'task' else ''} NULL) SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY record_id, {kind}_id, parent_id ORDER BY {full} DESC, {order}) = 1"
+
+
+SQL["p5_nodes"] = _whole_sql("node", "nid", "pid", _NODE)
+SQL["p5_tasks"] = _whole_sql("task", "tid", "sid", _TASK)
+
+
 @query()
 def p5_nodes(spark: SparkSession, d: str) -> DataFrame:
     """The node table of lesson_split with its scalar columns, each linked to its parent node or record."""

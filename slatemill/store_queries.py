@@ -150,7 +150,7 @@ def mirror_difference(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH r AS (SELECT lesson_id FROM lesson WHERE status = 'reviewing'), v AS (SELECT DISTINCT lesson_revision_id FROM lesson_revision WHERE lesson_id IN (SELECT lesson_id FROM r)), t AS (SELECT DISTINCT task_projection_id, lesson_id, lesson_revision_id FROM task_projection)
-SELECT 'lesson' AS table_name, count(DISTINCT lesson_id) AS n_left, 0 AS n_emptied FROM lesson WHERE lesson_id NOT IN (SELECT lesson_id FROM r) UNION ALL SELECT 'lesson_revision', count(DISTINCT lesson_revision_id), 0 FROM lesson_revision WHERE lesson_revision_id NOT IN (SELECT lesson_revision_id FROM v)
+SELECT 'lesson' AS table_name, count(DISTINCT lesson_id) AS n_left, 0::BIGINT AS n_emptied FROM lesson WHERE lesson_id NOT IN (SELECT lesson_id FROM r) UNION ALL SELECT 'lesson_revision', count(DISTINCT lesson_revision_id), 0 FROM lesson_revision WHERE lesson_revision_id NOT IN (SELECT lesson_revision_id FROM v)
 UNION ALL SELECT 'task_projection', count(*), 0 FROM t WHERE (lesson_id IS NULL OR lesson_id NOT IN (SELECT lesson_id FROM r)) AND (lesson_revision_id IS NULL OR lesson_revision_id NOT IN (SELECT lesson_revision_id FROM v))
 UNION ALL SELECT 'task', count(*), count(*) FILTER (WHERE l IN (SELECT lesson_id FROM r)) FROM (SELECT DISTINCT task_id, regexp_extract(task_id, '^(.*?):task:', 1) AS l FROM task)""")
 def cascaded_delete(spark: SparkSession, d: str) -> DataFrame:
@@ -163,7 +163,7 @@ def cascaded_delete(spark: SparkSession, d: str) -> DataFrame:
     tasks = S.cascade(S.cascade(tasks, "lesson_id", gone, "lesson_id"), "lesson_revision_id", dropped, "lesson_revision_id")
     loose = read(spark, d, "task", "task_id").distinct().withColumn("lesson_id", F.regexp_extract("task_id", "^(.*?):task:", 1))
     emptied = S.set_null(loose, "lesson_id", gone, "lesson_id")
-    count = lambda name, table, key, more=F.lit(0): table.agg(F.lit(name).alias("table_name"), F.count_distinct(key).alias("n_left"), more.cast("int").alias("n_emptied"))
+    count = lambda name, table, key, more=F.lit(0): table.agg(F.lit(name).alias("table_name"), F.count_distinct(key).alias("n_left"), more.cast("long").alias("n_emptied"))
     out = count("lesson", S.cascade(read(spark, d, "lesson", "lesson_id"), "lesson_id", gone, "lesson_id"), "lesson_id")
     for part in (count("lesson_revision", left, "lesson_revision_id"), count("task_projection", tasks, "task_projection_id"), count("task", emptied, "task_id", F.count_if(F.col("lesson_id").isNull()))):
         out = out.unionByName(part)
