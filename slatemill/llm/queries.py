@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from slatemill.llm import leak, mixing, neardup, noise, pairs, splitting, textnorm
 from slatemill.plans.cut import cut
-from slatemill.sources.tables import read
+from slatemill.sources.tables import read, spread
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -20,7 +20,7 @@ def _tagged(spark: SparkSession, d: str, *sources: tuple[str, str, str]) -> Data
     """src, id and text of several tables, one below the other."""
     out = None
     for table, key, text in sources:
-        part = read(spark, d, table, key, text).select(F.lit(table).alias("src"), F.col(key).alias("id"), F.col(text).alias("text"))
+        part = spread(read(spark, d, table, key, text)).select(F.lit(table).alias("src"), F.col(key).alias("id"), F.col(text).alias("text"))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -59,7 +59,7 @@ def p6_canonical(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
-    rows = read(spark, d, "task", "task_id", "stem", "answer", "explanation")
+    rows = spread(read(spark, d, "task", "task_id", "stem", "answer", "explanation"))
     return pairs.defective_pairs(rows, "stem", {"answer": True, "explanation": False})
 
 
@@ -108,7 +108,7 @@ SQL["p1_classes"] = _ALIKE + ", d AS (SELECT DISTINCT src, id, m FROM w) SELECT
 
 def _leaks(spark: SparkSession, d: str) -> DataFrame:
     items = read(spark, d, "heldout_blind", "heldout_question_id", "text").withColumnRenamed("heldout_question_id", "item_id")
-    return leak.leaked_items(read(spark, d, "documents", "doc_id", "text"), items)
+    return leak.leaked_items(spread(read(spark, d, "documents", "doc_id", "text")), items)
 
 
 @query
@@ -126,7 +126,7 @@ def p7_passages(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return mixing.mix(read(spark, d, "documents", "doc_id", "source", "text"), read(spark, d, "mix_target", "source", "target_share", "max_repeat"))
+    return mixing.mix(spread(read(spark, d, "documents", "doc_id", "source", "text")), read(spark, d, "mix_target", "source", "target_share", "max_repeat"))
 
 
 @query
@@ -166,7 +166,7 @@ SELECT c.source, c.held::BIGINT AS available_tokens, round(CASE WHEN f.source IS
 
 @query
 def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
-    return splitting.split_documents(read(spark, d, "documents", "doc_id", "text"), read(spark, d, "split_setting", "setting_id", "max_tokens", "overlap_tokens"))
+    return splitting.split_documents(spread(read(spark, d, "documents", "doc_id", "text")), read(spark, d, "split_setting", "setting_id", "max_tokens", "overlap_tokens"))
 
 
 @query
@@ -194,7 +194,7 @@ _WRITTEN = ("coverage_set_review", "test_question_id", "question_text_ocr"), ("s
 
 
 def _page_lines(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "ocr_lines", F.col("line_id").alias("id"), "doc_id", "page", "pos", "text")
+    return spread(read(spark, d, "ocr_lines", F.col("line_id").alias("id"), "doc_id", "page", "pos", "text"))
 
 
 def _scanned(spark: SparkSession, d: str) -> DataFrame:
