@@ -7,7 +7,7 @@ from slatemill.operators.nested import parse_triples, pivot_group, typed_tables
 from slatemill.operators.orphans import orphan_references, orphan_report
 from slatemill.plans.cut import cut
 from slatemill.registry import QUERIES, SQL, query
-from slatemill.sources.tables import read
+from slatemill.sources.tables import read, spread
 
 
 # ---------------------------------------------------------------- problem 3: orphan references
@@ -79,7 +79,7 @@ def _split_tables(spark: SparkSession, d: str, extra: tuple[str, ...] = ()) -> d
     """
     leaves = _SPLIT_LEAVES | {k: k for k in extra}
     keep = [*leaves, "student", "teacher"]
-    rows = read(spark, d, "lesson_split", "split_id", "nodes", "tasks")
+    rows = spread(read(spark, d, "lesson_split", "split_id", "nodes", "tasks"))
     parsed = parse_triples(rows, "split_id", "nodes", "nodes", keep).unionByName(parse_triples(rows, "split_id", "tasks", "tasks", keep))
     flat = pivot_group(parsed, leaves)
     in_tasks = F.col("path").rlike(r"(^|\.)(tasks|items)$")
