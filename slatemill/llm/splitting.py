@@ -97,7 +97,7 @@ def split(model: tokenizer.Pieces, text: str, strength: np.ndarray, safe: np.nda
             else:
                 size = int(upto[end]) - used
             if pieces and end <= pieces[-1][1]:
-                begin = pieces[-1][1]  # the overlap fills the whole room: go on without it
+                begin += 1  # the overlap fills the whole room: repeat less, at last nothing
                 continue
             pieces.append((begin, end, size))
             if end >= n:
@@ -119,7 +119,8 @@ def split_documents(docs: DataFrame, settings: DataFrame, path: str | None = Non
     character has several tokens). begin and end are character positions, so the text is text[0:end_1] + text[end_1:end_2] + ...
     Null texts and texts within the limit give no pieces, nor do settings with a null id or limit or a limit below 1; a null or
     negative overlap is none, and one that is not below its limit is an error, as no piece could go on. A single character of
-    more tokens than the limit stays whole. Where the overlap would fill a piece's whole room, that piece repeats nothing.
+    more tokens than the limit stays whole. Where the overlap would fill a piece's whole room, that piece
+    repeats only as much as lets it go on.
     """
     path = path or tokenizer.default_path()
     rows = settings.select("setting_id", "max_tokens", "overlap_tokens").distinct().limit(MAX_SETTINGS + 1).collect()
