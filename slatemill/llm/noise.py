@@ -394,13 +394,19 @@ def _chunks(batches, parts: int):
             yield [c[a : a + size] for c in columns]
 
 
-#: Digits and what scanners read for them, in the form of a line by which repetition is seen.
-_FORM_DIGITS = r"[0-9lIOoSZBG]+"
+#: Blanks that a line's form leaves out.
+_BLANKS = " \t\u3000\xa0\u2002\u2003\u2009\u202f\u200b"
+#: Page numbers as forms, where "of" shows what its letter is read for.
+_PAGE_FORM = r"^(—#—|-#-|–#–|第#页([,，/]?共#页)?|\[#\]|·#·|[Pp]age#(f#)?|[Pp]\.?#|#/#|#)$"
 
 
 def line_form(text: Column) -> Column:
-    """A line without blanks, numbers as one sign: equal for the headers of all pages of a running title."""
-    return F.regexp_replace(F.regexp_replace(text, r"(?U)\s+", ""), _FORM_DIGITS, "#")
+    """A line without blanks, its numbers (and what scanners read for digits) as one sign: equal for the headers of all pages of a running title. Plain replacements, so it costs little a line."""
+    digits = "0123456789" + "".join(DIGITS)
+    form = F.translate(text, digits + _BLANKS, "#" * len(digits))
+    for _ in range(4):  # runs of up to sixteen
+        form = F.replace(form, F.lit("##"), F.lit("#"))
+    return form
 
 
 def page_furniture(lines: DataFrame, least: int = 4, share: float = 0.9) -> DataFrame:
@@ -411,18 +417,16 @@ def page_furniture(lines: DataFrame, least: int = 4, share: float = 0.9) -> Data
     those lines that counts with the pages, at the distance from the page's own number that is usual in the document; any other
     bare number is content. Lines without a page or place are none. One window a page, then partial aggregations.
     """
-    text, form = F.col("text"), line_form(F.col("text"))
-    is_title = ~text.rlike(_PAGE_LINE.pattern) & (F.length(F.regexp_replace(form, r"[^\p{L}]", "")) >= 3)
-    number = F.translate(F.trim(text), "".join(DIGITS), "".join(DIGITS.values())).try_cast("int")
-    placed = lines.filter("id is not null and doc_id is not null and page is not null and pos is not null").select(
-        "id", "doc_id", "page", "pos", F.when(is_title, F.struct(F.xxhash64(form).alias("x"), F.xxhash64(F.lit(1), form).alias("y"))).alias("form"), F.when(text.rlike(_BARE_LINE.pattern), number - F.col("page")).alias("off")
-    )
+    placed = lines.filter("id is not null and doc_id is not null and page is not null and pos is not null").select("id", "doc_id", "page", "pos", line_form(F.col("text")).alias("form"), F.when(F.length("text") <= 12, F.col("text")).alias("short"))
     page = Window.partitionBy("doc_id", "page")
     placed = placed.withColumn("a", F.dense_rank().over(page.orderBy("pos"))).withColumn("edge", (F.col("a") <= 2) | (F.col("a") >= F.max("a").over(page) - 1))
-    placed = cut(placed.dropDuplicates(["doc_id", "page", "pos", "id"]).filter("form is not null or (edge and off is not null)").select("id", "doc_id", "form", "off", "edge"))
-    titles, numbers = placed.filter("form is not null"), placed.filter("edge and off is not null")
-    forms = titles.groupBy("form").agg(F.count("*").alias("n"), F.count_if("edge").alias("at_edge")).filter((F.col("n") >= least) & (F.col("at_edge") >= share * F.col("n"))).select("form")
-    headers = titles.filter("edge").join(forms, "form", "left_semi").select("id", F.lit("header").alias("kind"))
+    placed = cut(placed.dropDuplicates(["doc_id", "page", "pos", "id"]).filter("form is not null").select("id", "doc_id", "page", "form", "short", "edge"))
+    # which forms are titles is asked of each form once
+    forms = placed.groupBy("form").agg(F.count("*").alias("n"), F.count_if("edge").alias("at_edge")).filter((F.col("n") >= least) & (F.col("at_edge") >= share * F.col("n")))
+    forms = forms.filter(~F.col("form").rlike(_PAGE_FORM) & (F.length(F.regexp_replace("form", r"[^\p{L}]", "")) >= 3)).select("form")
+    headers = placed.filter("edge").select("id", "form").join(forms, "form", "left_semi").select("id", F.lit("header").alias("kind"))
+    number = F.translate(F.trim("short"), "".join(DIGITS), "".join(DIGITS.values())).try_cast("int")
+    numbers = placed.filter("edge and form = '#'").filter(F.col("short").rlike(_BARE_LINE.pattern)).select("id", "doc_id", (number - F.col("page")).alias("off")).filter("off is not null")
     usual = numbers.groupBy("doc_id", "off").agg(F.count("*").alias("n")).groupBy("doc_id").agg(F.max_by(F.when(F.col("n") > 1, F.col("off")), F.struct("n", -F.abs("off"))).alias("usual"))
     counted = numbers.join(usual, "doc_id").filter(F.col("off") == F.coalesce("usual", F.lit(0))).select("id", F.lit("page_number").alias("kind"))
     return cut(headers.unionByName(counted).distinct())
