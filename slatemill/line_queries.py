@@ -178,7 +178,7 @@ def _audited(spark: SparkSession, d: str) -> DataFrame:
 
 def _tagged_questions(spark: SparkSession, d: str) -> DataFrame:
     """Audited questions with their version tags."""
-    placed = O.nth(_audited(spark, d), ["checkpoint"], ["question_id"], "nth")
+    placed = O.first_or_later(_audited(spark, d), "checkpoint", "question_id", "nth")  # tags ask for the first place only
     return placed.withColumn("tags", R.version_tags("component_kind", "nth", F.coalesce(F.length("text_preview"), F.lit(0))))
 
 
@@ -188,7 +188,7 @@ SELECT v AS version_tag, count(tag) AS n FROM (VALUES ('常用版'), ('基础版
 def version_counts(spark: SparkSession, d: str) -> DataFrame:
     """Questions of each version, 0 for a version without any."""
     rows = read(spark, d, "split_questions", "question_id", "checkpoint", "component_kind", "text_preview").distinct()
-    placed = O.nth(rows, ["checkpoint"], ["question_id"], "nth")
+    placed = O.first_or_later(rows, "checkpoint", "question_id", "nth")  # tags ask for the first place only
     tags = placed.select(F.explode(R.version_tags("component_kind", "nth", F.coalesce(F.length("text_preview"), F.lit(0)))).alias("version_tag")).groupBy("version_tag").agg(F.count("*").alias("n"))
     dim = spark.createDataFrame([("常用版",), ("基础版",), ("进阶版",)], "version_tag string")
     return dim.join(tags, "version_tag", "left").fillna(0, ["n"])

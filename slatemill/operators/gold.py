@@ -24,10 +24,12 @@ def curate(df: DataFrame, evaluated: DataFrame) -> DataFrame:
 
     df: test_question_id, question_text_ocr, selection_quality, status, duplicate_count; evaluated: test_question_id, point_hit, lesson_hit.
     """
-    x = F.coalesce("question_text_ocr", F.lit(""))
+    # all rules look at the beginning, which is made once
+    df = df.withColumn("_head", T.prefix("question_text_ocr", 520))
+    x = F.col("_head")
     marked, quality = R.question_marker(x), F.coalesce("selection_quality", F.lit(""))
     rules: list[tuple[Column, str]] = [
-        ((F.coalesce("status", F.lit("")) != "ok") | (T.norm(x) == ""), "RE_CROP_REQUIRED|P0|no_text"),
+        ((F.coalesce("status", F.lit("")) != "ok") | (x == ""), "RE_CROP_REQUIRED|P0|no_text"),
         (R.navigation(x), "RE_CROP_REQUIRED|P0|navigation"),
         (F.col("duplicate_count") >= 3, "RE_CROP_REQUIRED|P0|shared_snippet"),
         (~marked, "REVIEW_REQUIRED|P1|no_question_marker"),
@@ -37,7 +39,7 @@ def curate(df: DataFrame, evaluated: DataFrame) -> DataFrame:
         (quality == "nearby_question_match", "USABLE_WITH_REVIEW|P2|nearby_match"),
     ]
     verdict = F.split(R.choose(rules, "USABLE_GOLD|OK|gold"), r"\|")
-    return df.join(evaluated, "test_question_id", "left").withColumn("_v", verdict).withColumns({"curation_status": F.col("_v")[0], "priority": F.col("_v")[1], "reason_code": F.col("_v")[2]}).drop("_v")
+    return df.join(evaluated, "test_question_id", "left").withColumn("_v", verdict).withColumns({"curation_status": F.col("_v")[0], "priority": F.col("_v")[1], "reason_code": F.col("_v")[2]}).drop("_v", "_head")
 
 
 def zero_filled(df: DataFrame, status: str, statuses: tuple[str, ...], counts: dict[str, Column]) -> DataFrame:

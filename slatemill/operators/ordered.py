@@ -53,6 +53,12 @@ def nth(df: DataFrame, group: list[str], order: list, to: str) -> DataFrame:
     return df.withColumn(to, F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("long"))
 
 
+def first_or_later(df: DataFrame, group: str, key: str, to: str) -> DataFrame:
+    """df with 1 for the row of the least key in its group (each key once) and 2 for all others: where only the first place counts, no group has to be ordered."""
+    first = df.groupBy(group).agg(F.min(key).alias("_first")).withColumnRenamed(group, "_g")
+    return df.join(first, df[group].eqNullSafe(first["_g"]), "left").withColumn(to, F.when(F.col(key) == F.col("_first"), 1).otherwise(2)).drop("_g", "_first")
+
+
 def numbered(df: DataFrame, order: list[str], to: str = "row_no") -> DataFrame:
     """df with a gapless number from 1 in the order of the columns, over all rows, without bringing them to one task.
 

@@ -35,6 +35,11 @@ def test_numbers_as_of_containing_runs(spark, rows):
     assert rows(O.runs(frame(spark, [("g", 1, "a"), ("g", 2, "a"), ("g", 3, None), ("g", 4, None), ("g", 5, "a")], "g string, i int, k string"), ["g"], ["i"], F.col("k"), "r"), "i", "r") == {(1, 1), (2, 1), (3, 2), (4, 2), (5, 3)}
 
 
+def test_first_or_later(spark, rows):
+    df = frame(spark, [("a", "q2"), ("a", "q1"), ("a", "q3"), (None, "q5"), (None, "q4"), ("b", "q6")], "g string, k string")
+    assert rows(O.first_or_later(df, "g", "k", "n"), "k", "n") == {("q1", 1), ("q2", 2), ("q3", 2), ("q4", 1), ("q5", 2), ("q6", 1)}
+
+
 def test_parts_parents_and_changes(spark, rows):
     parts = frame(spark, [("g", i, k, n) for i, (k, n) in enumerate([("practice", "练习"), ("practice", "练习（续）"), ("practice", "练习"), ("checkpoint", "考点"), ("practice", "练习（续）"), ("example", "例（续）"), ("example", "例（续）"), ("example", None)])], "g string, i int, kind string, label string")
     got = O.groups_of_parts(parts, ["g"], ["i"], "kind", "label", ("practice", "example"), "no")
