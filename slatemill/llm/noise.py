@@ -461,18 +461,34 @@ def find_noise(texts: DataFrame, repairs: list[Repairs], furniture_lines: DataFr
     return found.distinct()
 
 
-def _in_place(text: str, repairs: Repairs) -> str:
-    """The text with misread ideographs, digits, symbols and words replaced, until none is left to repair; a mended neighbour may confirm the next."""
-    seen = set()
-    while text not in seen:
-        seen.add(text)
-        for at, meant in repairs.in_contexts([text]).get(0, ()):
-            text = text[:at] + chr(meant) + text[at + 1 :]
-        text = _PRIVATE.sub(lambda m: GLYPHS.get(m[0], ""), text)
-        text = _NUMBER.sub(lambda m: "".join(DIGITS.get(c, c) for c in m[0]) if any(c in DIGITS for c in m[0]) and re.fullmatch(r"[\d.lIOoZSBG]+", m[0]) else m[0], text)
-        if _LETTERS.search(text):
-            text = "\n".join(_in_words(line, repairs) for line in text.split("\n"))
-    return text
+def _in_place(texts: list[str], repairs: Repairs) -> list[str]:
+    """The texts with misread ideographs, digits, symbols and words replaced, until none is left to repair; a mended neighbour may confirm the next. Only texts that change are looked at again."""
+    texts, seen = [*texts], [set() for _ in texts]
+    active = [*range(len(texts))]
+    while active:
+        found = repairs.in_contexts([texts[k] for k in active])
+        changed = []
+        for i, k in enumerate(active):
+            before = text = texts[k]
+            for at, meant in found.get(i, ()):
+                text = text[:at] + chr(meant) + text[at + 1 :]
+            if not text.isascii():
+                text = _PRIVATE.sub(lambda m: GLYPHS.get(m[0], ""), text)
+            if _DIGIT_LIKE.search(text):
+                text = _NUMBER.sub(lambda m: "".join(DIGITS.get(c, c) for c in m[0]) if any(c in DIGITS for c in m[0]) and re.fullmatch(r"[\d.lIOoSZBG]+", m[0]) else m[0], text)
+            if _LETTERS.search(text):
+                text = "\n".join(_in_words(line, repairs) for line in text.split("\n"))
+            if text != before:
+                seen[k].add(before)
+                texts[k] = text
+                if text not in seen[k]:
+                    changed.append(k)
+        active = changed
+    return texts
+
+
+#: What a misread number holds at least.
+_DIGIT_LIKE = re.compile(r"[lIOoSZBG][\d.]|[\d.][lIOoSZBG]")
 
 
 def _in_words(line: str, repairs: Repairs) -> str:
@@ -491,32 +507,52 @@ def _in_words(line: str, repairs: Repairs) -> str:
 
 
 def repaired(text: str | None, repairs: Repairs, placed: bool = False) -> str | None:
-    """The text as continuous paragraphs: furniture dropped, cut words joined, lines joined, misread characters and words repaired wherever ``examine`` finds them; private-use symbols become the signs they show or are dropped.
+    """``repaired_all`` of one text."""
+    return repaired_all([text], repairs, [placed])[0]
+
+
+def repaired_all(texts: list[str | None], repairs: Repairs, placed: list[bool] | None = None) -> list[str | None]:
+    """The texts as continuous paragraphs: furniture dropped, cut words joined, lines joined, misread characters and words repaired wherever ``examine`` finds them; private-use symbols become the signs they show or are dropped.
 
-    A line that ends a sentence before a shorter or blank line ends a paragraph; null stays null. placed: as for ``furniture``.
+    A line that ends a sentence before a shorter or blank line ends a paragraph; null stays null. placed: as for ``examine``.
     """
-    if not text:
-        return text
-    for at, meant in repairs.in_contexts([text]).get(0, ()):
-        text = text[:at] + chr(meant) + text[at + 1 :]
-    for a, b, _ in sorted(furniture(text, placed)[0], reverse=True):
-        whole = (a == 0 or text[a - 1] == "\n") and text[b : b + 1] == "\n"
-        text = text[:a] + text[b + whole :]
-    text = re.sub(r"(?<=[^\W\d_])-[ \t]*\n(?=[a-z])|(?<=[a-z])- (?=[a-z])", lambda m: "-" if text[: m.start()].rpartition(" ")[2].rpartition("\n")[2].lower() in repairs.heads else "", text)
-    text = _in_place(text, repairs)
+    given = [t or "" for t in texts]
+    found = repairs.in_contexts(given)
+    bodies = []
+    for k, text in enumerate(given):
+        for at, meant in found.get(k, ()):
+            text = text[:at] + chr(meant) + text[at + 1 :]
+        for a, b, _ in sorted(furniture(text, bool(placed and placed[k]))[0], reverse=True):
+            whole = (a == 0 or text[a - 1] == "\n") and text[b : b + 1] == "\n"
+            text = text[:a] + text[b + whole :]
+        if "-" in text:
+            text = re.sub(r"(?<=[^\W\d_])-[ \t]*\n(?=[a-z])|(?<=[a-z])- (?=[a-z])", lambda m: "-" if text[: m.start()].rpartition(" ")[2].rpartition("\n")[2].lower() in repairs.heads else "", text)  # noqa: B023
+        bodies.append(text)
+    # lines joined show words and neighbours whole
+    joined = [re.sub(r"(?<=[^\x00-\x7f]) (?=[^\x00-\x7f])", "", _paragraphs(text)).strip() for text in _in_place(bodies, repairs)]
+    return [None if t is None else new.strip() for t, new in zip(texts, _in_place(joined, repairs))]
+
+
+def _paragraphs(text: str) -> str:
+    """Lines joined into paragraphs."""
     lines = [x.strip() for x in text.split("\n")]
     width = max(map(len, lines), default=0)
-    out = ""
+    out: list[str] = []
+    last = ""
     for k, line in enumerate(lines):
         if not line:
-            out = out.rstrip("\n") + "\n" * bool(out)
+            if out and last != "\n":
+                out.append("\n")
+                last = "\n"
             continue
-        joint = "" if not out or out.endswith("\n") else " " if out[-1].isascii() and line[0].isascii() and (out[-1].isalpha() or out[-1] in ",.;:?!") else ""
-        out += joint + line
+        if last and last != "\n" and last.isascii() and line[0].isascii() and (last.isalpha() or last in ",.;:?!"):
+            out.append(" ")
+        out.append(line)
+        last = line[-1]
         if k + 1 < len(lines) and re.search(r"[。！？!?.．]$", line) and len(line) < 0.7 * width:
-            out += "\n"
-    # lines joined show words and neighbours whole
-    return _in_place(re.sub(r"(?<=[^\x00-\x7f]) (?=[^\x00-\x7f])", "", out).strip(), repairs).strip()
+            out.append("\n")
+            last = "\n"
+    return "".join(out)
 
 
 def repair(texts: DataFrame, repairs: list[Repairs]) -> DataFrame:
@@ -525,7 +561,7 @@ def repair(texts: DataFrame, repairs: list[Repairs]) -> DataFrame:
 
     def mend(batches):
         for src, ids, values, placed in _chunks(batches, len(shared)):
-            out = with_all(shared, lambda known: [repaired(t, known, p) for t, p in zip(values, placed)])
+            out = with_all(shared, lambda known: repaired_all(values, known, placed))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in (src, ids, out)], names=["src", "id", "repaired"])
 
     return _with_place(texts).mapInArrow(mend, "src string, id string, repaired string")
