@@ -352,8 +352,9 @@ def examine(texts: list[str | None], repairs: Repairs, placed: list[bool] | None
                         found = [*_TOKEN.finditer(stretch)]
                         words = [m[0] for m in found]
                         for j, m in enumerate(found):
-                            edge = "\x02" in stretch[max(0, m.start() - 1) : m.end() + 1] or (j == len(found) - 1 and stretch.rstrip().endswith("-"))
-                            if not edge and repairs.word(words, j, j == 0 and not line[:at].strip()):
+                            if not repairs.word(words, j, j == 0 and not line[:at].strip()):
+                                continue
+                            if "\x02" not in stretch[max(0, m.start() - 1) : m.end() + 1] and not (j == len(found) - 1 and stretch.rstrip().endswith("-")):
                                 misread = True
                                 break
             if misread:
@@ -498,9 +499,11 @@ def _in_words(line: str, repairs: Repairs) -> str:
         words = [m[0] for m in found]
         for k in range(len(found) - 1, -1, -1):
             m = found[k]
+            meant = repairs.word(words, k, k == 0 and not line[:at].strip())
+            if not meant:
+                continue
             begin, end = at + m.start(), at + m.end()
-            cut_off = re.match(r"-\s*$|-[ \t]*(?=\n)|- (?=[a-z])", line[end:]) or re.search(r"[a-z]- $", line[:begin])
-            if not cut_off and (meant := repairs.word(words, k, k == 0 and not line[:at].strip())):
+            if not (re.match(r"-\s*$|-[ \t]*(?=\n)|- (?=[a-z])", line[end:]) or re.search(r"[a-z]- $", line[:begin])):
                 words[k] = meant.upper() if m[0].isupper() and len(m[0]) > 1 else meant.capitalize() if m[0][0].isupper() else meant
                 line = line[:begin] + words[k] + line[end:]
     return line
