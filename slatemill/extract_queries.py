@@ -10,14 +10,14 @@ from slatemill.operators import extract as X
 from slatemill.operators import gold as G
 from slatemill.operators.ordered import page_lines
 from slatemill.registry import query
-from slatemill.sources.tables import read
+from slatemill.sources.tables import read, spread
 
 _DOC_LINES = "x AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents)"
 _START, _HEAD = r"^((例题|问题|变式|练习)\s*\d*|\d+\s*[．.、]|（\d+）|\(\d+\))", r"^【[^】]{2,20}】|^考点\s*\d+|^模块\s*\d+|^强化训练|^例题讲解|^知识梳理"
 
 
 def _document_lines(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "documents", "doc_id", "text").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "text"))
+    return spread(read(spark, d, "documents", "doc_id", "text")).select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "text"))
 
 
 def _page_arrays(spark: SparkSession, d: str) -> DataFrame:

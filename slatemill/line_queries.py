@@ -9,7 +9,7 @@ from slatemill.functions import text as T
 from slatemill.operators import ordered as O
 from slatemill.registry import query
 from slatemill.sources.files import text_lines
-from slatemill.sources.tables import read
+from slatemill.sources.tables import read, spread
 
 _SQL_NORM = r"trim(regexp_replace(coalesce({0}, ''), '[\s\x{{3000}}\x{{a0}}]+', ' ', 'g'), ' ')"
 _WS = r"[\s\x{3000}\x{a0}]"
@@ -92,7 +92,7 @@ def scan_quality(spark: SparkSession, d: str) -> DataFrame:
 @query(rf"""WITH x AS (SELECT doc_id, unnest(string_split_regex(text, '\r?\n')) AS raw, generate_subscripts(string_split_regex(text, '\r?\n'), 1) AS line_no FROM documents),
 y AS (SELECT doc_id, line_no::INT AS line_no, regexp_replace(regexp_replace(regexp_replace(raw, '\x{{200b}}', '', 'g'), '^{_WS}+|{_WS}+$', '', 'g'), '[ \t]+', ' ', 'g') AS line FROM x) SELECT doc_id, line_no, line FROM y WHERE line <> '' AND NOT regexp_matches(line, '^\d{{1,3}}$')""")
 def document_lines(spark: SparkSession, d: str) -> DataFrame:
-    return text_lines(read(spark, d, "documents", "doc_id", "text"), ["doc_id"], "text")
+    return text_lines(spread(read(spark, d, "documents", "doc_id", "text")), ["doc_id"], "text")
 
 
 _MARKS = ", ".join(f"('{m}')" for m in T.ANSWER_MARKERS)
@@ -104,14 +104,14 @@ b AS (SELECT doc_id, stem, list_transform(f, lambda y, i: struct_pack(m := y.m,
 SELECT doc_id, md5(stem) AS stem_md5, coalesce(list_filter(blocks, lambda y: y.m = '【答案】')[1].body, '') AS answer, coalesce(array_to_string(list_transform(list_filter(blocks, lambda y: y.m <> '【答案】' AND y.body <> ''), lambda y: y.body), chr(10)), '') AS explanation, len(blocks) AS n_markers FROM b""")
 def answer_blocks(spark: SparkSession, d: str) -> DataFrame:
     """Stem, answer and explanation of each document by the first occurrence of each answer marker."""
-    rows = read(spark, d, "documents", "doc_id", "text").select("doc_id", T.answer_blocks("text").alias("b"))
+    rows = spread(read(spark, d, "documents", "doc_id", "text")).select("doc_id", T.answer_blocks("text").alias("b"))
     return rows.select("doc_id", F.md5("b.stem").alias("stem_md5"), F.col("b.answer").alias("answer"), F.col("b.explanation").alias("explanation"), F.size("b.markers").cast("long").alias("n_markers"))
 
 
 @query("""WITH s AS (SELECT doc_id, unnest(regexp_extract_all(text, '【答案】|【解析】|【分析】|【详解】|【解答】|【解题思路】|【解答过程】|【点评】')) AS marker FROM documents) SELECT marker, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM s GROUP BY 1""")
 def answer_layers(spark: SparkSession, d: str) -> DataFrame:
     """How often each marker of an answer layer occurs, over every occurrence."""
-    layers = read(spark, d, "documents", "doc_id", "text").select("doc_id", F.explode(T.answer_layers("text")).alias("x"))
+    layers = spread(read(spark, d, "documents", "doc_id", "text")).select("doc_id", F.explode(T.answer_layers("text")).alias("x"))
     return layers.groupBy(F.col("x.marker").alias("marker")).agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("n_docs"))
 
 

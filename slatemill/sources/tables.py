@@ -20,9 +20,10 @@ def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """A scan in at least as many partitions as there are cores, for work that is costly a row.
+    """A scan in about as many partitions as there are cores, for work that is costly a row.
 
-    A table of few files is dealt out anew; one of many files, as any large table is, stays as it is and nothing is shuffled.
+    A table of so few files that half the cores would stand idle is dealt out anew; one of more, as any large table is, stays
+    as it is and nothing is shuffled.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(cores) if 2 * scan.rdd.getNumPartitions() < cores else scan

@@ -11,7 +11,7 @@ from slatemill.functions import text as T
 from slatemill.line_queries import _SQL_STATS
 from slatemill.operators import ordered as O
 from slatemill.registry import SQL, query
-from slatemill.sources.tables import read
+from slatemill.sources.tables import read, spread
 
 _TRIM = lambda c: rf"regexp_replace({c}, '^[\s\x{{3000}}\x{{a0}}]+|[\s\x{{3000}}\x{{a0}}]+$', '', 'g')"
 _GLYPHS = "＋－＝"
@@ -59,7 +59,7 @@ _CUT = lambda c, stops: f"substr({c}, 1, least({', '.join(f'coalesce(nullif(CASE
 SELECT doc_id, md5(trim(regexp_replace(cut, '(^|[^\p{{L}}\p{{N}}_])[0-9]{{1,3}}\s*$', '\1'), ' ')) AS summary_md5, md5(coalesce(list_filter(l, lambda y: y <> '' AND NOT starts_with(y, '领世'))[1], 'untitled')) AS title_md5, md5(trim(regexp_replace(regexp_replace('见 `' || substr(x, 1, 5) || '` 与 [附录](https://a.b/' || doc_id || ')', '`([^`]+)`', '\1', 'g'), '\[([^\]]+)\]\(([^)]+)\)', '\1: \2', 'g'), ' ')) AS inline_md5 FROM c""")
 def document_summaries(spark: SparkSession, d: str) -> DataFrame:
     """Trimmed summaries, inferred titles and inline markup of documents."""
-    rows = read(spark, d, "documents", "doc_id", "text")
+    rows = spread(read(spark, d, "documents", "doc_id", "text"))
     inline = F.concat(F.lit("见 `"), F.substring(T.norm("text"), 1, 5), F.lit("` 与 [附录](https://a.b/"), F.col("doc_id").cast("string"), F.lit(")"))
     return rows.select("doc_id", F.md5(T.summary("text")).alias("summary_md5"), F.md5(T.inferred_title(F.split("text", "\n"), F.lit("untitled"))).alias("title_md5"), F.md5(T.plain_inline(inline)).alias("inline_md5"))
 
@@ -79,7 +79,7 @@ _MARKS = "【答案】|【解析】|【分析】|【详解】|【解答】|【
 SELECT doc_id, marker, md5(string_agg(body, chr(10) ORDER BY i)) AS body_md5, count(*) AS n FROM b GROUP BY ALL""")
 def layer_texts(spark: SparkSession, d: str) -> DataFrame:
     """All texts of each answer layer of a document, those of one marker joined in order."""
-    layers = read(spark, d, "documents", "doc_id", "text").select("doc_id", T.answer_layers("text").alias("l"))
+    layers = spread(read(spark, d, "documents", "doc_id", "text")).select("doc_id", T.answer_layers("text").alias("l"))
     return layers.select("doc_id", F.explode(T.joined_layers("l")).alias("x")).select("doc_id", "x.marker", F.md5("x.body").alias("body_md5"), "x.n")
 
 
