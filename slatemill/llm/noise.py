@@ -309,6 +309,8 @@ def furniture(text: str, placed: bool = False) -> tuple[list[tuple[int, int, str
 
 
 def _bad_number(text: str) -> bool:
+    if not _DIGIT_LIKE.search(text):
+        return False
     for m in _NUMBER.finditer(text):
         token = m[0]
         if any(c in DIGITS for c in token) and re.fullmatch(r"[\d.lIOoZSBG]+", token):
@@ -339,7 +341,7 @@ def examine(texts: list[str | None], repairs: Repairs, placed: list[bool] | None
         body = text
         for a, b, _ in sorted(spans, reverse=True):
             body = body[:a] + body[b:]
-        if any(m[1].lower() not in repairs.heads and m[1].lower() not in ("", "page") for m in _HYPHEN.finditer(text if not spans else body + "")):
+        if "-" in text and any(m[1].lower() not in repairs.heads and m[1].lower() not in ("", "page") for m in _HYPHEN.finditer(text if not spans else body + "")):
             kinds.append("hyphen")
         if body.strip():
             misread = bool(_PRIVATE.search(body))
@@ -347,7 +349,7 @@ def examine(texts: list[str | None], repairs: Repairs, placed: list[bool] | None
                 misread = not spans or bool(repairs.in_contexts([body]))
             misread = misread or _bad_number(body)
             if not misread and _LETTERS.search(body):
-                for line in re.sub(r"-[ \t]*\n|(?<=[a-z])- (?=[a-z])", "\x02", body).split("\n"):
+                for line in (re.sub(r"-[ \t]*\n|(?<=[a-z])- (?=[a-z])", "\x02", body) if "-" in body else body).split("\n"):
                     for at, stretch in _wordy(line):
                         found = [*_TOKEN.finditer(stretch)]
                         words = [m[0] for m in found]
