@@ -22,6 +22,11 @@ def _lines(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("doc_id", "page", "pos", "line_id", T.clean_line("text").alias("line"))
 
 
+def _placed_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines with page and position as one number, long from the start: from page 21,475 on it is beyond an int."""
+    return _lines(spark, d).withColumn("place", F.col("page").cast("long") * 100000 + F.col("pos"))
+
+
 @query(rf"WITH {_LINES} SELECT line_id, last_value(CASE WHEN {_SECTION} THEN line END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY page, pos ROWS UNBOUNDED PRECEDING) AS section FROM l")
 def section_of_line(spark: SparkSession, d: str) -> DataFrame:
     """The heading under which each line stands."""
@@ -221,7 +226,7 @@ q AS (SELECT line_id, doc_id, place, lead(place) OVER (PARTITION BY doc_id ORDER
 SELECT line_id, section_id, least(coalesce(next, end_place), end_place)::BIGINT AS end_place FROM h""")
 def question_ends(spark: SparkSession, d: str) -> DataFrame:
     """The first section that holds each numbered line, and where its question ends: before the next one, but not beyond the section."""
-    lines = _lines(spark, d).withColumn("place", (F.col("page") * 100000 + F.col("pos")).cast("long"))
+    lines = _placed_lines(spark, d)
     last = lines.groupBy("doc_id").agg(F.max("place").alias("last"))
     sections = O.next_start(lines.filter(R.is_section("line")).join(last, "doc_id"), ["doc_id"], ["place"], F.col("place") - 1, F.col("last"), "section_end").select("doc_id", F.col("place").alias("section_begin"), "section_end", F.col("line_id").alias("section_id"))
     starts = O.next_start(lines.filter(F.col("line").rlike(R.QUESTION_NUMBER)), ["doc_id"], ["place"], F.col("place") - 1, F.lit(None), "next")
